@@ -74,7 +74,7 @@ def ordered_split(df: DataFrame, order_col: str = "recency_days", tie_col: str =
         block = F.lit(0).cast("bigint")
     # Per order value stats are small; AQE broadcasts them when its runtime
     # size check passes, otherwise a skew-split shuffle join is used.
-    tagged = df.join(stats.select(order_col, "_lo", "_nb"), order_col, "inner").withColumn("_blk", block)
+    tagged = df.join(stats.select(order_col, "_lo", "_hi", "_nb"), order_col, "inner").withColumn("_blk", block)
 
     counts = tagged.groupBy(order_col, "_blk").agg(F.count(F.lit(1)).alias("_cnt"))
     # Running offsets over the per-block counts only (at most n / rows_per_block

@@ -112,7 +112,7 @@ def structural_missing_check(df: DataFrame, pairs: Mapping[str, str | None] = ST
         structs.append(F.struct(
             F.lit(c).alias("column_name"),
             F.lit(flag).cast("string").alias("flag_column"),
-            (F.col(f"_f{i}") if flag else F.lit(None).cast("bigint")).alias("flag_false_count"),
+            (F.col(f"_f{i}") if flag else F.lit(None)).cast("double").alias("flag_false_count"),
             F.col(f"_n{i}").alias("null_count")))
     return one.select(F.explode(F.array(*structs)).alias("s")).select("s.*")
 
@@ -127,7 +127,7 @@ def segment_summary(df: DataFrame, order: Sequence[str], segment: str = "custome
     """Customers and mean of each present metric per listed segment, in list order.
 
     Segments outside the list are dropped, listed segments without rows give a
-    null row.  Mean columns are named ``mean_`` + the first 18 characters.
+    null row (so counts are doubles, as after a pandas reindex).  Mean columns are named ``mean_`` + the first 18 characters.
     """
     metrics = present(df, metrics)
     names = [mean_name(m) for m in metrics]
@@ -135,7 +135,7 @@ def segment_summary(df: DataFrame, order: Sequence[str], segment: str = "custome
         raise ValueError(f"mean column names collide: {names}")
     g = (df.filter(F.col(segment).isin(list(order)))
            .groupBy(segment)
-           .agg(F.count(key).alias("customer_count"),
+           .agg(F.count(key).cast("double").alias("customer_count"),
                 *[half_even(F.avg(F.col(m).cast("double")), digits).alias(n) for m, n in zip(metrics, names)]))
     return reindex(g, segment, order)
 
@@ -199,3 +199,24 @@ def target_correlation(df: DataFrame, cols: Sequence[str], target: str, digits:
                         half_even(F.col(f"_t{i}"), digits).alias("corr")) for i, c in enumerate(cols)]
     long = one.select(F.explode(F.array(*structs)).alias("s")).select("s.*")
     return long.orderBy(F.asc_nulls_last("corr"), "pos").drop("pos")
+
+
+# -- sources -------------------------------------------------------------------
+
+def source_summary(sources: Mapping[str, DataFrame]) -> DataFrame:
+    """Rows and columns per source plus a grand-total row (``source = 'total'``)."""
+    from functools import reduce
+    parts = [df.agg(F.count(F.lit(1)).alias("n_rows"))
+               .select(F.lit(name).alias("source"), "n_rows", F.lit(len(df.columns)).alias("n_cols"))
+             for name, df in sources.items()]
+    u = reduce(lambda a, b: a.unionByName(b), parts)
+    g = u.rollup("source").agg(F.sum("n_rows").alias("n_rows"), F.max("n_cols").alias("n_cols"),
+                               F.grouping("source").alias("_total"))
+    return g.select(F.when(F.col("_total") == 1, F.lit("total")).otherwise(F.col("source")).alias("source"),
+                    "n_rows", F.when(F.col("_total") == 0, F.col("n_cols")).alias("n_cols"),
+                    "_total").orderBy("_total").drop("_total")
+
+
+def preview(df: DataFrame, n: int = 5, keys: Sequence[str] | None = None) -> DataFrame:
+    """The first ``n`` rows in a stated order (all columns by default), so it repeats."""
+    return df.orderBy(*(keys or df.columns)).limit(n)

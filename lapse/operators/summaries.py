@@ -41,7 +41,7 @@ def segment_share(df: DataFrame, order: Sequence[str], segment: str = "customer_
     # The listed domain is fixed, so counting each value in one pass avoids a
     # shuffle of rows entirely; zero counts become nulls like a reindex does.
     structs = [F.struct(F.lit(v).alias(segment), F.lit(i).alias("_pos"),
-                        F.when(F.col(f"_s{i}") > 0, F.col(f"_s{i}")).alias("n"))
+                        F.when(F.col(f"_s{i}") > 0, F.col(f"_s{i}")).cast("double").alias("n"))
                for i, v in enumerate(order)]
     long = one.select("_total", F.explode(F.array(*structs)).alias("s")).select("_total", "s.*")
     return (long.select(segment, "n", pct(F.col("n"), F.col("_total"), digits).alias("pct"), "_pos")
@@ -85,9 +85,11 @@ def boxplot_stats(df: DataFrame, order: Sequence[str], group: str = "customer_se
         F.count(F.lit(1)).alias("n"))
     wlo = F.least(F.coalesce(F.col("_lo"), F.col("q1")), F.col("q1"))
     whi = F.greatest(F.coalesce(F.col("_hi"), F.col("q3")), F.col("q3"))
-    g = g.select(group, "n", "q1", "median", "q3", wlo.alias("whisker_low"), whi.alias("whisker_high"))
+    g = g.select(group, F.col("n").cast("double").alias("n"), "q1", "median", "q3",
+                 wlo.alias("whisker_low"), whi.alias("whisker_high"))
     flier = j.join(F.broadcast(g.select(group, "whisker_low", "whisker_high")), group, "inner").groupBy(group).agg(
-        F.count_if((F.col("_x") < F.col("whisker_low")) | (F.col("_x") > F.col("whisker_high"))).alias("n_outliers"))
+        F.count_if((F.col("_x") < F.col("whisker_low")) | (F.col("_x") > F.col("whisker_high")))
+        .cast("double").alias("n_outliers"))
     return reindex(g.join(flier, group, "left"), group, order)
 
 
@@ -170,8 +172,10 @@ def monthly_volume_econ(ledger: DataFrame, econ: DataFrame, date: str = "date")
                      .agg(F.count(F.lit(1)).alias("n_transactions")))
     # The series is a 12-row literal table.
     out = monthly.join(F.broadcast(econ), "month", "left")
+    # Months outside the series leave the rate null, so it is a double (as after a pandas merge).
     return out.select("month", F.date_format("month", "MMM").alias("month_label"), "n_transactions",
-                      "cop_usd_rate", "inflation_monthly_pct").orderBy("month")
+                      F.col("cop_usd_rate").cast("double").alias("cop_usd_rate"),
+                      "inflation_monthly_pct").orderBy("month")
 
 
 def extreme_month(monthly: DataFrame, rate: str = "cop_usd_rate", lowest: bool = True) -> DataFrame:

@@ -30,7 +30,7 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 
 def norm(v):
-    if v is None or (isinstance(v, float) and math.isnan(v)):
+    if v is None or v is pd.NA or v is pd.NaT or (isinstance(v, float) and math.isnan(v)):
         return None
     if isinstance(v, float):
         return repr(v)
