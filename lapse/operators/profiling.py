@@ -10,7 +10,7 @@ from pyspark.sql.types import IntegerType, LongType, StringType, StructField, St
 
 from lapse.config import KEY_COL
 from lapse.functions.columns import present
-from lapse.functions.numeric import half_even, pair_corr, pct, self_corr
+from lapse.functions.numeric import half_even, half_even_sql, pair_corr_sql, pct, self_corr_sql, sql_str
 from lapse.functions.ordering import reindex
 
 # The structurally missing profile columns and their classes.
@@ -142,28 +142,31 @@ def segment_summary(df: DataFrame, order: Sequence[str], segment: str = "custome
 
 # -- correlations --------------------------------------------------------------
 
-def _corr_long(df: DataFrame, cols: Sequence[str], digits: int, diagonal: bool) -> DataFrame:
+def _corr_long(df: DataFrame, cols: Sequence[str], digits: int, diagonal: bool,
+               mirror: bool = False) -> DataFrame:
     """``(feature_a, feature_b, pos_a, pos_b, corr)`` for every pair a < b
-    (and a == b when ``diagonal``): one aggregation pass, no shuffle of rows."""
+    (plus a == b when ``diagonal``, plus b > a when ``mirror``).
+
+    One aggregation pass over the rows with partial aggregation per task;
+    ``stack`` then turns the single result row into one row per cell.
+    """
     pairs = [(i, j) for i in range(len(cols)) for j in range(i + (0 if diagonal else 1), len(cols))]
-    aggs = [(self_corr(F.col(cols[i])) if i == j else pair_corr(F.col(cols[i]), F.col(cols[j]))).alias(f"_c{i}_{j}")
+    aggs = [f"{self_corr_sql(cols[i]) if i == j else pair_corr_sql(cols[i], cols[j])} AS _c{i}_{j}"
             for i, j in pairs]
-    one = df.agg(*aggs)
-    structs = [F.struct(F.lit(cols[i]).alias("feature_a"), F.lit(cols[j]).alias("feature_b"),
-                        F.lit(i).alias("pos_a"), F.lit(j).alias("pos_b"),
-                        half_even(F.col(f"_c{i}_{j}"), digits).alias("corr"))
-               for i, j in pairs]
-    return one.select(F.explode(F.array(*structs)).alias("s")).select("s.*")
+    one = df.agg(*[F.expr(a) for a in aggs])
+    cells = [(i, j, i, j) for i, j in pairs]
+    if mirror:
+        cells += [(j, i, i, j) for i, j in pairs if i != j]
+    items = ", ".join(f"{sql_str(cols[r])}, {sql_str(cols[c])}, {r}, {c}, {half_even_sql(f'_c{i}_{j}', digits)}"
+                      for r, c, i, j in cells)
+    return one.selectExpr(f"stack({len(cells)}, {items}) AS (feature_a, feature_b, pos_a, pos_b, corr)")
 
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str] = CORR_FEATURES, digits: int = 3) -> DataFrame:
     """Full Pearson matrix in long form (both triangles and the diagonal)."""
     cols = present(df, cols)
-    upper = _corr_long(df, cols, digits, diagonal=True)
-    mirror = (upper.filter(F.col("pos_a") != F.col("pos_b"))
-                   .select(F.col("feature_b").alias("feature_a"), F.col("feature_a").alias("feature_b"),
-                           F.col("pos_b").alias("pos_a"), F.col("pos_a").alias("pos_b"), "corr"))
-    return upper.unionByName(mirror).orderBy("pos_a", "pos_b").drop("pos_a", "pos_b")
+    full = _corr_long(df, cols, digits, diagonal=True, mirror=True)
+    return full.orderBy("pos_a", "pos_b").drop("pos_a", "pos_b")
 
 
 def correlation_pairs(df: DataFrame, cols: Sequence[str] = CORR_FEATURES, k: int = 10,
@@ -194,17 +197,18 @@ def correlation_lower(df: DataFrame, cols: Sequence[str], digits: int = 2) -> Da
 def target_correlation(df: DataFrame, cols: Sequence[str], target: str, digits: int = 3) -> DataFrame:
     """Correlation of each present feature with ``target``, ascending."""
     cols = [c for c in present(df, cols) if c != target]
-    one = df.agg(*[pair_corr(F.col(c), F.col(target)).alias(f"_t{i}") for i, c in enumerate(cols)])
-    structs = [F.struct(F.lit(c).alias("feature"), F.lit(i).alias("pos"),
-                        half_even(F.col(f"_t{i}"), digits).alias("corr")) for i, c in enumerate(cols)]
-    long = one.select(F.explode(F.array(*structs)).alias("s")).select("s.*")
+    one = df.agg(*[F.expr(f"{pair_corr_sql(c, target)} AS _t{i}") for i, c in enumerate(cols)])
+    items = ", ".join(f"{sql_str(c)}, {i}, {half_even_sql(f'_t{i}', digits)}" for i, c in enumerate(cols))
+    long = one.selectExpr(f"stack({len(cols)}, {items}) AS (feature, pos, corr)")
     return long.orderBy(F.asc_nulls_last("corr"), "pos").drop("pos")
 
 
+
 # -- sources -------------------------------------------------------------------
 
 def source_summary(sources: Mapping[str, DataFrame]) -> DataFrame:
-    """Rows and columns per source plus a grand-total row (``source = 'total'``)."""
+    """Rows and columns per source plus a grand-total row (``source = 'total'``,
+    no column count there, so ``n_cols`` is a nullable double)."""
     from functools import reduce
     parts = [df.agg(F.count(F.lit(1)).alias("n_rows"))
                .select(F.lit(name).alias("source"), "n_rows", F.lit(len(df.columns)).alias("n_cols"))
@@ -213,7 +217,7 @@ def source_summary(sources: Mapping[str, DataFrame]) -> DataFrame:
     g = u.rollup("source").agg(F.sum("n_rows").alias("n_rows"), F.max("n_cols").alias("n_cols"),
                                F.grouping("source").alias("_total"))
     return g.select(F.when(F.col("_total") == 1, F.lit("total")).otherwise(F.col("source")).alias("source"),
-                    "n_rows", F.when(F.col("_total") == 0, F.col("n_cols")).alias("n_cols"),
+                    "n_rows", F.when(F.col("_total") == 0, F.col("n_cols")).cast("double").alias("n_cols"),
                     "_total").orderBy("_total").drop("_total")
 
 

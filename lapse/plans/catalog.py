@@ -86,7 +86,7 @@ def q_scan_ledger(spark, sf):
     return Tables(spark, sf).ledger
 
 
-@register("source_summary", V(f"""SELECT source, n_rows, n_cols FROM (
+@register("source_summary", V(f"""SELECT source, n_rows, CAST(n_cols AS DOUBLE) AS n_cols FROM (
   SELECT 'profile' AS source, COUNT(*) AS n_rows, {len(PROFILE_COLS)} AS n_cols, 0 AS o FROM profile
   UNION ALL SELECT 'ledger', COUNT(*), 4, 0 FROM ledger
   UNION ALL SELECT 'econ', COUNT(*), 3, 0 FROM econ) s
