@@ -10,6 +10,7 @@ from pyspark.sql.types import IntegralType
 
 from lapse.config import KEY_COL, LABEL_COL
 from lapse.functions.columns import present, str_class
+from lapse.functions.materialize import sized_broadcast
 from lapse.functions.numeric import half_even
 
 SPLIT_NAMES = ("train", "validation", "test")
@@ -45,7 +46,8 @@ def label_distribution(df: DataFrame, label: str = LABEL_COL) -> DataFrame:
 
 def ordered_split(df: DataFrame, order_col: str = "recency_days", tie_col: str = KEY_COL,
                   fractions: tuple[float, float] = (0.70, 0.15), names: Sequence[str] = SPLIT_NAMES,
-                  rows_per_block: int = 100_000, split_col: str = "split") -> DataFrame:
+                  rows_per_block: int = 100_000, split_col: str = "split",
+                  checked_lookups: bool = True) -> DataFrame:
     """70/15/15 split by position after sorting on ``(order_col, tie_col)``.
 
     Sizes follow ``int(n * 0.70)`` and ``int(n * 0.15)`` in binary floating
@@ -59,7 +61,12 @@ def ordered_split(df: DataFrame, order_col: str = "recency_days", tie_col: str =
     its row number inside the block.  A single order value holding a third of
     all rows still spreads over many blocks.  For a non-integral tie key each
     order value is one block.
+
+    With ``checked_lookups`` the two lookup tables (per order value, per
+    block) are frozen and broadcast only under a row limit (two small jobs
+    run when the plan is built); otherwise AQE picks the join at run time.
     """
+    lookup = sized_broadcast if checked_lookups else (lambda t: t)
     n_blocks = F.col("_nb")
     stats = df.groupBy(order_col).agg(
         F.count(F.lit(1)).alias("_n"), F.min(tie_col).alias("_lo"), F.max(tie_col).alias("_hi"))
@@ -74,7 +81,7 @@ def ordered_split(df: DataFrame, order_col: str = "recency_days", tie_col: str =
         block = F.lit(0).cast("bigint")
     # Per order value stats are small; AQE broadcasts them when its runtime
     # size check passes, otherwise a skew-split shuffle join is used.
-    tagged = df.join(stats.select(order_col, "_lo", "_hi", "_nb"), order_col, "inner").withColumn("_blk", block)
+    tagged = df.join(lookup(stats.select(order_col, "_lo", "_hi", "_nb")), order_col, "inner").withColumn("_blk", block)
 
     counts = tagged.groupBy(order_col, "_blk").agg(F.count(F.lit(1)).alias("_cnt"))
     # Running offsets over the per-block counts only (at most n / rows_per_block
@@ -92,7 +99,7 @@ def ordered_split(df: DataFrame, order_col: str = "recency_days", tie_col: str =
     split = (F.when(F.col("_pos") < n_first, names[0])
               .when(F.col("_pos") < n_first + n_second, names[1])
               .otherwise(names[2]))
-    numbered = tagged.join(offsets, [order_col, "_blk"], "inner").withColumn("_pos", pos)
+    numbered = tagged.join(lookup(offsets), [order_col, "_blk"], "inner").withColumn("_pos", pos)
     return numbered.withColumn(split_col, split).select(*df.columns, split_col)
 
 
@@ -120,18 +127,22 @@ def fit_encoder(train: DataFrame, cols: Sequence[str]) -> DataFrame:
     return distinct.withColumn("code", rank.cast("int"))
 
 
-def apply_encoder(df: DataFrame, classes: DataFrame, cols: Sequence[str], suffix: str = "_enc") -> DataFrame:
+def apply_encoder(df: DataFrame, classes: DataFrame, cols: Sequence[str], suffix: str = "_enc",
+                  checked_broadcast: bool = True) -> DataFrame:
     """Add ``<col>_enc`` codes; values unseen in training get code 0.
 
-    One left join per column against its (small) class list; AQE turns each
-    into a broadcast hash join when the runtime size check passes.
+    One left join per column against its class list.  With
+    ``checked_broadcast`` the class table is frozen and counted first and the
+    joins broadcast it when it is within the row limit, so the data side is
+    never shuffled; otherwise AQE decides at run time.
     """
-    out = df
-    for c in present(df, cols):
-        key = f"_{c}_txt"
-        cls = classes.filter(F.col("column_name") == c).select(F.col("value").alias(key),
-                                                          F.col("code").alias(f"_{c}_code"))
-        out = (out.withColumn(key, str_class(out, c)).join(cls, key, "left")
-                  .withColumn(c + suffix, F.coalesce(F.col(f"_{c}_code"), F.lit(0)))
-                  .drop(key, f"_{c}_code"))
-    return out
+    cols = present(df, cols)
+    if checked_broadcast:
+        classes = sized_broadcast(classes)
+    keys = [str_class(df, c).alias(f"_{c}_txt") for c in cols]
+    out = df.select("*", *keys)
+    for c in cols:
+        cls = classes.filter(F.col("column_name") == c).select(
+            F.col("value").alias(f"_{c}_txt"), F.col("code").alias(f"_{c}_code"))
+        out = out.join(cls, f"_{c}_txt", "left")
+    return out.select(*df.columns, *[F.coalesce(F.col(f"_{c}_code"), F.lit(0)).alias(c + suffix) for c in cols])

@@ -5,8 +5,10 @@
 
 Nothing runs until the caller's action.  Heavy shared inputs (the deduped
 ledger, the model table) appear several times in the plan; Spark reuses
-identical exchanges, and ``checkpoint_model=True`` writes the model table to
-the session's checkpoint dir once to cut the lineage for long jobs.
+identical exchanges.  With ``checkpoint`` (the default) the model table and
+the split are written once to the session's checkpoint dir before their
+several consumers read them: the lineage is cut (a lost executor re-reads
+the written table) and the plans stay small.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lapse.config import KEY_COL, LABEL_COL, StudyWindow
+from lapse.functions.materialize import freeze
 from lapse.operators.cleaning import FILL_ZERO_COLS, dedup_exact, zero_fill
 from lapse.operators.dataset import CAT_COLS, apply_encoder, fit_encoder, model_dataset, ordered_split
 from lapse.operators.features import inactivity_label, rfm_features
@@ -27,7 +30,7 @@ class Study:
     def __init__(self, profile: DataFrame, ledger: DataFrame, window: StudyWindow,
                  exclude: Sequence[str] = (), key: str = KEY_COL, label: str = LABEL_COL,
                  cat_cols: Sequence[str] = CAT_COLS, fill_zero: Sequence[str] = FILL_ZERO_COLS,
-                 dedup: bool = True, checkpoint_model: bool = False):
+                 dedup: bool = True, checkpoint: bool = True):
         self.profile = profile
         self.ledger = ledger
         self.window = window
@@ -37,7 +40,7 @@ class Study:
         self.cat_cols = list(cat_cols)
         self.fill_zero = list(fill_zero)
         self.dedup = dedup
-        self.checkpoint_model = checkpoint_model
+        self.checkpoint = checkpoint
 
     @cached_property
     def tx_clean(self) -> DataFrame:
@@ -53,12 +56,20 @@ class Study:
 
     @cached_property
     def model(self) -> DataFrame:
-        m = model_dataset(self.profile, self.rfm, self.label, key=self.key, exclude=self.exclude)
-        return m.checkpoint(eager=True) if self.checkpoint_model else m
+        """Lazy model table (for single-use summaries)."""
+        return model_dataset(self.profile, self.rfm, self.label, key=self.key, exclude=self.exclude)
+
+    def _freeze(self, df: DataFrame) -> DataFrame:
+        return freeze(df) if self.checkpoint else df
 
     @cached_property
     def split(self) -> DataFrame:
-        return ordered_split(self.model, order_col="recency_days", tie_col=self.key)
+        """The split reads the model three times (value stats, block counts,
+        numbering) and is itself read by the encoder fit and the encoded
+        table, so with ``checkpoint`` both are written once."""
+        model = self._freeze(self.model)
+        return self._freeze(ordered_split(model, order_col="recency_days", tie_col=self.key,
+                                          checked_lookups=self.checkpoint))
 
     @cached_property
     def encoder(self) -> DataFrame:
@@ -67,4 +78,4 @@ class Study:
     @cached_property
     def encoded(self) -> DataFrame:
         filled = zero_fill(self.split, self.fill_zero)
-        return apply_encoder(filled, self.encoder, self.cat_cols)
+        return apply_encoder(filled, self.encoder, self.cat_cols, checked_broadcast=self.checkpoint)
