@@ -94,18 +94,26 @@ def boxplot_stats(df: DataFrame, order: Sequence[str], group: str = "customer_se
 
 
 def histogram_by(df: DataFrame, group: str = LABEL_COL, col: str = "recency_days",
-                 bins: int = 40, clip: float | None = 200.0, digits: int = 4) -> DataFrame:
+                 bins: int = 40, clip: float | None = 200.0, digits: int = 4,
+                 groups: Sequence | None = None) -> DataFrame:
     """Equal-width histogram per group over the group's own (clipped) range.
 
     Bin assignment follows numpy: the index from the scaled offset, then a
     correction against the linspace edges; the last bin is closed; a constant
     group uses the range value +- 0.5.  All ``bins`` bins are returned, empty
     ones with n = 0.
+
+    With ``groups`` (e.g. the label values 0 and 1) rows are restricted to
+    those values and the per-group ranges are broadcast (at most len(groups)
+    rows); without it AQE picks the join for the ranges at run time.
     """
     x = F.col(col).cast("double")
     if clip is not None:
         x = F.least(x, F.lit(float(clip)))
-    rows = df.filter(F.col(group).isNotNull() & F.col(col).isNotNull()).select(group, x.alias("_x"))
+    keep = F.col(group).isNotNull() & F.col(col).isNotNull()
+    if groups is not None:
+        keep = keep & F.col(group).isin(list(groups))
+    rows = df.filter(keep).select(group, x.alias("_x"))
     rng = rows.groupBy(group).agg(F.min("_x").alias("_mn"), F.max("_x").alias("_mx"))
     same = F.col("_mn") == F.col("_mx")
     rng = rng.select(group, F.when(same, F.col("_mn") - 0.5).otherwise(F.col("_mn")).alias("_lo"),
@@ -116,8 +124,7 @@ def histogram_by(df: DataFrame, group: str = LABEL_COL, col: str = "recency_days
     def edge(i):
         return F.when(i >= nb, F.col("_hi")).otherwise(i.cast("double") * step + F.col("_lo"))
 
-    # One row per group value: a small, label-sized side.
-    j = rows.join(F.broadcast(rng), group, "inner")
+    j = rows.join(F.broadcast(rng) if groups is not None else rng, group, "inner")
     i0 = F.floor((F.col("_x") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * F.lit(float(bins)))
     i0 = F.when(i0 >= nb, nb - 1).otherwise(i0)
     j = j.withColumn("_i", i0)

@@ -504,7 +504,7 @@ FROM (SELECT rng.*, CAST(b.range AS INTEGER) AS bin FROM rng, range(0, {bins}) b
 LEFT JOIN c ON g.{LABEL_COL} = c.{LABEL_COL} AND g.bin = c.bin
 ORDER BY 1, 2""", "tx_clean", "profile", extra=MODEL_CTES + [
         ("r", f"SELECT {LABEL_COL}, LEAST(CAST(recency_days AS DOUBLE), {O.dbl(clip)}) AS x FROM model "
-              f"WHERE {LABEL_COL} IS NOT NULL AND recency_days IS NOT NULL"),
+              f"WHERE {LABEL_COL} IN (0, 1) AND recency_days IS NOT NULL"),
         ("rng", f"""SELECT {LABEL_COL}, CASE WHEN MIN(x) = MAX(x) THEN MIN(x) - 0.5E0 ELSE MIN(x) END AS lo,
   CASE WHEN MIN(x) = MAX(x) THEN MAX(x) + 0.5E0 ELSE MAX(x) END AS hi FROM r GROUP BY 1"""),
         ("j0", f"""SELECT r.x, rng.*, LEAST(CAST(floor((r.x - lo) / (hi - lo) * {nb}) AS BIGINT), {bins - 1}) AS i0
@@ -517,7 +517,7 @@ FROM r JOIN rng ON r.{LABEL_COL} = rng.{LABEL_COL}"""),
 
 @register("recency_histogram", _hist_sql())
 def q_histogram(spark, sf):
-    return S.histogram_by(study(spark, sf).model, LABEL_COL, "recency_days", bins=40, clip=200.0)
+    return S.histogram_by(study(spark, sf).model, LABEL_COL, "recency_days", bins=40, clip=200.0, groups=(0, 1))
 
 
 @register("recency_by_label", V(f"""SELECT {LABEL_COL}, COUNT(*) AS n,
