@@ -48,12 +48,18 @@ def segment_share(df: DataFrame, order: Sequence[str], segment: str = "customer_
                 .orderBy("_pos").drop("_pos"))
 
 
+def _quantiles(x, probs, approx: bool):
+    """Exact linear-interpolated percentiles (state grows with the distinct
+    values of a group), or ``percentile_approx`` (bounded sketch) at scale."""
+    return F.percentile_approx(x, list(probs), 10_000) if approx else F.percentile(x, list(probs))
+
+
 def describe_by(df: DataFrame, order: Sequence[str], group: str = "customer_segment",
-                metric: str = "tx_count", digits: int = 1) -> DataFrame:
+                metric: str = "tx_count", digits: int = 1, approx: bool = False) -> DataFrame:
     """pandas ``describe`` per listed group: count, mean, sample std, min,
     exact linear-interpolated quartiles, max (``digits`` dp)."""
     x = F.col(metric).cast("double")
-    q = F.percentile(x, [0.25, 0.5, 0.75])
+    q = _quantiles(x, [0.25, 0.5, 0.75], approx)
     g = (df.filter(F.col(group).isin(list(order)))
            .groupBy(group)
            .agg(F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
@@ -67,7 +73,7 @@ def describe_by(df: DataFrame, order: Sequence[str], group: str = "customer_segm
 
 
 def boxplot_stats(df: DataFrame, order: Sequence[str], group: str = "customer_segment",
-                  metric: str = "tx_count", whis: float = 1.5) -> DataFrame:
+                  metric: str = "tx_count", whis: float = 1.5, approx: bool = False) -> DataFrame:
     """Box-plot numbers per listed group: quartiles, whiskers at the furthest
     points within ``whis`` IQR of the box (never inside it), outlier count.
 
@@ -78,7 +84,7 @@ def boxplot_stats(df: DataFrame, order: Sequence[str], group: str = "customer_se
     """
     x = F.col(metric).cast("double")
     rows = df.filter(F.col(group).isin(list(order)) & x.isNotNull()).select(group, x.alias("_x"))
-    quart = rows.groupBy(group).agg(F.percentile("_x", [0.25, 0.5, 0.75]).alias("_q")).select(
+    quart = rows.groupBy(group).agg(_quantiles(F.col("_x"), [0.25, 0.5, 0.75], approx).alias("_q")).select(
         group, F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3"))
     iqr = F.col("q3") - F.col("q1")
     lo_fence = F.col("q1") - F.lit(whis) * iqr
@@ -148,12 +154,12 @@ def histogram_by(df: DataFrame, group: str = LABEL_COL, col: str = "recency_days
 
 
 def group_center(df: DataFrame, group: str = LABEL_COL, col: str = "recency_days",
-                 digits: int = 1) -> DataFrame:
+                 digits: int = 1, approx: bool = False) -> DataFrame:
     """Rows, exact median and mean of ``col`` per group value."""
     x = F.col(col).cast("double")
     return (df.filter(F.col(group).isNotNull())
               .groupBy(group)
-              .agg(F.count(F.lit(1)).alias("n"), half_even(F.percentile(x, 0.5), digits).alias("median"),
+              .agg(F.count(F.lit(1)).alias("n"), half_even(_quantiles(x, [0.5], approx)[0], digits).alias("median"),
                    half_even(F.avg(x), digits).alias("mean"))
               .orderBy(group))
 

@@ -189,3 +189,10 @@ def test_ordered_split_string_tie_key(spark):
     got = sorted((r.recency_days, r.customer_id, r.split) for r in D.ordered_split(df).collect())
     assert [s for *_, s in got] == ["train"] * 7 + ["validation"] + ["test"] * 2
     assert not math.isnan(len(got))
+
+
+def test_approx_quantiles_close_to_exact(spark):
+    df = spark.createDataFrame([("s", v) for v in range(1, 1001)], "customer_segment string, tx_count bigint")
+    exact = one(S.describe_by(df, ["s"], digits=4))
+    approx = one(S.describe_by(df, ["s"], digits=4, approx=True))
+    assert abs(approx.q50 - exact.q50) <= 1.0 and abs(approx.q25 - exact.q25) <= 1.0
