@@ -61,7 +61,7 @@ class StudyWindow:
         return f"avg_value_{self.widest}d"
 
 
-# The study dates of the original notebook (2023 ledger).
+# The study dates of the original study (2023 ledger).
 REFERENCE_WINDOW = StudyWindow(
     cutoff="2023-11-30", pop_start="2023-10-01",
     target_lo="2023-12-01", target_hi="2023-12-29", days=(7, 30, 90),
