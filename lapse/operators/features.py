@@ -10,8 +10,11 @@ does not load one reducer.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, TimestampNTZType
 
 from lapse.config import KEY_COL, LABEL_COL, StudyWindow
 from lapse.functions.columns import bound
@@ -39,6 +42,26 @@ def window_counts(ledger: DataFrame, window: StudyWindow, date: str = "date") ->
                       F.count_if(in_tgt).alias("n_target"))
 
 
+def whole_days(ledger: DataFrame, date: str, start: Column, end: dt.datetime) -> Column:
+    """Complete 24-hour blocks from ``start`` to ``end`` (``end >= start``).
+
+    For ``timestamp_ntz`` and ``date`` columns this is computed without any
+    time zone: calendar days between the two dates, minus one when the start's
+    time of day is later than the end's, so a DST change in the session zone
+    cannot shift it.  Zoned timestamps use ``timestamp_diff`` in the session zone.
+    """
+    dtype = ledger.schema[date].dataType
+    if isinstance(dtype, (TimestampNTZType, DateType)):
+        def tod(c):
+            return F.hour(c) * 3600 + F.minute(c) * 60 + F.date_part(F.lit("SECOND"), c)
+        end_lit = bound(ledger, date, end)
+        days = F.datediff(F.to_date(end_lit), F.to_date(start))
+        if isinstance(dtype, DateType):
+            return days.cast("bigint")
+        return (days - F.when(tod(start) > tod(end_lit), 1).otherwise(0)).cast("bigint")
+    return F.timestamp_diff("DAY", start, bound(ledger, date, end))
+
+
 def _in_window(ledger: DataFrame, window: StudyWindow, days: int, date: str) -> Column:
     return F.col(date) >= bound(ledger, date, window.window_start(days))
 
@@ -52,8 +75,7 @@ def recency(ledger: DataFrame, window: StudyWindow, key: str = KEY_COL,
     """Last observed date per customer and whole 24-hour days from it to the cutoff."""
     last = _observed(ledger, window, key, date).groupBy(key).agg(F.max(date).alias("last_tx_date"))
     return last.select(key, "last_tx_date",
-                       F.timestamp_diff("DAY", F.col("last_tx_date"),
-                                        bound(ledger, date, window.cutoff)).alias("recency_days"))
+                       whole_days(ledger, date, F.col("last_tx_date"), window.cutoff).alias("recency_days"))
 
 
 def frequency(ledger: DataFrame, window: StudyWindow, key: str = KEY_COL,
@@ -101,7 +123,7 @@ def rfm_features(ledger: DataFrame, window: StudyWindow, key: str = KEY_COL,
     change = (f_mid - f_wide / k) / (f_wide / k + F.lit(1.0))
     return g.select(
         key,
-        F.timestamp_diff("DAY", F.col("_last"), bound(ledger, date, window.cutoff)).alias("recency_days"),
+        whole_days(ledger, date, F.col("_last"), window.cutoff).alias("recency_days"),
         *window.freq_cols,
         F.coalesce(F.col("_value"), F.lit(0.0)).alias(window.value_col),
         half_even(change, 4).alias(change_col(window)),

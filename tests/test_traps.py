@@ -196,3 +196,18 @@ def test_approx_quantiles_close_to_exact(spark):
     exact = one(S.describe_by(df, ["s"], digits=4))
     approx = one(S.describe_by(df, ["s"], digits=4, approx=True))
     assert abs(approx.q50 - exact.q50) <= 1.0 and abs(approx.q25 - exact.q25) <= 1.0
+
+
+def test_t3_recency_ignores_session_time_zone(spark):
+    # US clocks spring forward on 2023-03-12: in that zone the span from
+    # 03-10 00:00 to 03-20 00:00 is 10 days minus an hour of real time.
+    w = StudyWindow(cutoff="2023-03-20", pop_start="2023-03-01", target_lo="2023-03-21", target_hi="2023-03-25")
+    df = ledger(spark, [(1, dt.datetime(2023, 3, 10, 0, 0), 1.0, "a"),
+                        (2, dt.datetime(2023, 3, 9, 12, 0), 1.0, "a")])
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        got = {r.customer_id: r.recency_days for r in A.rfm_features(df, w).collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == {1: 10, 2: 10}
