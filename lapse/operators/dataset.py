@@ -20,17 +20,19 @@ CAT_COLS = ["income_bracket", "gender", "location", "customer_segment",
             "clv_segment", "feedback_sentiment"]
 
 
-def model_dataset(profile: DataFrame, rfm: DataFrame, label: DataFrame,
+def model_dataset(profile: DataFrame, rfm: DataFrame, label: DataFrame | None = None,
                   key: str = KEY_COL, exclude: Sequence[str] = ()) -> DataFrame:
-    """Profiles that have features and a label (two inner joins on the key).
+    """Profiles that have features and a label (inner joins on the key).
 
-    ``rfm`` and ``label`` both come out of aggregations keyed by ``key``, so
-    they are already hash-partitioned alike and join without a new shuffle;
-    only the profile side is exchanged.  ``exclude`` drops profile columns that
-    would leak post-cutoff information.
+    Pass ``rfm_with_label`` output alone (features and label from one
+    aggregation) for a single join; or separate ``rfm`` and ``label`` frames,
+    which come out of aggregations keyed by ``key`` and so join without a new
+    shuffle.  ``exclude`` drops profile columns that would leak post-cutoff
+    information.
     """
     prof = profile.drop(*present(profile, exclude))
-    out = prof.join(rfm.join(label, key, "inner"), key, "inner")
+    feats = rfm if label is None else rfm.join(label, key, "inner")
+    out = prof.join(feats, key, "inner")
     if "active_products" in out.columns:
         out = out.withColumn("active_products_count", F.col("active_products"))
     return out

@@ -147,6 +147,43 @@ def inactivity_label(ledger: DataFrame, window: StudyWindow, key: str = KEY_COL,
     return flags.filter(F.col("_pop") == 1).select(key, (F.lit(1) - F.col("_tgt")).cast("int").alias(label))
 
 
+def rfm_with_label(ledger: DataFrame, window: StudyWindow, key: str = KEY_COL, date: str = "date",
+                   amount: str = "amount", label: str = LABEL_COL) -> DataFrame:
+    """Features and label of the population in one pass over the ledger.
+
+    Equal to ``rfm_features`` inner-joined with ``inactivity_label`` (every
+    population member is observed), but the ledger is scanned once, with one
+    pushed bound ``date <= target_hi``, and aggregated by customer once: no
+    second scan, no second shuffle, no join between the two.
+    """
+    d = F.col(date)
+    cut = bound(ledger, date, window.cutoff)
+    obs = d <= cut
+    in_pop = (d >= bound(ledger, date, window.pop_start)) & obs
+    in_tgt = (d >= bound(ledger, date, window.target_lo)) & (d <= bound(ledger, date, window.target_hi))
+    wide = window.widest
+    aggs = [F.max(F.when(obs, d)).alias("_last")]
+    aggs += [F.count_if(obs & _in_window(ledger, window, n, date)).alias(window.freq_col(n))
+             for n in reversed(window.days)]
+    aggs.append(exact_mean(F.when(obs & _in_window(ledger, window, wide, date), F.col(amount))).alias("_value"))
+    aggs += [F.max(in_pop.cast("int")).alias("_pop"), F.max(in_tgt.cast("int")).alias("_tgt")]
+    rows = ledger.filter(F.col(key).isNotNull() & (d <= bound(ledger, date, window.target_hi)))
+    g = rows.groupBy(key).agg(*aggs).filter(F.col("_pop") == 1)
+    mid = window.days[-2]
+    k = F.lit(float(wide) / float(mid))
+    f_wide = F.col(window.freq_col(wide)).cast("double")
+    f_mid = F.col(window.freq_col(mid)).cast("double")
+    change = (f_mid - f_wide / k) / (f_wide / k + F.lit(1.0))
+    return g.select(
+        key,
+        whole_days(ledger, date, F.col("_last"), window.cutoff).alias("recency_days"),
+        *window.freq_cols,
+        F.coalesce(F.col("_value"), F.lit(0.0)).alias(window.value_col),
+        half_even(change, 4).alias(change_col(window)),
+        (F.lit(1) - F.col("_tgt")).cast("int").alias(label),
+    )
+
+
 def feature_stats(rfm: DataFrame, cols: list[str]) -> DataFrame:
     """Mean (2 dp), min and max of each feature, one row per feature."""
     aggs = []

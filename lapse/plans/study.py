@@ -23,7 +23,7 @@ from lapse.config import KEY_COL, LABEL_COL, StudyWindow
 from lapse.functions.materialize import freeze
 from lapse.operators.cleaning import FILL_ZERO_COLS, dedup_exact, zero_fill
 from lapse.operators.dataset import CAT_COLS, apply_encoder, fit_encoder, model_dataset, ordered_split
-from lapse.operators.features import inactivity_label, rfm_features
+from lapse.operators.features import inactivity_label, rfm_features, rfm_with_label
 
 
 class Study:
@@ -57,7 +57,8 @@ class Study:
     @cached_property
     def model(self) -> DataFrame:
         """Lazy model table (for single-use summaries)."""
-        return model_dataset(self.profile, self.rfm, self.label, key=self.key, exclude=self.exclude)
+        feats = rfm_with_label(self.tx_clean, self.window, key=self.key, label=self.label_col)
+        return model_dataset(self.profile, feats, key=self.key, exclude=self.exclude)
 
     def _freeze(self, df: DataFrame) -> DataFrame:
         return freeze(df) if self.checkpoint else df

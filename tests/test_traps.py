@@ -211,3 +211,15 @@ def test_t3_recency_ignores_session_time_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert got == {1: 10, 2: 10}
+
+
+def test_one_pass_features_equal_join_of_parts(spark):
+    rows = [(c, CUT - dt.timedelta(days=d, hours=h), float(10 * c + d), "a")
+            for c in range(1, 6) for d in (0, 3, 20, 45, 80, 100) for h in (0, 5) if (c + d) % 3]
+    rows += [(c, dt.datetime(2023, 12, 2 + c), 1.0, "a") for c in (1, 3)]
+    rows += [(9, dt.datetime(2023, 12, 5), 1.0, "a"), (None, CUT, 1.0, "a")]
+    df = ledger(spark, rows)
+    one_pass = sorted(tuple(r) for r in A.rfm_with_label(df, W).collect())
+    parts = A.rfm_features(df, W).join(A.inactivity_label(df, W), "customer_id")
+    assert one_pass == sorted(tuple(r) for r in parts.collect())
+    assert len(one_pass) == 5
