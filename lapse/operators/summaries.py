@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lapse.config import KEY_COL, LABEL_COL
+from lapse.config import LABEL_COL
 from lapse.functions.columns import present
 from lapse.functions.numeric import half_even, pct
 from lapse.functions.ordering import reindex

@@ -11,10 +11,8 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from lapse.config import INTRADAY_WINDOW, LABEL_COL, LEDGER_WINDOW
-from lapse.functions.columns import present
 from lapse.operators import cleaning as C
 from lapse.operators import dataset as D
 from lapse.operators import features as A
@@ -615,4 +613,3 @@ def oracle_sql() -> dict[str, str]:
     return {q.name: q.sql for q in CATALOG if q.sql is not None}
 
 
-__all__ = ["CATALOG", "Query", "queries", "oracle_sql", "study", "present", "F"]
