@@ -47,36 +47,10 @@ def pair_corr(a: Column, b: Column) -> Column:
     return F.try_divide(F.covar_pop(a2, b2), F.stddev_pop(a2) * F.stddev_pop(b2))
 
 
-def self_corr(a: Column) -> Column:
-    """Diagonal of a correlation matrix: 1 when the column varies, else null."""
-    return F.when(F.stddev_pop(a.cast("double")) > 0, F.lit(1.0))
-
-
-# -- SQL-text forms, for wide generated aggregations ---------------------------
-# Building hundreds of expressions through the Column API costs one JVM round
-# trip per call; the same expressions as SQL text are parsed in one call.
+# -- SQL text -------------------------------------------------------------------
+# Generated expressions over many columns are passed as SQL text: through the
+# Column API each call is one JVM round trip.
 
 def q(name: str) -> str:
     """Backquote a column name for SQL text."""
     return "`" + name.replace("`", "``") + "`"
-
-
-def half_even_sql(expr: str, digits: int) -> str:
-    scale = f"{float(10 ** digits)!r}D"
-    return f"(rint(({expr}) * {scale}) / {scale})"
-
-
-def pair_corr_sql(a: str, b: str) -> str:
-    """SQL text of :func:`pair_corr` for columns ``a`` and ``b``."""
-    both = f"{q(a)} IS NOT NULL AND {q(b)} IS NOT NULL"
-    a2 = f"IF({both}, CAST({q(a)} AS DOUBLE), NULL)"
-    b2 = f"IF({both}, CAST({q(b)} AS DOUBLE), NULL)"
-    return f"try_divide(covar_pop({a2}, {b2}), stddev_pop({a2}) * stddev_pop({b2}))"
-
-
-def self_corr_sql(a: str) -> str:
-    return f"IF(stddev_pop(CAST({q(a)} AS DOUBLE)) > 0, 1.0D, NULL)"
-
-
-def sql_str(value: str) -> str:
-    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
