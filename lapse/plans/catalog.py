@@ -272,7 +272,8 @@ def _coverage_sql(view: str) -> str:
 
 @register("date_coverage", _coverage_sql("tx_clean"))
 def q_coverage(spark, sf):
-    return C.date_coverage(study(spark, sf).tx_clean)
+    # min, max and distinct days cannot change under dedup: read the ledger as is
+    return C.date_coverage(study(spark, sf).ledger)
 
 
 @register("date_coverage_intraday", _coverage_sql("ledger_intraday"))
@@ -336,7 +337,8 @@ FROM (SELECT COUNT(p.k) AS n_parent_keys, COUNT(c.k) AS n_child_keys,
 @register("referential_integrity", _integrity_sql("profile", "tx_clean"))
 def q_integrity(spark, sf):
     s = study(spark, sf)
-    return J.referential_integrity(C.exclude_columns(s.profile, PROFILE_EXCLUDE), s.tx_clean)
+    # distinct keys cannot change under dedup: read the ledger as is
+    return J.referential_integrity(C.exclude_columns(s.profile, PROFILE_EXCLUDE), s.ledger)
 
 
 @register("referential_integrity_events", _integrity_sql("profile", "ledger_intraday"))

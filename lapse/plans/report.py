@@ -41,10 +41,11 @@ def study_outputs(profile: DataFrame, ledger: DataFrame, econ: DataFrame, window
         "correlation_bottom_pairs": P.correlation_pairs(profile, largest=False),
         "exclusion_report": C.exclusion_report(profile, exclude),
         "dedup_stats": C.dedup_stats(ledger),
-        "date_coverage": C.date_coverage(s.tx_clean),
+        # min / max / distinct days and distinct keys cannot change under dedup
+        "date_coverage": C.date_coverage(ledger),
         "monthly_counts": C.monthly_counts(s.tx_clean),
         "window_counts": A.window_counts(s.tx_clean, window),
-        "referential_integrity": J.referential_integrity(profile_clean, s.tx_clean),
+        "referential_integrity": J.referential_integrity(profile_clean, ledger),
         "rfm_features": s.rfm,
         "feature_stats": A.feature_stats(s.rfm, rfm_cols),
         "inactivity_label": s.label,

@@ -52,7 +52,8 @@ class Study:
 
     @cached_property
     def label(self) -> DataFrame:
-        return inactivity_label(self.tx_clean, self.window, key=self.key, label=self.label_col)
+        # presence flags (max) cannot change with duplicates: no dedup needed
+        return inactivity_label(self.ledger, self.window, key=self.key, label=self.label_col)
 
     @cached_property
     def model(self) -> DataFrame:
