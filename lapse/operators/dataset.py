@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -52,56 +53,59 @@ def ordered_split(df: DataFrame, order_col: str = "recency_days", tie_col: str =
                   checked_lookups: bool = True) -> DataFrame:
     """70/15/15 split by position after sorting on ``(order_col, tie_col)``.
 
-    Sizes follow ``int(n * 0.70)`` and ``int(n * 0.15)`` in binary floating
-    point; the rest is the last part.  ``tie_col`` makes the order total (a
-    sort on ``order_col`` alone leaves ties undefined).
-
-    No global sort or unpartitioned window over the rows: each order value is
-    cut into blocks of about ``rows_per_block`` rows by the tie key's own range
-    (a monotone function, so block order = row order), the tiny per-block count
-    table gets running offsets, and a row's position is its block offset plus
-    its row number inside the block.  A single order value holding a third of
-    all rows still spreads over many blocks.  For a non-integral tie key each
-    order value is one block.
-
-    With ``checked_lookups`` the two lookup tables (per order value, per
-    block) are frozen and broadcast only under a row limit (two small jobs
-    run when the plan is built); otherwise AQE picks the join at run time.
+    Sizes are ``int(n * 0.70)`` and ``int(n * 0.15)`` in binary floating
+    point, the rest is the last part; ``tie_col`` makes the order total (a
+    sort on ``order_col`` alone leaves ties undefined).  Null order values
+    sort last.
+
+    No global sort and no unpartitioned window over the rows:
+
+    1. one scalar aggregate gives n and the tie key's range (three numbers);
+    2. a monotone block number cuts the tie-key range into ceil(n /
+       rows_per_block) equal intervals, so within one order value, block order
+       is row order, and a value holding a third of all rows spreads over many
+       blocks;
+    3. rows per (order value, block) -> running offsets over that small table;
+    4. position = block offset + row number inside the (order value, block).
+
+    With ``checked_lookups`` the offsets table is frozen and broadcast only
+    under a row limit, otherwise AQE picks the join at run time.  For a
+    non-integral tie key every order value is one block.
     """
-    lookup = sized_broadcast if checked_lookups else (lambda t: t)
-    n_blocks = F.col("_nb")
-    stats = df.groupBy(order_col).agg(
-        F.count(F.lit(1)).alias("_n"), F.min(tie_col).alias("_lo"), F.max(tie_col).alias("_hi"))
-    if isinstance(df.schema[tie_col].dataType, IntegralType):
-        stats = stats.withColumn("_nb", F.greatest(F.lit(1).cast("bigint"),
-                                                   F.ceil(F.col("_n") / F.lit(float(rows_per_block)))))
-        span = (F.col("_hi") - F.col("_lo")).cast("double") + F.lit(1.0)
-        block = F.least(F.floor((F.col(tie_col) - F.col("_lo")).cast("double") * n_blocks / span),
-                        n_blocks - 1)
+    integral = isinstance(df.schema[tie_col].dataType, IntegralType)
+    aggs = [F.count(F.lit(1)).alias("n")]
+    if integral:
+        aggs += [F.min(tie_col).alias("lo"), F.max(tie_col).alias("hi")]
+    head = df.agg(*aggs).first()
+    n = int(head["n"])
+    n_first, n_second = int(n * fractions[0]), int(n * fractions[1])
+    if integral and n > 0 and head["lo"] is not None:
+        n_blocks = max(1, math.ceil(n / rows_per_block))
+        span = float(head["hi"]) - float(head["lo"]) + 1.0
+        offset = (F.col(tie_col) - F.lit(head["lo"])).cast("double")
+        block = F.least(F.floor(offset * F.lit(float(n_blocks)) / F.lit(span)), F.lit(n_blocks - 1))
+        block = F.coalesce(block, F.lit(n_blocks - 1).cast("bigint"))
     else:
-        stats = stats.withColumn("_nb", F.lit(1).cast("bigint"))
         block = F.lit(0).cast("bigint")
-    # Per order value stats are small; AQE broadcasts them when its runtime
-    # size check passes, otherwise a skew-split shuffle join is used.
-    tagged = df.join(lookup(stats.select(order_col, "_lo", "_hi", "_nb")), order_col, "inner").withColumn("_blk", block)
+    tagged = df.withColumn("_blk", block)
 
     counts = tagged.groupBy(order_col, "_blk").agg(F.count(F.lit(1)).alias("_cnt"))
     # Running offsets over the per-block counts only (at most n / rows_per_block
-    # + distinct order values rows), never over base rows.
-    before = Window.orderBy(order_col, "_blk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(order_col, "_blk",
-                            F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"),
-                            F.sum("_cnt").over(Window.partitionBy()).alias("_total"))
-
+    # blocks per order value), never over base rows.
+    before = (Window.orderBy(F.col(order_col).asc_nulls_last(), "_blk")
+                    .rowsBetween(Window.unboundedPreceding, -1))
+    offsets = counts.select(F.col(order_col).alias("_ord"), F.col("_blk").alias("_b"),
+                            F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
+    if checked_lookups:
+        offsets = sized_broadcast(offsets)
+
+    cond = F.col(order_col).eqNullSafe(F.col("_ord")) & (F.col("_blk") == F.col("_b"))
     inner = Window.partitionBy(order_col, "_blk").orderBy(tie_col)
     pos = F.col("_off") + F.row_number().over(inner) - 1
-    total = F.col("_total").cast("double")
-    n_first = F.floor(total * F.lit(float(fractions[0])))
-    n_second = F.floor(total * F.lit(float(fractions[1])))
     split = (F.when(F.col("_pos") < n_first, names[0])
               .when(F.col("_pos") < n_first + n_second, names[1])
               .otherwise(names[2]))
-    numbered = tagged.join(lookup(offsets), [order_col, "_blk"], "inner").withColumn("_pos", pos)
+    numbered = tagged.join(offsets, cond, "inner").withColumn("_pos", pos)
     return numbered.withColumn(split_col, split).select(*df.columns, split_col)
 
 
