@@ -142,14 +142,17 @@ def histogram_by(df: DataFrame, group: str = LABEL_COL, col: str = "recency_days
     j = j.withColumn("_i", F.when(F.col("_x") < edge(F.col("_i")), F.col("_i") - 1).otherwise(F.col("_i")))
     j = j.withColumn("_i", F.when((F.col("_x") >= edge(F.col("_i") + 1)) & (F.col("_i") != nb - 1),
                                   F.col("_i") + 1).otherwise(F.col("_i")))
-    counts = j.groupBy(group, F.col("_i").cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    grid = rng.select(group, "_lo", "_hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    counts = j.groupBy(group, "_lo", "_hi", F.col("_i").cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    # One row per group with its non-empty bins as a map (at most ``bins``
+    # entries), then every bin from 0 to bins-1: the ranges are used once.
+    per_group = counts.groupBy(group, "_lo", "_hi").agg(
+        F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("_m"))
     b = F.col("bin")
-    out = (grid.join(counts, [group, "bin"], "left")
-               .select(group, "bin",
-                       half_even(edge(b), digits).alias("bin_lo"),
-                       half_even(edge(b + 1), digits).alias("bin_hi"),
-                       F.coalesce(F.col("n"), F.lit(0).cast("bigint")).alias("n")))
+    out = (per_group.select(group, "_lo", "_hi", "_m", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+                    .select(group, "bin",
+                            half_even(edge(b), digits).alias("bin_lo"),
+                            half_even(edge(b + 1), digits).alias("bin_hi"),
+                            F.coalesce(F.try_element_at("_m", b), F.lit(0).cast("bigint")).alias("n")))
     return out.orderBy(group, "bin")
 
 
