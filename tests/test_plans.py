@@ -53,3 +53,22 @@ def test_correlation_is_one_aggregate_pass(spark):
     p = plan(queries()["correlation_matrix"](spark, SF001))
     # the profile view's orders aggregation and the one global correlation aggregate
     assert p.count("SortAggregate") + p.count("HashAggregate") + p.count("ObjectHashAggregate") <= 6
+
+
+def test_model_table_scans_the_ledger_once(spark):
+    p = plan(queries()["model_dataset"](spark, SF001))
+    assert p.count("lineitem.parquet") == 1
+    # features and label in one aggregation: one join, with the profile
+    assert p.count("SortMergeJoin") + p.count("BroadcastHashJoin") <= 4  # ledger, nation, orders-agg, profile
+
+
+def test_encoded_table_needs_no_shuffle(spark):
+    p = plan(queries()["encoded_dataset"](spark, SF001))
+    assert "Exchange" not in p.replace("BroadcastExchange", "")
+    assert p.count("BroadcastHashJoin") == 3
+
+
+def test_dedup_hashes_on_every_column(spark):
+    p = plan(queries()["dedup_exact"](spark, SF001))
+    assert "hashpartitioning(customer_id" in p and "REPARTITION_BY_COL" in p
+    assert p.count("Exchange hashpartitioning") == 1
