@@ -223,3 +223,20 @@ def test_one_pass_features_equal_join_of_parts(spark):
     parts = A.rfm_features(df, W).join(A.inactivity_label(df, W), "customer_id")
     assert one_pass == sorted(tuple(r) for r in parts.collect())
     assert len(one_pass) == 5
+
+
+def test_t15_calendar_days_truncate_both_ends(spark):
+    from lapse.operators import cleaning as C
+    df = ledger(spark, [(1, dt.datetime(2024, 1, 1, 10), 1.0, "a"), (1, dt.datetime(2024, 1, 1, 23), 1.0, "a"),
+                        (2, dt.datetime(2024, 1, 4, 9), 1.0, "a")])
+    r = one(C.date_coverage(df))
+    assert (r.min_date, r.max_date) == (dt.date(2024, 1, 1), dt.date(2024, 1, 4))
+    assert (r.calendar_days, r.active_days, r.empty_days) == (4, 2, 2)
+
+
+def test_t16_t17_bottom_pairs_and_mean_names(spark):
+    df = spark.createDataFrame([(float(i), float(i * i), float(10 - i), float(i % 3)) for i in range(10)],
+                               "a double, b double, c double, d double")
+    low = [(r.feature_a, r.feature_b) for r in P.correlation_pairs(df, ["a", "b", "c", "d"], k=2, largest=False).collect()]
+    assert low[0] == ("a", "c")  # exactly -1, the lowest pair
+    assert P.mean_name("support_tickets_count") == "mean_support_tickets_co"
