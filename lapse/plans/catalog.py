@@ -367,7 +367,8 @@ def q_keys_without(spark, sf):
   date_sub('day', MAX(date), {TS(W.cutoff)}) AS recency_days
 FROM tx_clean WHERE date <= {TS(W.cutoff)} AND customer_id IS NOT NULL GROUP BY customer_id""", "tx_clean"))
 def q_recency(spark, sf):
-    return A.recency(study(spark, sf).tx_clean, W)
+    # the last date per customer cannot change under dedup: read the ledger as is
+    return A.recency(study(spark, sf).ledger, W)
 
 
 @register("windowed_frequency", V(f"""SELECT customer_id, """ + ", ".join(
