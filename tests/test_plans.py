@@ -68,7 +68,10 @@ def test_encoded_table_needs_no_shuffle(spark):
     assert p.count("BroadcastHashJoin") == 3
 
 
-def test_dedup_hashes_on_every_column(spark):
+def test_dedup_hashes_on_every_column_after_map_side_combine(spark):
     p = plan(queries()["dedup_exact"](spark, SF001))
-    assert "hashpartitioning(customer_id" in p and "REPARTITION_BY_COL" in p
+    assert "hashpartitioning(customer_id" in p and "REPARTITION_BY_COL" not in p
     assert p.count("Exchange hashpartitioning") == 1
+    # partial aggregation below the exchange merges copies inside each task
+    below = p.split("Exchange hashpartitioning", 1)[1]
+    assert "HashAggregate" in below

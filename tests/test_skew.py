@@ -42,3 +42,19 @@ def test_features_with_a_hot_customer(spark):
         assert r[f"freq_{d}d"] == (obs.date >= pd.Timestamp(w.window_start(d))).sum()
     in90 = obs[obs.date >= pd.Timestamp(w.window_start(90))].amount
     assert abs(r.avg_value_90d - in90.mean()) < 1e-6
+
+
+def test_dedup_with_a_hot_group_of_copies(spark):
+    """Copies of one row make up a third of the input: map-side combining
+    merges them inside each task, and the result is still exact."""
+    from lapse.operators import cleaning as C
+    ledger = Tables(spark, SF01).ledger
+    n = ledger.count()
+    # replicate the first row n/2 times with an exploded counter (no join)
+    first = ledger.orderBy(*ledger.columns).limit(1)
+    reps = first.select("*", F.explode(F.sequence(F.lit(1), F.lit(n // 2))).alias("_k")).drop("_k")
+    hot = ledger.unionByName(reps)
+    r = C.dedup_stats(hot).first()
+    assert r.rows_before == n + n // 2
+    assert r.rows_after == C.dedup_exact(ledger).count()
+    assert C.dedup_exact(hot).count() == r.rows_after
