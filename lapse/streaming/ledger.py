@@ -6,6 +6,11 @@ State stays bounded: the dedup key contains the event-time column, so the
 watermark evicts old keys; period counts are emitted in append mode and then
 dropped from state.  Progress and state live in the query's checkpoint
 location, so a restarted query (or a lost executor) resumes exactly.
+
+Limit: streaming deduplication is keyed by the whole row with no map-side
+combining, so many identical copies inside one micro-batch meet in one task
+(the batch ``dedup_exact`` merges them per task before its shuffle); bound
+the batch size with ``max_files_per_trigger`` for such feeds.
 """
 
 from __future__ import annotations
