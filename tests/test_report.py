@@ -33,3 +33,18 @@ def test_study_from_csv_writes_every_output(spark):
     # same model population as the parquet-based pipeline
     from lapse.plans.catalog import study
     assert enc.count() == study(spark, SF001).model.count()
+
+
+def test_cli_runs_the_study(spark):
+    from lapse.__main__ import main
+    t = Tables(spark, SF001)
+    root = tempfile.mkdtemp(prefix="lapse-cli-")
+    t.profile.write.parquet(os.path.join(root, "profile"))
+    t.ledger.write.parquet(os.path.join(root, "ledger"))
+    out = os.path.join(root, "out")
+    main(["--profile", os.path.join(root, "profile"), "--ledger", os.path.join(root, "ledger"), "--out", out,
+          "--format", "parquet", "--cutoff", "2001-06-30", "--pop-start", "2001-05-01",
+          "--target", "2001-07-01", "2001-07-29", "--econ-start", "2000-01-01",
+          "--segments", *PROFILE_SEGMENT_ORDER])
+    assert spark.read.parquet(os.path.join(out, "model_dataset")).count() == 87
+    assert spark.read.parquet(os.path.join(out, "strongest_month")).count() == 1
