@@ -101,12 +101,30 @@ def change_col(window: StudyWindow) -> str:
     return f"freq_{window.days[-2]}d_change"
 
 
+def _feature_cols(ledger: DataFrame, window: StudyWindow, key: str, date: str) -> list[Column]:
+    """Final feature columns from the aggregated ``_last``, ``freq_*`` and
+    ``_value``: whole-day recency, counts, mean value (0 when no row in the
+    widest window) and the rate of change (f_mid - f_wide/k) / (f_wide/k + 1)
+    at 4 dp, with k = wide / mid (90 / 30 = 3), in the formula's own order."""
+    wide, mid = window.widest, window.days[-2]
+    k = F.lit(float(wide) / float(mid))
+    f_wide = F.col(window.freq_col(wide)).cast("double")
+    f_mid = F.col(window.freq_col(mid)).cast("double")
+    change = (f_mid - f_wide / k) / (f_wide / k + F.lit(1.0))
+    return [
+        F.col(key),
+        whole_days(ledger, date, F.col("_last"), window.cutoff).alias("recency_days"),
+        *[F.col(c) for c in window.freq_cols],
+        F.coalesce(F.col("_value"), F.lit(0.0)).alias(window.value_col),
+        half_even(change, 4).alias(change_col(window)),
+    ]
+
+
 def rfm_features(ledger: DataFrame, window: StudyWindow, key: str = KEY_COL,
                  date: str = "date", amount: str = "amount") -> DataFrame:
-    """One row per observed customer: recency, trailing frequencies, mean value,
-    and the rate of change ``(f_mid - f_wide/k) / (f_wide/k + 1)`` (4 dp),
-    with ``k = wide / mid`` (90 / 30 = 3).  Customers without rows in a window
-    get 0 for it.
+    """One row per observed customer: recency, trailing frequencies, mean value
+    and rate of change (see ``_feature_cols``).  Customers without rows in a
+    window get 0 for it.
     """
     wide = window.widest
     in_wide = _in_window(ledger, window, wide, date)
@@ -115,19 +133,7 @@ def rfm_features(ledger: DataFrame, window: StudyWindow, key: str = KEY_COL,
              for d in reversed(window.days)]
     aggs.append(exact_mean(F.when(in_wide, F.col(amount))).alias("_value"))
     g = _observed(ledger, window, key, date).groupBy(key).agg(*aggs)
-
-    mid = window.days[-2]
-    k = F.lit(float(wide) / float(mid))
-    f_wide = F.col(window.freq_col(wide)).cast("double")
-    f_mid = F.col(window.freq_col(mid)).cast("double")
-    change = (f_mid - f_wide / k) / (f_wide / k + F.lit(1.0))
-    return g.select(
-        key,
-        whole_days(ledger, date, F.col("_last"), window.cutoff).alias("recency_days"),
-        *window.freq_cols,
-        F.coalesce(F.col("_value"), F.lit(0.0)).alias(window.value_col),
-        half_even(change, 4).alias(change_col(window)),
-    )
+    return g.select(*_feature_cols(ledger, window, key, date))
 
 
 def inactivity_label(ledger: DataFrame, window: StudyWindow, key: str = KEY_COL,
@@ -169,19 +175,8 @@ def rfm_with_label(ledger: DataFrame, window: StudyWindow, key: str = KEY_COL, d
     aggs += [F.max(in_pop.cast("int")).alias("_pop"), F.max(in_tgt.cast("int")).alias("_tgt")]
     rows = ledger.filter(F.col(key).isNotNull() & (d <= bound(ledger, date, window.target_hi)))
     g = rows.groupBy(key).agg(*aggs).filter(F.col("_pop") == 1)
-    mid = window.days[-2]
-    k = F.lit(float(wide) / float(mid))
-    f_wide = F.col(window.freq_col(wide)).cast("double")
-    f_mid = F.col(window.freq_col(mid)).cast("double")
-    change = (f_mid - f_wide / k) / (f_wide / k + F.lit(1.0))
-    return g.select(
-        key,
-        whole_days(ledger, date, F.col("_last"), window.cutoff).alias("recency_days"),
-        *window.freq_cols,
-        F.coalesce(F.col("_value"), F.lit(0.0)).alias(window.value_col),
-        half_even(change, 4).alias(change_col(window)),
-        (F.lit(1) - F.col("_tgt")).cast("int").alias(label),
-    )
+    return g.select(*_feature_cols(ledger, window, key, date),
+                    (F.lit(1) - F.col("_tgt")).cast("int").alias(label))
 
 
 def feature_stats(rfm: DataFrame, cols: list[str]) -> DataFrame:
