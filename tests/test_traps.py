@@ -240,3 +240,18 @@ def test_t16_t17_bottom_pairs_and_mean_names(spark):
     low = [(r.feature_a, r.feature_b) for r in P.correlation_pairs(df, ["a", "b", "c", "d"], k=2, largest=False).collect()]
     assert low[0] == ("a", "c")  # exactly -1, the lowest pair
     assert P.mean_name("support_tickets_count") == "mean_support_tickets_co"
+
+
+def test_encoder_block_path_equals_window_path(spark):
+    from lapse.plans.catalog import study
+    from tests.conftest import SF01
+    split = study(spark, SF01).split
+    train = split.filter("split = 'train'")
+    cols = ["income_bracket", "location", "customer_segment"]
+    small = sorted(tuple(r) for r in D.fit_encoder(train, cols).collect())
+    blocks = sorted(tuple(r) for r in D.fit_encoder(train, cols, window_rows=5, rows_per_block=4).collect())
+    assert small == blocks and len(small) > 20
+    # unicode and prefixes sort by bytes, like the sorted classes of a label encoder
+    df = spark.createDataFrame([(v,) for v in ["b", "a", "ab", "abcdefgh1", "abcdefgh0", "Z", "é", "zz"]], "g string")
+    got = {r.value: r.code for r in D.fit_encoder(df, ["g"], window_rows=1, rows_per_block=2).collect()}
+    assert [v for v, _ in sorted(got.items(), key=lambda kv: kv[1])] == sorted(got, key=lambda v: v.encode())
