@@ -71,6 +71,11 @@ def ordered_split(df: DataFrame, order_col: str = "recency_days", tie_col: str =
     With ``checked_lookups`` the offsets table is frozen and broadcast only
     under a row limit, otherwise AQE picks the join at run time.  For a
     non-integral tie key every order value is one block.
+
+    Bound: the offsets window runs over one row per (order value, block), at
+    most distinct order values x blocks.  For whole-day recency that is at
+    most (days in the ledger) x n / rows_per_block rows; an order column with
+    nearly unique values would make it as large as the input.
     """
     integral = isinstance(df.schema[tie_col].dataType, IntegralType)
     aggs = [F.count(F.lit(1)).alias("n")]
