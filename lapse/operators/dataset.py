@@ -7,7 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegralType
+from pyspark.sql.types import IntegralType, NumericType
 
 from lapse.config import KEY_COL, LABEL_COL
 from lapse.functions.columns import present, str_class
@@ -72,13 +72,13 @@ def ordered_split(df: DataFrame, order_col: str = "recency_days", tie_col: str =
     under a row limit, otherwise AQE picks the join at run time.  For a
     non-integral tie key every order value is one block.
 
-    Bound: the offsets window runs over one row per (order value, block), at
-    most distinct order values x blocks.  For whole-day recency that is at
-    most (days in the ledger) x n / rows_per_block rows; an order column with
-    nearly unique values would make it as large as the input.
+    The offsets have one row per (order value, block); when an estimate of
+    that count exceeds ``rows_per_block`` they are computed in ranges of the
+    order value (see ``_running_offsets``), so no task numbers more than about
+    ``rows_per_block`` rows or cells.
     """
     integral = isinstance(df.schema[tie_col].dataType, IntegralType)
-    aggs = [F.count(F.lit(1)).alias("n")]
+    aggs = [F.count(F.lit(1)).alias("n"), F.approx_count_distinct(order_col).alias("n_ord")]
     if integral:
         aggs += [F.min(tie_col).alias("lo"), F.max(tie_col).alias("hi")]
     head = df.agg(*aggs).first()
@@ -95,12 +95,9 @@ def ordered_split(df: DataFrame, order_col: str = "recency_days", tie_col: str =
     tagged = df.withColumn("_blk", block)
 
     counts = tagged.groupBy(order_col, "_blk").agg(F.count(F.lit(1)).alias("_cnt"))
-    # Running offsets over the per-block counts only (at most n / rows_per_block
-    # blocks per order value), never over base rows.
-    before = (Window.orderBy(F.col(order_col).asc_nulls_last(), "_blk")
-                    .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = counts.select(F.col(order_col).alias("_ord"), F.col("_blk").alias("_b"),
-                            F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
+    n_blocks_used = max(1, math.ceil(n / rows_per_block)) if integral else 1
+    cells = min(n, (int(head["n_ord"]) + 1) * n_blocks_used)  # estimate, picks the path only
+    offsets = _running_offsets(counts, order_col, cells, rows_per_block)
     if checked_lookups:
         offsets = sized_broadcast(offsets)
 
@@ -114,6 +111,40 @@ def ordered_split(df: DataFrame, order_col: str = "recency_days", tie_col: str =
     return numbered.withColumn(split_col, split).select(*df.columns, split_col)
 
 
+def _running_offsets(counts: DataFrame, order_col: str, cells: int, window_rows: int) -> DataFrame:
+    """``(_ord, _b, _off)``: rows before each (order value, block) cell in
+    (order asc nulls last, block) order.
+
+    Up to ``window_rows`` cells one unpartitioned window runs over the cell
+    counts.  Beyond that (an order column with nearly unique values) the cells
+    are grouped into ranges of the order value (a monotone numeric key), the
+    range totals get running offsets (a table of ~cells / window_rows rows),
+    and running sums inside each range finish the job: no task sees more than
+    about ``window_rows`` cells.
+    """
+    order = F.col(order_col).asc_nulls_last()
+    numeric = isinstance(counts.schema[order_col].dataType, NumericType)
+    if cells <= window_rows or not numeric:
+        before = Window.orderBy(order, "_blk").rowsBetween(Window.unboundedPreceding, -1)
+        return counts.select(F.col(order_col).alias("_ord"), F.col("_blk").alias("_b"),
+                             F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
+    head = counts.agg(F.min(order_col).alias("lo"), F.max(order_col).alias("hi")).first()
+    n_ranges = max(1, math.ceil(cells / window_rows))
+    span = float(head["hi"]) - float(head["lo"]) + 1.0
+    x = (F.col(order_col) - F.lit(head["lo"])).cast("double")
+    rng = F.when(F.col(order_col).isNull(), F.lit(n_ranges)).otherwise(
+        F.least(F.floor(x * F.lit(float(n_ranges)) / F.lit(span)), F.lit(n_ranges - 1)))
+    ranged = counts.withColumn("_r", rng)
+    totals = ranged.groupBy("_r").agg(F.sum("_cnt").alias("_t"))
+    base = totals.select("_r", F.coalesce(F.sum("_t").over(
+        Window.orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_base"))
+    within = Window.partitionBy("_r").orderBy(order, "_blk").rowsBetween(Window.unboundedPreceding, -1)
+    # base has one row per range (n_ranges + 1 at most)
+    return (ranged.join(F.broadcast(base), "_r", "inner")
+                  .select(F.col(order_col).alias("_ord"), F.col("_blk").alias("_b"),
+                          (F.col("_base") + F.coalesce(F.sum("_cnt").over(within), F.lit(0))).alias("_off")))
+
+
 def split_sizes(df: DataFrame, split_col: str = "split", names: Sequence[str] = SPLIT_NAMES) -> DataFrame:
     """Rows per part and % (1 dp), in part order."""
     g = df.groupBy(split_col).agg(F.count(F.lit(1)).alias("n"))

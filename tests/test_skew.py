@@ -58,3 +58,19 @@ def test_dedup_with_a_hot_group_of_copies(spark):
     assert r.rows_before == n + n // 2
     assert r.rows_after == C.dedup_exact(ledger).count()
     assert C.dedup_exact(hot).count() == r.rows_after
+
+
+def test_split_with_nearly_unique_order_values(spark):
+    """Order values almost all distinct: the offsets take the ranged path and
+    the positions still equal a plain sort."""
+    cust = Tables(spark, SF01).table("customer").select(F.col("c_custkey").alias("customer_id"))
+    score = ((F.col("customer_id") * 7919) % 1499).cast("double")
+    df = cust.select("customer_id", F.when(F.col("customer_id") % 97 == 0, None).otherwise(score).alias("score"))
+    got = D.ordered_split(df, order_col="score", rows_per_block=50).toPandas()
+    pdf = df.toPandas().sort_values(["score", "customer_id"]).reset_index(drop=True)
+    n = len(pdf)
+    n1, n2 = int(n * 0.70), int(n * 0.15)
+    pdf["split"] = np.where(pdf.index < n1, "train", np.where(pdf.index < n1 + n2, "validation", "test"))
+    merged = pdf.merge(got, on="customer_id", suffixes=("_exp", "_got"))
+    assert len(merged) == n == len(got)
+    assert (merged.split_exp == merged.split_got).all()
