@@ -7,10 +7,10 @@ watermark evicts old keys; period counts are emitted in append mode and then
 dropped from state.  Progress and state live in the query's checkpoint
 location, so a restarted query (or a lost executor) resumes exactly.
 
-Limit: streaming deduplication is keyed by the whole row with no map-side
-combining, so many identical copies inside one micro-batch meet in one task
-(the batch ``dedup_exact`` merges them per task before its shuffle); bound
-the batch size with ``max_files_per_trigger`` for such feeds.
+Streaming deduplication is keyed by the whole row and Spark does no map-side
+combining for it, so many identical copies inside one micro-batch would meet
+in one task; ``dedup_stream(combine_in_tasks=True)`` merges copies per Arrow
+batch first (the batch ``dedup_exact`` merges them per task natively).
 """
 
 from __future__ import annotations
@@ -34,12 +34,24 @@ def read_ledger_stream(spark: SparkSession, path: str, schema: StructType, fmt:
     return reader.load(path)
 
 
-def dedup_stream(stream: DataFrame, date: str = "date", watermark: str = "2 days") -> DataFrame:
+def _drop_batch_copies(batches):
+    for pdf in batches:
+        yield pdf.drop_duplicates()
+
+
+def dedup_stream(stream: DataFrame, date: str = "date", watermark: str = "2 days",
+                 combine_in_tasks: bool = False) -> DataFrame:
     """Exact-duplicate removal over all columns with watermark-bounded state.
 
     The event time is cast to a session-zone timestamp for the watermark.
+    ``combine_in_tasks`` merges identical copies inside each Arrow batch
+    (``mapInPandas``, stateless) before the stateful shuffle, so a flood of
+    copies of one row sends at most one per batch to its task; it moves every
+    row through Python, so use it for feeds known to carry such floods.
     """
     ts = stream.withColumn(date, F.col(date).cast("timestamp"))
+    if combine_in_tasks:
+        ts = ts.mapInPandas(_drop_batch_copies, ts.schema)
     return ts.withWatermark(date, watermark).dropDuplicates(ts.columns)
 
 

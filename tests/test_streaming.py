@@ -59,3 +59,21 @@ def test_stream_resumes_from_checkpoint_exactly_once(spark):
     assert len(days) == len(set(days)) > first  # each closed day written once
     exp = {r.date: r.n_transactions for r in S.daily_volume(C.dedup_exact(ledger)).collect()}
     assert all(r.n_transactions == exp[r.date] for r in rows)
+
+
+def test_stream_dedup_merges_a_flood_of_copies(spark):
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    ledger = Tables(spark, SF001).ledger_intraday
+    root = tempfile.mkdtemp(prefix="lapse-stream-")
+    src = os.path.join(root, "in")
+    ledger.write.parquet(os.path.join(src, "b1"))
+    first = ledger.orderBy(*ledger.columns).limit(1)
+    first.select("*", F.explode(F.sequence(F.lit(1), F.lit(3000))).alias("_k")).drop("_k") \
+         .write.parquet(os.path.join(src, "b2"))
+    stream = read_ledger_stream(spark, src, ledger.schema, recursiveFileLookup="true")
+    q = start_sink(volume_stream(dedup_stream(stream, watermark="1 day", combine_in_tasks=True)),
+                   os.path.join(root, "out"), os.path.join(root, "ckpt"), available_now=True)
+    q.awaitTermination(300)
+    got = {r.date: r.n_transactions for r in spark.read.parquet(os.path.join(root, "out")).collect()}
+    exp = {r.date: r.n_transactions for r in S.daily_volume(C.dedup_exact(ledger)).collect()}
+    assert got and all(got[d] == exp[d] for d in got)
