@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType, NumericType
@@ -16,6 +17,10 @@ from lapse.functions.numeric import half_even
 
 SPLIT_NAMES = ("train", "validation", "test")
 
+# Approximate quantiles of the tie key taken for block cuts (caps the number
+# of blocks; beyond ~QUANTILE_PROBES * rows_per_block rows blocks grow).
+QUANTILE_PROBES = 1024
+
 # Categorical columns the study encodes.
 CAT_COLS = ["income_bracket", "gender", "location", "customer_segment",
             "clv_segment", "feedback_sentiment"]
@@ -60,11 +65,15 @@ def ordered_split(df: DataFrame, order_col: str = "recency_days", tie_col: str =
 
     No global sort and no unpartitioned window over the rows:
 
-    1. one scalar aggregate gives n and the tie key's range (three numbers);
-    2. a monotone block number cuts the tie-key range into ceil(n /
-       rows_per_block) equal intervals, so within one order value, block order
-       is row order, and a value holding a third of all rows spreads over many
-       blocks;
+    1. one scalar aggregate gives n, a distinct-count estimate of the order
+       values and approximate quantiles of the tie key;
+    2. ceil(n / rows_per_block) of those quantiles cut the tie key into
+       blocks (``Bucketizer``: a JVM binary search); the block number is
+       monotone in the key, so within one order value block order is row
+       order, blocks hold about rows_per_block rows however the ids are
+       spread, and an order value holding a third of all rows covers many
+       blocks.  The cuts are literals in the plan, so a recomputed task sees
+       the same blocks;
     3. rows per (order value, block) -> running offsets over that small table;
     4. position = block offset + row number inside the (order value, block).
 
@@ -78,25 +87,29 @@ def ordered_split(df: DataFrame, order_col: str = "recency_days", tie_col: str =
     ``rows_per_block`` rows or cells.
     """
     integral = isinstance(df.schema[tie_col].dataType, IntegralType)
+    probes = [i / QUANTILE_PROBES for i in range(1, QUANTILE_PROBES)]
     aggs = [F.count(F.lit(1)).alias("n"), F.approx_count_distinct(order_col).alias("n_ord")]
     if integral:
-        aggs += [F.min(tie_col).alias("lo"), F.max(tie_col).alias("hi")]
+        aggs.append(F.percentile_approx(tie_col, probes, 10_000).alias("q"))
     head = df.agg(*aggs).first()
     n = int(head["n"])
     n_first, n_second = int(n * fractions[0]), int(n * fractions[1])
-    if integral and n > 0 and head["lo"] is not None:
-        n_blocks = max(1, math.ceil(n / rows_per_block))
-        span = float(head["hi"]) - float(head["lo"]) + 1.0
-        offset = (F.col(tie_col) - F.lit(head["lo"])).cast("double")
-        block = F.least(F.floor(offset * F.lit(float(n_blocks)) / F.lit(span)), F.lit(n_blocks - 1))
-        block = F.coalesce(block, F.lit(n_blocks - 1).cast("bigint"))
+    n_blocks = min(QUANTILE_PROBES, max(1, math.ceil(n / rows_per_block))) if integral else 1
+    if n_blocks > 1 and head["q"]:
+        # every (QUANTILE_PROBES / n_blocks)-th approximate quantile is a block
+        # boundary: blocks of about n / n_blocks rows whatever the id spread
+        step = QUANTILE_PROBES / n_blocks
+        cuts = sorted({float(head["q"][round(k * step) - 1]) for k in range(1, n_blocks)})
+        splits = [-math.inf, *cuts, math.inf]
+        keyed = df.withColumn("_tie_d", F.col(tie_col).cast("double"))
+        tagged = (Bucketizer(splits=splits, inputCol="_tie_d", outputCol="_bkt", handleInvalid="keep")
+                  .transform(keyed)
+                  .withColumn("_blk", F.col("_bkt").cast("bigint")).drop("_tie_d", "_bkt"))
     else:
-        block = F.lit(0).cast("bigint")
-    tagged = df.withColumn("_blk", block)
+        tagged = df.withColumn("_blk", F.lit(0).cast("bigint"))
 
     counts = tagged.groupBy(order_col, "_blk").agg(F.count(F.lit(1)).alias("_cnt"))
-    n_blocks_used = max(1, math.ceil(n / rows_per_block)) if integral else 1
-    cells = min(n, (int(head["n_ord"]) + 1) * n_blocks_used)  # estimate, picks the path only
+    cells = min(n, (int(head["n_ord"]) + 1) * n_blocks)  # estimate, picks the path only
     offsets = _running_offsets(counts, order_col, cells, rows_per_block)
     if checked_lookups:
         offsets = sized_broadcast(offsets)
