@@ -61,6 +61,8 @@ def volume_stream(stream: DataFrame, date: str = "date") -> DataFrame:
 
     Months are a batch roll-up of the emitted days (``monthly_volume_econ``
     over the sink), since calendar months are not fixed-length windows.
+    Event-time windows start at UTC midnight; run with the session time zone
+    at UTC (as the study does) so the emitted dates are the ledger's days.
     """
     g = stream.groupBy(F.window(F.col(date), "1 day").alias("w"))
     return g.agg(F.count(F.lit(1)).alias("n_transactions")).select(
