@@ -75,3 +75,10 @@ def test_dedup_hashes_on_every_column_after_map_side_combine(spark):
     # partial aggregation below the exchange merges copies inside each task
     below = p.split("Exchange hashpartitioning", 1)[1]
     assert "HashAggregate" in below
+
+
+@pytest.mark.parametrize("name", ["segment_summary", "describe_by_segment", "boxplot_stats", "metric_means_by_segment"])
+def test_segment_list_reaches_the_customer_scan(spark, name):
+    p = plan(queries()[name](spark, SF001))
+    assert "PushedFilters: [IsNotNull(c_mktsegment), In(c_mktsegment, [BUILDING,DORMANT" in p or \
+           "In(c_mktsegment, [BUILDING,DORMANT,FURNITURE,HOUSEHOLD,MACHINERY" in p
