@@ -54,3 +54,8 @@ def pair_corr(a: Column, b: Column) -> Column:
 def q(name: str) -> str:
     """Backquote a column name for SQL text."""
     return "`" + name.replace("`", "``") + "`"
+
+
+def sql_literal(value: str) -> str:
+    """A Spark SQL string literal for ``value``."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"

@@ -18,7 +18,7 @@ from pyspark.sql.types import DateType, TimestampNTZType
 
 from lapse.config import KEY_COL, LABEL_COL, StudyWindow
 from lapse.functions.columns import bound
-from lapse.functions.numeric import exact_mean, half_even
+from lapse.functions.numeric import exact_mean, half_even, q, sql_literal
 
 
 def observation(ledger: DataFrame, window: StudyWindow, date: str = "date") -> DataFrame:
@@ -180,15 +180,13 @@ def rfm_with_label(ledger: DataFrame, window: StudyWindow, key: str = KEY_COL, d
 
 
 def feature_stats(rfm: DataFrame, cols: list[str]) -> DataFrame:
-    """Mean (2 dp), min and max of each feature, one row per feature."""
+    """Mean (2 dp), min and max of each feature, one row per feature: one
+    aggregation (SQL text, one JVM call) unpivoted with ``stack``."""
     aggs = []
-    for c in cols:
-        x = F.col(c).cast("double")
-        aggs += [F.avg(x).alias(f"{c}__mean"), F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max")]
-    one = rfm.agg(*aggs)
-    rows = F.explode(F.array(*[
-        F.struct(F.lit(c).alias("feature"), F.lit(i).alias("pos"),
-                 half_even(F.col(f"{c}__mean"), 2).alias("mean_value"),
-                 F.col(f"{c}__min").alias("min_value"), F.col(f"{c}__max").alias("max_value"))
-        for i, c in enumerate(cols)]))
-    return one.select(rows.alias("r")).select("r.*").orderBy("pos").drop("pos")
+    for i, c in enumerate(cols):
+        x = f"CAST({q(c)} AS DOUBLE)"
+        aggs += [f"avg({x}) AS _a{i}", f"min({x}) AS _n{i}", f"max({x}) AS _x{i}"]
+    one = rfm.agg(*[F.expr(a) for a in aggs])
+    items = ", ".join(f"{i}, {sql_literal(c)}, rint(_a{i} * 100.0D) / 100.0D, _n{i}, _x{i}" for i, c in enumerate(cols))
+    long = one.selectExpr(f"stack({len(cols)}, {items}) AS (pos, feature, mean_value, min_value, max_value)")
+    return long.orderBy("pos").drop("pos")

@@ -10,7 +10,7 @@ from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from lapse.config import KEY_COL
 from lapse.functions.columns import present
-from lapse.functions.numeric import half_even, pct, q
+from lapse.functions.numeric import half_even, pct, q, sql_literal
 from lapse.functions.ordering import reindex
 
 # The structurally missing profile columns and their classes.
@@ -88,7 +88,7 @@ def missing_audit(df: DataFrame, structural: Mapping[str, str] = STRUCTURAL_COLS
     """
     cols = df.columns
     one = df.agg(F.expr("count(1) AS _rows"), *[F.expr(f"count({q(c)}) AS _n{i}") for i, c in enumerate(cols)])
-    items = ", ".join(f"{i}, {_sql_text(c)}, _rows - _n{i}" for i, c in enumerate(cols))
+    items = ", ".join(f"{i}, {sql_literal(c)}, _rows - _n{i}" for i, c in enumerate(cols))
     long = one.selectExpr("_rows", f"stack({len(cols)}, {items}) AS (ordinal, column_name, missing_count)")
     lookup = df.sparkSession.createDataFrame(list(structural.items()), "column_name string, classification string")
     out = (long.filter(F.col("missing_count") > 0)
@@ -99,10 +99,6 @@ def missing_audit(df: DataFrame, structural: Mapping[str, str] = STRUCTURAL_COLS
     return out.orderBy("ordinal").drop("ordinal")
 
 
-def _sql_text(value: str) -> str:
-    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def structural_missing_check(df: DataFrame, pairs: Mapping[str, str | None] = STRUCTURAL_FLAGS) -> DataFrame:
     """For each structural column present: nulls, and the rows whose flag is False."""
     cols = present(df, pairs)
