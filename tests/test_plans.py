@@ -82,3 +82,16 @@ def test_segment_list_reaches_the_customer_scan(spark, name):
     p = plan(queries()[name](spark, SF001))
     assert "PushedFilters: [IsNotNull(c_mktsegment), In(c_mktsegment, [BUILDING,DORMANT" in p or \
            "In(c_mktsegment, [BUILDING,DORMANT,FURNITURE,HOUSEHOLD,MACHINERY" in p
+
+
+def test_sized_broadcast_checks_the_row_count(spark):
+    """Under the limit the frozen table carries a broadcast hint; over it,
+    no hint (Spark's own size statistics still decide for small tables)."""
+    from lapse.functions.materialize import sized_broadcast
+    small = spark.range(20).withColumnRenamed("id", "k")
+
+    def hinted(df):
+        return "strategy=broadcast" in df._jdf.queryExecution().analyzed().toString()
+
+    assert hinted(sized_broadcast(small, max_rows=100))
+    assert not hinted(sized_broadcast(small, max_rows=10))
