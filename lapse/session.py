@@ -7,6 +7,7 @@ settings the cluster already made (checkpoint dir in particular).
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -39,14 +40,21 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint dir, setting a scratch one only if unset.
+    """Return the session's checkpoint dir, setting a scratch one only on a local master.
 
     A cluster names a shared folder in ``spark.checkpoint.dir``; that value is
-    always kept.  Only a local session without one gets a fresh temp folder.
+    always kept.  Without one, a local session gets a fresh temp folder, and any
+    other master raises: executors could not read a machine-local folder.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
+    sc = spark.sparkContext
+    if sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        sc.setCheckpointDir(named)
+        return named
+    if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+        raise RuntimeError(f"set spark.checkpoint.dir to a folder all executors share (master {sc.master})")
     path = tempfile.mkdtemp(prefix="lapse-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.sparkContext.setCheckpointDir(path)
+    sc.setCheckpointDir(path)
     return path
