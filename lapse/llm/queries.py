@@ -9,16 +9,31 @@ from pyspark.sql import DataFrame, SparkSession
 from lapse.llm.common import table
 
 
+def op3_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lapse.llm.bpe_codec import bpe_codec
+    return bpe_codec(table(spark, sf_dir, "documents"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lapse.llm.quality_rules import quality_rules
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lapse.llm.packing import packing
+    return packing(table(spark, sf_dir, "documents"))
+
+
 def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lapse.llm.simhash_dedup import simhash_dedup
     return simhash_dedup(table(spark, sf_dir, "documents"))
 
 
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lapse.llm.token_counts import token_counts
+    return token_counts(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: fn for name, fn in globals().items() if name.startswith("op") and callable(fn)}
 
