@@ -80,3 +80,34 @@ def gathered(rows: list, field: str):
     import pyarrow as pa
     parts = [batch.column(field).slice(a, b - a) for batch, a, b in rows]
     return parts[0] if len(parts) == 1 else pa.concat_arrays(parts)
+
+
+def coded_words(texts: list[str], lower: bool = False):
+    """Words (as in ``words``) of many texts, each distinct word once.
+
+    Returns (distinct words as an Arrow binary array, the number of every word in reading order,
+    the index at which each text's words begin and, last, their count).  ``lower`` lower-cases A-Z.
+    """
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    raw = (t.encode() for t in texts)
+    # bytes.split() cuts at exactly the bytes of WORD_GAP, bytes.lower() changes exactly A-Z.
+    joined = [b" ".join((t.lower() if lower else t).split()) for t in raw]
+    lists = pc.split_pattern(pa.array(joined, type=pa.large_binary()), b" ")
+    flat, starts = lists.flatten(), lists.offsets.to_numpy()
+    empty = np.array([not j for j in joined], dtype=bool)
+    coded = flat.dictionary_encode()
+    numbers = coded.indices.to_numpy().astype(np.int64)
+    if empty.any():  # the empty text splits into one empty word
+        numbers = np.delete(numbers, starts[:-1][empty])
+        starts = np.concatenate(([0], np.cumsum(np.diff(starts) - empty)))
+    return coded.dictionary, numbers, starts
+
+
+def per_text(values, starts):
+    """Sum of each text's values, given the index at which its values begin."""
+    import numpy as np
+    sums = np.concatenate(([0], np.cumsum(values)))
+    return sums[starts[1:]] - sums[starts[:-1]]

@@ -19,6 +19,11 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lapse.llm.subword_classifier import quality_classifier
+    return quality_classifier(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lapse.llm.packing import packing
     return packing(table(spark, sf_dir, "documents"))
