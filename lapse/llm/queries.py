@@ -9,11 +9,21 @@ from pyspark.sql import DataFrame, SparkSession
 from lapse.llm.common import table
 
 
+def op1_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lapse.llm.nce_lm import lm_scores
+    return lm_scores(table(spark, sf_dir, "documents"))
+
+
 def op3_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lapse.llm.bpe_codec import bpe_codec
     return bpe_codec(table(spark, sf_dir, "documents"))
 
 
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lapse.llm.chat_format import chat_format
+    return chat_format(table(spark, sf_dir, "conversations"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lapse.llm.quality_rules import quality_rules
     return quality_rules(table(spark, sf_dir, "documents"))
@@ -24,6 +34,11 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lapse.llm.pii_spans import pii_spans
+    return pii_spans(table(spark, sf_dir, "documents"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lapse.llm.packing import packing
     return packing(table(spark, sf_dir, "documents"))
