@@ -14,6 +14,11 @@ def op1_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(table(spark, sf_dir, "documents"))
 
 
+def op2_ann_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lapse.llm.nn_descent import ann_search
+    return ann_search(table(spark, sf_dir, "embeddings"))
+
+
 def op3_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lapse.llm.bpe_codec import bpe_codec
     return bpe_codec(table(spark, sf_dir, "documents"))
