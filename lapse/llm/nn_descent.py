@@ -31,7 +31,7 @@ from lapse.llm.common import col
 TOP, QUERY_STEP = 20, 20
 DEGREE, SAMPLE, ROUNDS, SETTLED = 32, 12, 6, 0.01
 TREES, LEAF, LEAF_BEST = 3, 192, 12
-BEAM, EXPAND, WALKS, EXACT = 192, 32, 16, 64
+BEAM, EXPAND, WALKS, EXACT = 320, 40, 16, 80
 SEED = 5
 GRAPH = "node long, kind int, vec binary, ids array<long>, sims array<float>, fresh array<boolean>, vecs array<binary>"
 
