@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lapse.llm.bytebpe import Encoder, vocabulary
-from lapse.llm.common import col, gathered, text_batches, text_or_empty
+from lapse.llm.common import col, gathered, in_tasks, text_batches, text_or_empty
 
 
 def default_vocabulary() -> str:
@@ -49,7 +49,7 @@ def _map_ids(docs: DataFrame, id_col: str, text_col: str, vocab_path: str | None
             columns = rows(vocab, ids, starts)
             yield pa.RecordBatch.from_arrays([gathered(group, "id"), *columns.values()], names=["id", *columns])
 
-    return source.mapInArrow(run, f"id {id_type}, {schema}").withColumnRenamed("id", id_col)
+    return in_tasks(source, run, f"id {id_type}, {schema}").withColumnRenamed("id", id_col)
 
 
 def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocab_path: str | None = None) -> DataFrame:
@@ -72,7 +72,7 @@ def decode(encoded: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", voc
             texts = [_spell(table, ids or []) for ids in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(texts, type=pa.string())], names=["id", "text"])
 
-    return source.mapInArrow(run, f"id {source.schema['id'].dataType.simpleString()}, text string").withColumnRenamed("id", id_col)
+    return in_tasks(source, run, f"id {source.schema['id'].dataType.simpleString()}, text string").withColumnRenamed("id", id_col)
 
 
 def _spell(table: list[bytes], ids: list[int]) -> str:

@@ -111,3 +111,33 @@ def per_text(values, starts):
     import numpy as np
     sums = np.concatenate(([0], np.cumsum(values)))
     return sums[starts[1:]] - sums[starts[:-1]]
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application (they may have no copy of it)."""
+    import hashlib
+    import tempfile
+    import zipfile
+    from pathlib import Path
+
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    top = Path(__file__).resolve().parents[1]
+    files = sorted(top.rglob("*.py"))
+    name = hashlib.sha256(b"".join(f.read_bytes() for f in files)).hexdigest()[:12]
+    path = Path(tempfile.mkdtemp(prefix="lapse-")) / f"{top.name}-{name}.zip"
+    with zipfile.ZipFile(path, "w") as archive:
+        for f in files:
+            archive.write(f, f.relative_to(top.parent).as_posix())
+    context.addPyFile(str(path))
+    _SHIPPED.add(context.applicationId)
+
+
+def in_tasks(df: DataFrame, run, schema) -> DataFrame:
+    """``df.mapInArrow`` with this package at hand in the tasks."""
+    ship_package(df.sparkSession)
+    return df.mapInArrow(run, schema)

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lapse.functions.materialize import freeze
-from lapse.llm.common import coded_words, col, gathered, id_crc, per_text, text_batches, text_or_empty
+from lapse.llm.common import coded_words, col, gathered, id_crc, in_tasks, per_text, text_batches, text_or_empty
 
 SINGLES, BUCKETS, FREQUENT, MAX_BYTES = 255, 256, 200_000, 64
 CLASSES = 1 + SINGLES + BUCKETS  # class 0 is the end, which also stands before the first word
@@ -56,7 +56,7 @@ def word_counts(training: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([words.cast(pa.binary()), pa.array(bucket_of(words.to_pylist()).astype("i4")), pa.array(counts)],
                                              names=["word", "bucket", "c"])
 
-    parts = training.select("text").mapInArrow(run, "word binary, bucket int, c long")
+    parts = in_tasks(training.select("text"), run, "word binary, bucket int, c long")
     return parts.groupBy("word").agg(F.first("bucket").alias("bucket"), F.sum("c").alias("c"))
 
 
@@ -225,7 +225,7 @@ def train(training: DataFrame, lex: Lexicon) -> Params:
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat), dtype="i4")), pa.array(flat * trainer.seen), pa.array(np.full(len(flat), float(trainer.seen)))],
                                              names=["i", "x", "w"])
 
-    parts = training.select("text").mapInArrow(run, "i int, x double, w double")
+    parts = in_tasks(training.select("text"), run, "i int, x double, w double")
     rows = parts.groupBy("i").agg((F.sum("x") / F.sum("w")).alias("x")).collect()  # one number per parameter
     flat = start.flat()
     flat[[r.i for r in rows]] = [r.x for r in rows]
@@ -286,7 +286,7 @@ def score(docs: DataFrame, counts: DataFrame, lex: Lexicon, params: Params, id_c
                 pa.array(np.concatenate((per_text(logs, n_class) + per_text(within[r.numbers], r.starts), zeros)))],
                 names=["row", "word", "bucket", "times", "id", "n_tokens", "n_known", "base", "score"])
 
-    parts = source.mapInArrow(run, f"row long, word binary, bucket int, times int, id {id_type}, n_tokens long, n_known long, base double, score double")
+    parts = in_tasks(source, run, f"row long, word binary, bucket int, times int, id {id_type}, n_tokens long, n_known long, base double, score double")
     met = parts.join(counts.select("word", "c"), "word", "left")
     c = F.coalesce("c", F.lit(0))
     per_bucket = [F.array(*[F.lit(float(x)) for x in xs]) for xs in (lex.total + lex.once + 1, lex.once + 1)]

@@ -3,14 +3,14 @@
 1. Rows with the same vector become one node (its smallest id); each node keeps the ``TOP`` + 1 smallest
    ids of its rows, which is all that a list of ``TOP`` neighbours with ties to smaller ids can show.
 2. A vector gets one more component, sqrt(longest**2 - its length**2), so that a large inner product means
-   near, and is kept as bytes (one scale, one signed byte per component) while the graph is built.
+   near, and is kept as bytes (a signed byte per component and a scale) while the graph is built.
 3. The first neighbours come from leaves of random hyperplane trees; a leaf over ``LEAF`` rows is split by
    a hash.  Then rounds of NN-descent: every node hands itself to its sampled neighbours (reverse edges), a
    co-grouping by node joins them with its own neighbours, every pair of a node's members that holds a new
    one is compared, and each node keeps its ``DEGREE`` best.  Members per node and round are bounded, so a
    node that many list does not grow a task; rounds end when few edges change.
 4. Queries walk the graph together: a round joins the best nodes of every query's list not yet expanded with
-   the graph, scores their neighbours, and keeps the ``BEAM`` best; it ends when no list has one left.
+   the graph (and some edges back), scores their neighbours, and keeps the ``BEAM`` best; it ends when no list has one left.
    The best ``EXACT`` of each list are then scored in double precision on the original vectors.
 
 Results for odd input: vectors that are null, empty, zero, of another length than most, or that hold null or
@@ -26,12 +26,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lapse.functions.materialize import freeze
-from lapse.llm.common import col
+from lapse.llm.common import col, in_tasks
 
 TOP, QUERY_STEP = 20, 20
 DEGREE, SAMPLE, ROUNDS, SETTLED = 32, 12, 6, 0.01
 TREES, LEAF, LEAF_BEST = 3, 192, 12
 BEAM, EXPAND, WALKS, EXACT = 320, 40, 16, 80
+BACK_FROM, BACK = 8, 32
 SEED = 5
 GRAPH = "node long, kind int, vec binary, ids array<long>, sims array<float>, fresh array<boolean>, vecs array<binary>"
 
@@ -57,14 +58,15 @@ def nodes(rows: DataFrame, top: int = TOP) -> DataFrame:
 
 
 def pack_vector(x: np.ndarray) -> bytes:
-    scale = max(float(np.abs(x).max()), 1e-30) / 127
-    return np.float32(scale).tobytes() + np.rint(x / scale).astype(np.int8).tobytes()
+    """Scale and last component as 4 bytes each, then a signed byte for each other component."""
+    scale = max(float(np.abs(x[:-1]).max()), 1e-30) / 127
+    return np.array([scale, x[-1]], dtype=np.float32).tobytes() + np.rint(x[:-1] / scale).astype(np.int8).tobytes()
 
 
 def unpack(packed: list[bytes]) -> np.ndarray:
     raw = np.frombuffer(b"".join(packed), dtype=np.uint8).reshape(len(packed), -1)
-    scale = raw[:, :4].copy().view(np.float32)
-    return raw[:, 4:].copy().view(np.int8).astype(np.float32) * scale
+    head = raw[:, :8].copy().view(np.float32)
+    return np.column_stack((raw[:, 8:].copy().view(np.int8) * head[:, :1], head[:, 1]))
 
 
 def packed_nodes(table: DataFrame) -> DataFrame:
@@ -79,7 +81,7 @@ def packed_nodes(table: DataFrame) -> DataFrame:
             more = np.sqrt(np.maximum(longest ** 2 - (v * v).sum(axis=1), 0))
             yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array([pack_vector(x) for x in np.column_stack((v, more))], type=pa.binary())], names=["node", "vec"])
 
-    return table.select("node", "v").mapInArrow(run, "node long, vec binary")
+    return in_tasks(table.select("node", "v"), run, "node long, vec binary")
 
 
 # -- groups of a sorted partition ----------------------------------------------------------------
@@ -122,7 +124,7 @@ def _offers(ids: list[int], packed: list[bytes], may: np.ndarray, floor: np.ndar
     v = unpack(packed)
     sims = v @ v.T
     sims[~may | (sims <= floor[:, None])] = -np.inf
-    if sims.shape[1] > best:
+    if len(ids) > best:
         keep = np.argpartition(-sims, best - 1, axis=1)[:, :best]
     else:
         keep = np.tile(np.arange(sims.shape[1]), (len(ids), 1))
@@ -151,7 +153,7 @@ def first_offers(packed: DataFrame, n: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(v), tree, "i4")), pa.array(leaf), batch.column("node"), batch.column("vec")],
                                                  names=["tree", "leaf", "node", "vec"])
 
-    placed = packed.mapInArrow(leaves, "tree int, leaf long, node long, vec binary")
+    placed = in_tasks(packed, leaves, "tree int, leaf long, node long, vec binary")
     sizes = placed.groupBy("tree", "leaf").agg(F.count(F.lit(1)).alias("n"))
     part = F.pmod(F.xxhash64("node", "tree"), F.ceil(F.col("n") / LEAF)).alias("part")
     dealt = placed.join(sizes, ["tree", "leaf"]).select("tree", "leaf", part, "node", "vec")
@@ -166,7 +168,7 @@ def first_offers(packed: DataFrame, n: int) -> DataFrame:
                                        np.full(len(part), -np.inf), LEAF_BEST)
         yield from _chunks(rows())
 
-    return dealt.mapInArrow(compare, GRAPH)
+    return in_tasks(dealt, compare, GRAPH)
 
 
 def merged(own: DataFrame, offers: DataFrame) -> DataFrame:
@@ -189,7 +191,7 @@ def merged(own: DataFrame, offers: DataFrame) -> DataFrame:
         yield from _chunks(rows())
 
     together = own.unionByName(offers).repartition("node").sortWithinPartitions("node", "kind")
-    return together.mapInArrow(run, GRAPH)
+    return in_tasks(together, run, GRAPH)
 
 
 def _sample(row: dict) -> tuple[list[int], list[int]]:
@@ -213,7 +215,7 @@ def handed(graph: DataFrame) -> DataFrame:
                             yield {"node": r["ids"][i], "kind": 1, "vec": None, "ids": [r["node"]], "sims": [_floor(r)], "fresh": [fresh], "vecs": [r["vec"]]}
         yield from _chunks(rows())
 
-    return graph.mapInArrow(run, GRAPH)
+    return in_tasks(graph, run, GRAPH)
 
 
 def joined(graph: DataFrame, reverse: DataFrame) -> DataFrame:
@@ -241,7 +243,8 @@ def joined(graph: DataFrame, reverse: DataFrame) -> DataFrame:
 
     # Which reverse edges a node takes is decided by a hash, not by who comes first.
     together = graph.unionByName(reverse).withColumn("turn", F.xxhash64("node", F.get("ids", F.lit(0))))
-    return together.repartition("node").sortWithinPartitions("node", "kind", "turn").drop("turn").mapInArrow(run, GRAPH)
+    together = together.repartition("node").sortWithinPartitions("node", "kind", "turn").drop("turn")
+    return in_tasks(together, run, GRAPH)
 
 
 def build(packed: DataFrame) -> DataFrame:
@@ -263,19 +266,53 @@ def build(packed: DataFrame) -> DataFrame:
 
 # -- search ----------------------------------------------------------------------------------------
 
+def both_ways(graph: DataFrame) -> DataFrame:
+    """(at, ids, vecs): the graph with edges back from a node's ``BACK_FROM`` nearest.
+
+    A node that no list names could not be reached.  A node takes at most ``BACK`` such edges, those of
+    the nodes that the fewest lists name first.
+    """
+    named = graph.select(F.explode("ids").alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n"))
+    back = graph.select("node", "vec", F.explode(F.slice("ids", 1, BACK_FROM)).alias("at")).join(named, "node", "left")
+    rare = Window.partitionBy("at").orderBy(F.coalesce("n", F.lit(0)), "node")
+    back = back.withColumn("k", F.row_number().over(rare)).where(F.col("k") <= BACK)
+    lists = back.groupBy("at").agg(F.collect_list(F.struct("node", "vec")).alias("back"))
+    met = graph.select(F.col("node").alias("at"), "ids", "vecs").join(lists, "at", "left")
+    more = F.coalesce("back", F.array().cast("array<struct<node:long,vec:binary>>"))
+    return met.select("at", F.concat("ids", F.transform(more, lambda x: x["node"])).alias("ids"),
+                      F.concat("vecs", F.transform(more, lambda x: x["vec"])).alias("vecs"))
+
+
+def _asked(packed: bytes) -> np.ndarray:
+    """A node's vector as a query: the added component is zero, so products are inner products."""
+    v = unpack([packed])[0]
+    v[-1] = 0
+    return v
+
+
 def search(graph: DataFrame, starts: DataFrame) -> DataFrame:
     """(node, found): for every start node the ids of its best list, best first."""
-    edges = graph.select(F.col("node").alias("at"), "ids", "vecs").repartition("at").persist()
-    beam = graph.join(starts, "node", "left_semi").select(
-        "node", "vec", F.transform(F.arrays_zip("ids", "sims"), lambda x: F.struct((-x["sims"]).alias("s"), x["ids"].alias("id"), F.lit(False).alias("done"))).alias("beam"))
-    beam = freeze(beam)
+    edges = both_ways(graph).repartition("at").persist()
+
+    def begin(batches):
+        import pyarrow as pa
+        for batch in batches:
+            out = []
+            for r in batch.to_pylist():
+                sims = (unpack(r["vecs"]) @ _asked(r["vec"])).tolist() if r["ids"] else []
+                out.append(sorted(({"s": -x, "id": i, "done": False} for x, i in zip(sims, r["ids"])), key=lambda x: (x["s"], x["id"])))
+            lists = pa.array(out, type=pa.list_(pa.struct([("s", pa.float32()), ("id", pa.int64()), ("done", pa.bool_())])))
+            yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("vec"), lists], names=["node", "vec", "beam"])
+
+    own = graph.join(starts, "node", "left_semi").select("node", "vec", "ids", "vecs")
+    beam = freeze(in_tasks(own, begin, "node long, vec binary, beam array<struct<s:float,id:long,done:boolean>>"))
 
     def score(batches):
         import pyarrow as pa
         for batch in batches:
             q, out_id, out_s = [], [], []
             for r in batch.to_pylist():
-                sims = unpack(r["vecs"]) @ unpack([r["vec"]])[0]
+                sims = unpack(r["vecs"]) @ _asked(r["vec"])
                 better = np.flatnonzero(sims > r["least"])
                 q += [r["node"]] * len(better)
                 out_id += [r["ids"][i] for i in better]
@@ -286,7 +323,7 @@ def search(graph: DataFrame, starts: DataFrame) -> DataFrame:
         chosen = beam.withColumn("go", F.slice(F.filter("beam", lambda x: ~x["done"]), 1, EXPAND))
         least = F.when(F.size("beam") >= BEAM, -F.element_at("beam", -1)["s"]).otherwise(F.lit(float("-inf")).cast("float"))
         front = chosen.select("node", "vec", least.alias("least"), F.explode("go.id").alias("at"))
-        found = front.join(edges, "at").select("node", "vec", "least", "ids", "vecs").mapInArrow(score, "node long, id long, sim float")
+        found = in_tasks(front.join(edges, "at").select("node", "vec", "least", "ids", "vecs"), score, "node long, id long, sim float")
         seen = chosen.select("node", F.explode("beam").alias("x"), F.col("go.id").alias("went")).select(
             "node", F.col("x.id").alias("id"), F.col("x.s").alias("s"), (F.col("x.done") | F.array_contains("went", F.col("x.id"))).alias("done"))
         every = seen.unionByName(found.where("id <> node").select("node", "id", (-F.col("sim")).alias("s"), F.lit(False).alias("done")))
@@ -319,7 +356,7 @@ def nearest(vectors: DataFrame, query: Column, id_col: str = "vec_id", vec_col:
             q, v = (batch.column(c).flatten().to_numpy().reshape(batch.num_rows, -1) if batch.num_rows else np.zeros((0, 1)) for c in "qv")
             yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("members"), pa.array((q * v).sum(axis=1))], names=["node", "members", "score"])
 
-    scored = pairs.mapInArrow(exact, "node long, members array<long>, score double").select("node", F.explode("members").alias("vec_id"), "score")
+    scored = in_tasks(pairs, exact, "node long, members array<long>, score double").select("node", F.explode("members").alias("vec_id"), "score")
     best = scored.withColumn("k", F.row_number().over(Window.partitionBy("node").orderBy(F.desc("score"), "vec_id"))).where(F.col("k") <= top + 1)
     lists = best.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("k", "vec_id", "score"))).alias("best"))
     answers = asked.join(lists, "node").select("id", F.slice(F.filter("best", lambda x: x["vec_id"] != F.col("id")), 1, top).alias("best"))

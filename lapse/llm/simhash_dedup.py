@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lapse.functions.materialize import freeze
-from lapse.llm.common import col, fresh, text_or_empty
+from lapse.llm.common import col, fresh, in_tasks, text_or_empty
 
 SHINGLE, MAX_BITS = 3, 3
 N_PIVOTS, TILE = 16, 4096
@@ -67,7 +67,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("text_hash"), pa.array(found.view(np.int64))],
                                              names=["id", "text_hash", "fp"])
 
-    return source.mapInArrow(run, f"id {source.schema['id'].dataType.simpleString()}, text_hash long, fp long")
+    return in_tasks(source, run, f"id {source.schema['id'].dataType.simpleString()}, text_hash long, fp long")
 
 
 def pivots(n: int = N_PIVOTS) -> list[int]:
@@ -106,7 +106,7 @@ def links(table: DataFrame) -> DataFrame:
         F.transform(F.sequence(F.lit(0), tiles - 1), lambda u: F.least(u, own) * tiles + F.greatest(u, own)))
     placed = meeting.select("choice", "bits", F.explode(cells).alias("cell"), "fp", "d")
     placed = placed.repartition("choice", "bits", "cell").sortWithinPartitions("choice", "bits", "cell", F.col("d")[0])
-    return placed.mapInArrow(_forest, "a long, b long")
+    return in_tasks(placed, _forest, "a long, b long")
 
 
 def _forest(batches):

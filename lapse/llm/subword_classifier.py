@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lapse.llm.bpe_codec import _source
-from lapse.llm.common import col, coded_words, fresh, gathered, id_crc, per_text, text_batches, text_or_empty
+from lapse.llm.common import col, coded_words, fresh, gathered, id_crc, in_tasks, per_text, text_batches, text_or_empty
 
 BUCKET_BITS, DIM, NGRAMS = 16, 12, (3, 4, 5)
 BUCKETS = 1 << BUCKET_BITS
@@ -151,7 +151,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                 [gathered(group, "id").cast(pa.string()), gathered(group, "label"), pa.array([a.tobytes() for a, _ in found], type=pa.binary()),
                  pa.array([b.tobytes() for _, b in found], type=pa.binary())], names=["id", "label", "ids", "weights"])
 
-    got = rows.mapInArrow(run, "id string, label int, ids binary, weights binary").collect()
+    got = in_tasks(rows, run, "id string, label int, ids binary, weights binary").collect()
     got.sort(key=lambda r: (r.id, bytes(r.ids), bytes(r.weights)))
     return fit([(np.frombuffer(r.ids, np.int32), np.frombuffer(r.weights, np.float32)) for r in got],
                np.array([r.label for r in got], dtype=np.int64))
@@ -167,7 +167,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
         for group, texts in text_batches(batches):
             yield pa.RecordBatch.from_arrays([gathered(group, "id"), pa.array(sent.value.scores(texts))], names=["id", "score"])
 
-    return source.mapInArrow(run, f"id {id_type}, score double").withColumnRenamed("id", id_col)
+    return in_tasks(source, run, f"id {id_type}, score double").withColumnRenamed("id", id_col)
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -189,7 +189,7 @@ def keep_good(docs: DataFrame, model: Model, text_col: str = "text", threshold:
                 yield batch.select(names).slice(first, last - first).filter(pa.array(good[at:at + last - first]))
                 at += last - first
 
-    return read.mapInArrow(run, docs.schema)
+    return in_tasks(read, run, docs.schema)
 
 
 def quality_classifier(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 
 from lapse.llm.bpe_codec import _source, read_vocabulary
 from lapse.llm.bytebpe import Vocabulary, vocabulary
-from lapse.llm.common import gathered, text_batches
+from lapse.llm.common import gathered, in_tasks, text_batches
 
 LIMIT, CHUNK, MAX_TRANSITIONS = 512, 256, 2_000_000
 # Classes of characters; the last two are the end of a text and the filling of the last chunk.
@@ -260,7 +260,7 @@ def count_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 [gathered(group, "id"), pa.array(sizes, type=pa.int64()), pa.array(_COUNTERS[key](texts))],
                 names=["id", "n_bytes", "n_tokens"])
 
-    return source.mapInArrow(run, f"id {id_type}, n_bytes long, n_tokens long").withColumnRenamed("id", id_col)
+    return in_tasks(source, run, f"id {id_type}, n_bytes long, n_tokens long").withColumnRenamed("id", id_col)
 
 
 def token_counts(docs: DataFrame, vocab_path: str | None = None, limit: int = LIMIT) -> DataFrame:
