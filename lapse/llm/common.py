@@ -85,7 +85,7 @@ def gathered(rows: list, field: str):
 def coded_words(texts: list[str], lower: bool = False):
     """Words (as in ``words``) of many texts, each distinct word once.
 
-    Returns (distinct words as an Arrow binary array, the number of every word in reading order,
+    Returns (distinct words as an Arrow binary array, which may hold an unused empty word, the number of every word in reading order,
     the index at which each text's words begin and, last, their count).  ``lower`` lower-cases A-Z.
     """
     import numpy as np

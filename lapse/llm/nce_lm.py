@@ -53,6 +53,8 @@ def word_counts(training: DataFrame) -> DataFrame:
         for _, texts in text_batches(batches):
             words, numbers, _ = coded_words(texts, lower=True)
             counts = np.bincount(numbers, minlength=len(words))
+            used = np.flatnonzero(counts)
+            words, counts = words.take(used), counts[used]
             yield pa.RecordBatch.from_arrays([words.cast(pa.binary()), pa.array(bucket_of(words.to_pylist()).astype("i4")), pa.array(counts)],
                                              names=["word", "bucket", "c"])
 
