@@ -80,9 +80,22 @@ class Lexicon:
         return np.log10((counts + PRIOR) / (self.n_tokens + PRIOR * (self.n_words + 1)))
 
 
+def _frequent_over(counts: DataFrame, most: int) -> int:
+    """A count that at most ``most`` words exceed (the smallest such, as near as quantiles tell)."""
+    words = counts.count()
+    if words <= most:
+        return 0
+    over = counts.agg(F.percentile_approx("c", F.lit(1 - most / words), F.lit(100_000))).first()[0]
+    while counts.where(F.col("c") > over).count() > most:
+        over += 1 + over // 10
+    return over
+
+
 def lexicon(counts: DataFrame, n_texts: int, frequent: int = FREQUENT, singles: int = SINGLES) -> Lexicon:
     import pyarrow as pa
-    kept = counts.where(F.octet_length("word") <= MAX_BYTES).orderBy(F.desc("c"), "word").limit(frequent).collect()
+    short = counts.where(F.octet_length("word") <= MAX_BYTES)
+    kept = short.where(F.col("c") > _frequent_over(short, frequent)).collect()  # at most ``frequent`` rows
+    kept.sort(key=lambda r: (-r.c, bytes(r.word)))
     alone = [bytes(r.word) for r in kept[:singles]]
     others = counts.where(~F.col("word").isin(alone)) if alone else counts
     by_bucket = {r.bucket: r for r in others.groupBy("bucket").agg(

@@ -7,7 +7,7 @@
 3. The first neighbours come from leaves of random hyperplane trees; a leaf over ``LEAF`` rows is split by
    a hash.  Then rounds of NN-descent: every node hands itself to its sampled neighbours (reverse edges), a
    co-grouping by node joins them with its own neighbours, every pair of a node's members that holds a new
-   one is compared, and each node keeps its ``DEGREE`` best.  Members per node and round are bounded, so a
+   one is compared, members that handed themselves over are offered what beats their worst neighbour, and each node keeps its ``DEGREE`` best.  Members per node and round are bounded, so a
    node that many list does not grow a task; rounds end when few edges change.
 4. Queries walk the graph together: a round joins the best nodes of every query's list not yet expanded with
    the graph (and some edges back), scores their neighbours, and keeps the ``BEAM`` best; it ends when no list has one left.
@@ -119,15 +119,15 @@ def _chunks(rows, size: int = 2000):
         yield _write(out)
 
 
-def _offers(ids: list[int], packed: list[bytes], may: np.ndarray, floor: np.ndarray, best: int):
-    """For each member, a row offering its best new neighbours among the others."""
+def _offers(ids: list[int], packed: list[bytes], asking: int, may: np.ndarray, floor: np.ndarray, best: int):
+    """For each of the first ``asking`` members, a row with the best of the others that pass its floor."""
     v = unpack(packed)
-    sims = v @ v.T
+    sims = v[:asking] @ v.T
     sims[~may | (sims <= floor[:, None])] = -np.inf
     if len(ids) > best:
         keep = np.argpartition(-sims, best - 1, axis=1)[:, :best]
     else:
-        keep = np.tile(np.arange(sims.shape[1]), (len(ids), 1))
+        keep = np.tile(np.arange(len(ids)), (asking, 1))
     for i, row in enumerate(keep):
         row = row[np.isfinite(sims[i, row])]
         if len(row):
@@ -164,15 +164,15 @@ def first_offers(packed: DataFrame, n: int) -> DataFrame:
             for run in runs(batches, ("tree", "leaf", "part")):
                 for i in range(0, len(run), 4 * LEAF):  # the hash keeps parts near LEAF rows
                     part = run[i:i + 4 * LEAF]
-                    yield from _offers([r["node"] for r in part], [r["vec"] for r in part], ~np.eye(len(part), dtype=bool),
+                    yield from _offers([r["node"] for r in part], [r["vec"] for r in part], len(part), ~np.eye(len(part), dtype=bool),
                                        np.full(len(part), -np.inf), LEAF_BEST)
         yield from _chunks(rows())
 
     return in_tasks(dealt, compare, GRAPH)
 
 
-def merged(own: DataFrame, offers: DataFrame) -> DataFrame:
-    """Own rows (kind 0) with the best of their neighbours and what is offered to them."""
+def merged(rows_and_offers: DataFrame) -> DataFrame:
+    """Own rows (kind 0) with the best of their neighbours and of what is offered to them (kind 1)."""
     def run(batches):
         def rows():
             for group in runs(batches, ("node",)):
@@ -190,8 +190,7 @@ def merged(own: DataFrame, offers: DataFrame) -> DataFrame:
                 yield {"node": head["node"], "kind": 0, "vec": head["vec"], "ids": ids, "sims": sims, "fresh": fresh, "vecs": vecs}
         yield from _chunks(rows())
 
-    together = own.unionByName(offers).repartition("node").sortWithinPartitions("node", "kind")
-    return in_tasks(together, run, GRAPH)
+    return in_tasks(rows_and_offers.repartition("node").sortWithinPartitions("node", "kind"), run, GRAPH)
 
 
 def _sample(row: dict) -> tuple[list[int], list[int]]:
@@ -227,18 +226,26 @@ def joined(graph: DataFrame, reverse: DataFrame) -> DataFrame:
                 if head["kind"]:
                     continue
                 fresh, old = _sample(head)
-                members = {head["ids"][i]: (head["vecs"][i], i in fresh, -np.inf) for i in fresh + old}
-                taken = [0, 0]
+                yield head | {"fresh": [f and i not in fresh for i, f in enumerate(head["fresh"])]}
+                # The node itself and those that hand themselves over ask; their floors are known.
+                members, taken = {head["node"]: (head["vec"], False, _floor(head))}, [0, 0]
                 for r in group[1:]:
                     new = r["fresh"][0]
-                    if taken[new] < SAMPLE and r["ids"][0] not in members:
+                    if taken[new] < 2 * SAMPLE and r["ids"][0] not in members:
                         taken[new] += 1
                         members[r["ids"][0]] = (r["vecs"][0], new, r["sims"][0])
-                yield head | {"fresh": [f and i not in fresh for i, f in enumerate(head["fresh"])]}
-                if len(members) > 1:
+                asking = len(members)
+                for i in fresh + old:
+                    members.setdefault(head["ids"][i], (head["vecs"][i], i in fresh, None))
+                if asking > 1:
+                    ids, known = list(members), set(head["ids"])
                     new = np.array([m[1] for m in members.values()])
-                    may = (new[:, None] | new[None, :]) & ~np.eye(len(new), dtype=bool)
-                    yield from _offers(list(members), [m[0] for m in members.values()], may, np.array([m[2] for m in members.values()]), SAMPLE)
+                    may = new[:asking, None] | new[None, :]
+                    may[0] = [i not in known for i in ids]  # the node knows its own neighbours
+                    may[:, 0] = False  # and those who ask know the node
+                    may &= ~np.eye(asking, len(ids), dtype=bool)
+                    floor = np.array([m[2] for m in members.values()][:asking], dtype=float)
+                    yield from _offers(ids, [m[0] for m in members.values()], asking, may, floor, SAMPLE)
         yield from _chunks(rows())
 
     # Which reverse edges a node takes is decided by a hash, not by who comes first.
@@ -247,17 +254,24 @@ def joined(graph: DataFrame, reverse: DataFrame) -> DataFrame:
     return in_tasks(together, run, GRAPH)
 
 
+def _drop_unused(df: DataFrame) -> None:
+    """Let Spark's cleaner remove the shuffle files and checkpoints of finished rounds: it does so when
+    the driver's objects for them are collected, which a driver with little to do may not do for long."""
+    import gc
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
+
+
 def build(packed: DataFrame) -> DataFrame:
     """The neighbour graph: (node, vec, ids, sims, vecs), nearest first, checkpointed."""
     packed = freeze(packed)
     n = packed.count()
     empty = [F.array().cast(t).alias(c) for c, t in (("ids", "array<long>"), ("sims", "array<float>"), ("fresh", "array<boolean>"), ("vecs", "array<binary>"))]
     own = packed.select("node", F.lit(0).alias("kind"), "vec", *empty)
-    graph = freeze(merged(own, first_offers(packed, n)))
+    graph = freeze(merged(own.unionByName(first_offers(packed, n))))
     for _ in range(ROUNDS):
-        step = joined(graph, handed(graph))
-        step = freeze(step)
-        graph = freeze(merged(step.where("kind = 0"), step.where("kind = 1")))
+        graph = freeze(merged(joined(graph, handed(graph))))
+        _drop_unused(graph)
         new = graph.agg(F.sum(F.size(F.filter("fresh", lambda x: x)))).first()[0] or 0
         if new <= SETTLED * n * DEGREE:
             break
