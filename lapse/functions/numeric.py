@@ -22,11 +22,15 @@ def half_even(col: Column, digits: int) -> Column:
 
 
 def exact_sum(col: Column, precision: int = 18, scale: int = 2) -> Column:
-    return F.sum(col.cast(DecimalType(precision, scale))).cast("double")
+    """Sum as decimals; a group with a value that ``scale`` digits do not hold is summed as doubles,
+    so no digits are dropped and no large value ends the job."""
+    money = col.try_cast(DecimalType(precision, scale))
+    fits = F.bool_and(F.coalesce(money.cast("double") == col.cast("double"), col.isNull()))
+    return F.when(F.coalesce(fits, F.lit(True)), F.sum(money).cast("double")).otherwise(F.sum(col.cast("double")))
 
 
 def exact_mean(col: Column, precision: int = 18, scale: int = 2) -> Column:
-    """Mean of a money column: exact decimal sum, then one double division."""
+    """Mean of a money column: the sum, then one double division."""
     return exact_sum(col, precision, scale) / F.count(col)
 
 

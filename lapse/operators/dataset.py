@@ -5,7 +5,6 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType, NumericType
@@ -17,10 +16,6 @@ from lapse.functions.numeric import half_even
 
 SPLIT_NAMES = ("train", "validation", "test")
 
-# Approximate quantiles of the tie key taken for block cuts (caps the number
-# of blocks; beyond ~QUANTILE_PROBES * rows_per_block rows blocks grow).
-QUANTILE_PROBES = 1024
-
 # Categorical columns the study encodes.
 CAT_COLS = ["income_bracket", "gender", "location", "customer_segment",
             "clv_segment", "feedback_sentiment"]
@@ -54,108 +49,47 @@ def label_distribution(df: DataFrame, label: str = LABEL_COL) -> DataFrame:
 
 def ordered_split(df: DataFrame, order_col: str = "recency_days", tie_col: str = KEY_COL,
                   fractions: tuple[float, float] = (0.70, 0.15), names: Sequence[str] = SPLIT_NAMES,
-                  rows_per_block: int = 100_000, split_col: str = "split",
-                  checked_lookups: bool = True) -> DataFrame:
+                  rows_per_block: int = 100_000, split_col: str = "split") -> DataFrame:
     """70/15/15 split by position after sorting on ``(order_col, tie_col)``.
 
     Sizes are ``int(n * 0.70)`` and ``int(n * 0.15)`` in binary floating
-    point, the rest is the last part; ``tie_col`` makes the order total (a
-    sort on ``order_col`` alone leaves ties undefined).  Null order values
-    sort last.
-
-    No global sort and no unpartitioned window over the rows:
-
-    1. one scalar aggregate gives n, a distinct-count estimate of the order
-       values and approximate quantiles of the tie key;
-    2. ceil(n / rows_per_block) of those quantiles cut the tie key into
-       blocks (``Bucketizer``: a JVM binary search); the block number is
-       monotone in the key, so within one order value block order is row
-       order, blocks hold about rows_per_block rows however the ids are
-       spread, and an order value holding a third of all rows covers many
-       blocks.  The cuts are literals in the plan, so a recomputed task sees
-       the same blocks;
-    3. rows per (order value, block) -> running offsets over that small table;
-    4. position = block offset + row number inside the (order value, block).
-
-    With ``checked_lookups`` the offsets table is frozen and broadcast only
-    under a row limit, otherwise AQE picks the join at run time.  For a
-    non-integral tie key every order value is one block.
-
-    The offsets have one row per (order value, block); when an estimate of
-    that count exceeds ``rows_per_block`` they are computed in ranges of the
-    order value (see ``_running_offsets``), so no task numbers more than about
-    ``rows_per_block`` rows or cells.
-    """
-    integral = isinstance(df.schema[tie_col].dataType, IntegralType)
-    probes = [i / QUANTILE_PROBES for i in range(1, QUANTILE_PROBES)]
-    aggs = [F.count(F.lit(1)).alias("n"), F.approx_count_distinct(order_col).alias("n_ord")]
-    if integral:
-        aggs.append(F.percentile_approx(tie_col, probes, 10_000).alias("q"))
-    head = df.agg(*aggs).first()
-    n = int(head["n"])
-    n_first, n_second = int(n * fractions[0]), int(n * fractions[1])
-    n_blocks = min(QUANTILE_PROBES, max(1, math.ceil(n / rows_per_block))) if integral else 1
-    if n_blocks > 1 and head["q"]:
-        # every (QUANTILE_PROBES / n_blocks)-th approximate quantile is a block
-        # boundary: blocks of about n / n_blocks rows whatever the id spread
-        step = QUANTILE_PROBES / n_blocks
-        cuts = sorted({float(head["q"][round(k * step) - 1]) for k in range(1, n_blocks)})
-        splits = [-math.inf, *cuts, math.inf]
-        keyed = df.withColumn("_tie_d", F.col(tie_col).cast("double"))
-        tagged = (Bucketizer(splits=splits, inputCol="_tie_d", outputCol="_bkt", handleInvalid="keep")
-                  .transform(keyed)
-                  .withColumn("_blk", F.col("_bkt").cast("bigint")).drop("_tie_d", "_bkt"))
-    else:
-        tagged = df.withColumn("_blk", F.lit(0).cast("bigint"))
-
-    counts = tagged.groupBy(order_col, "_blk").agg(F.count(F.lit(1)).alias("_cnt"))
-    cells = min(n, (int(head["n_ord"]) + 1) * n_blocks)  # estimate, picks the path only
-    offsets = _running_offsets(counts, order_col, cells, rows_per_block)
-    if checked_lookups:
-        offsets = sized_broadcast(offsets)
-
-    cond = F.col(order_col).eqNullSafe(F.col("_ord")) & (F.col("_blk") == F.col("_b"))
-    inner = Window.partitionBy(order_col, "_blk").orderBy(tie_col)
-    pos = F.col("_off") + F.row_number().over(inner) - 1
-    split = (F.when(F.col("_pos") < n_first, names[0])
-              .when(F.col("_pos") < n_first + n_second, names[1])
-              .otherwise(names[2]))
-    numbered = tagged.join(offsets, cond, "inner").withColumn("_pos", pos)
-    return numbered.withColumn(split_col, split).select(*df.columns, split_col)
-
-
-def _running_offsets(counts: DataFrame, order_col: str, cells: int, window_rows: int) -> DataFrame:
-    """``(_ord, _b, _off)``: rows before each (order value, block) cell in
-    (order asc nulls last, block) order.
-
-    Up to ``window_rows`` cells one unpartitioned window runs over the cell
-    counts.  Beyond that (an order column with nearly unique values) the cells
-    are grouped into ranges of the order value (a monotone numeric key), the
-    range totals get running offsets (a table of ~cells / window_rows rows),
-    and running sums inside each range finish the job: no task sees more than
-    about ``window_rows`` cells.
+    point, the rest is the last part; ``tie_col`` (unique, any type) makes the
+    order total.  Null order values sort last.
+
+    Only the first rows of the second and third part matter.  The two key
+    columns are range-partitioned by Spark into ceil(n / rows_per_block) parts
+    and written once; the parts' sizes say which part holds each boundary row
+    and where.  The split is then a comparison of every row's keys with two
+    pairs of literals: full rows are neither shuffled, sorted nor numbered, and
+    an order value that most rows share is cut by its ties like any other.
     """
-    order = F.col(order_col).asc_nulls_last()
-    numeric = isinstance(counts.schema[order_col].dataType, NumericType)
-    if cells <= window_rows or not numeric:
-        before = Window.orderBy(order, "_blk").rowsBetween(Window.unboundedPreceding, -1)
-        return counts.select(F.col(order_col).alias("_ord"), F.col("_blk").alias("_b"),
-                             F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
-    head = counts.agg(F.min(order_col).alias("lo"), F.max(order_col).alias("hi")).first()
-    n_ranges = max(1, math.ceil(cells / window_rows))
-    span = float(head["hi"]) - float(head["lo"]) + 1.0
-    x = (F.col(order_col) - F.lit(head["lo"])).cast("double")
-    rng = F.when(F.col(order_col).isNull(), F.lit(n_ranges)).otherwise(
-        F.least(F.floor(x * F.lit(float(n_ranges)) / F.lit(span)), F.lit(n_ranges - 1)))
-    ranged = counts.withColumn("_r", rng)
-    totals = ranged.groupBy("_r").agg(F.sum("_cnt").alias("_t"))
-    base = totals.select("_r", F.coalesce(F.sum("_t").over(
-        Window.orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_base"))
-    within = Window.partitionBy("_r").orderBy(order, "_blk").rowsBetween(Window.unboundedPreceding, -1)
-    # base has one row per range (n_ranges + 1 at most)
-    return (ranged.join(F.broadcast(base), "_r", "inner")
-                  .select(F.col(order_col).alias("_ord"), F.col("_blk").alias("_b"),
-                          (F.col("_base") + F.coalesce(F.sum("_cnt").over(within), F.lit(0))).alias("_off")))
+    n = df.count()
+    first, second = int(n * fractions[0]), int(n * fractions[1])
+    order = [F.col(order_col).asc_nulls_last(), F.col(tie_col).asc_nulls_first()]
+    dealt = df.select(order_col, tie_col).repartitionByRange(max(1, math.ceil(n / rows_per_block)), *order)
+    keys = freeze(dealt.withColumn("_part", F.spark_partition_id()))
+    sizes = sorted((r["_part"], r["count"]) for r in keys.groupBy("_part").count().collect())  # one row per part
+
+    def before(position: int) -> Column:
+        """Whether a row sorts before the row at ``position``."""
+        for part, size in sizes:
+            if position < size:
+                row = keys.where(F.col("_part") == part).orderBy(*order).offset(position).limit(1).first()
+                return _sorts_before(keys, order_col, tie_col, row[order_col], row[tie_col])
+            position -= size
+        return F.lit(True)
+
+    split = F.when(before(first), names[0]).when(before(first + second), names[1]).otherwise(names[2])
+    return df.withColumn(split_col, split).select(*[c for c in df.columns if c != split_col], split_col)
+
+
+def _sorts_before(df: DataFrame, order_col: str, tie_col: str, value, tie) -> Column:
+    """(order, tie) < (value, tie) with null order values last and null ties first."""
+    o, t = F.col(order_col), F.col(tie_col)
+    value = F.lit(value).cast(df.schema[order_col].dataType)
+    tie_less = F.lit(False) if tie is None else t.isNull() | (t < F.lit(tie).cast(df.schema[tie_col].dataType))
+    less = F.coalesce(o < value, o.isNotNull() & value.isNull())
+    return less | (o.eqNullSafe(value) & F.coalesce(tie_less, F.lit(False)))
 
 
 def split_sizes(df: DataFrame, split_col: str = "split", names: Sequence[str] = SPLIT_NAMES) -> DataFrame:

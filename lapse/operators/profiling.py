@@ -178,7 +178,9 @@ def _cells(df: DataFrame, pairs, cells, digits: int) -> DataFrame:
     # both sides are bounded by the number of column pairs
     joined = cell_df.join(F.broadcast(stats.withColumnRenamed("pos_a", "_pa").withColumnRenamed("pos_b", "_pb")),
                           ["_pa", "_pb"], "left")
-    return joined.select("feature_a", "feature_b", "pos_a", "pos_b", half_even(F.col("_r"), digits).alias("corr"))
+    # _rank: the raw value to 12 digits, so that engines agree on ties
+    return joined.select("feature_a", "feature_b", "pos_a", "pos_b", half_even(F.col("_r"), digits).alias("corr"),
+                         half_even(F.col("_r"), 12).alias("_rank"))
 
 
 def _corr_long(df: DataFrame, cols: Sequence[str], digits: int, diagonal: bool,
@@ -197,19 +199,19 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str] = CORR_FEATURES, digit
     """Full Pearson matrix in long form (both triangles and the diagonal)."""
     cols = present(df, cols)
     full = _corr_long(df, cols, digits, diagonal=True, mirror=True)
-    return full.orderBy("pos_a", "pos_b").drop("pos_a", "pos_b")
+    return full.orderBy("pos_a", "pos_b").drop("pos_a", "pos_b", "_rank")
 
 
 def correlation_pairs(df: DataFrame, cols: Sequence[str] = CORR_FEATURES, k: int = 10,
                       largest: bool = True, digits: int = 3) -> DataFrame:
     """The k highest (or lowest) upper-triangle pairs; null correlations dropped.
 
-    Ordered by the rounded value, then by feature positions, so equal values
-    rank the same way in every engine.
+    Ordered by the raw value (to 12 digits), then by feature positions; only
+    the value shown is rounded.
     """
     cols = present(df, cols)
     pairs = _corr_long(df, cols, digits, diagonal=False).filter(F.col("corr").isNotNull())
-    c = F.desc("corr") if largest else F.asc("corr")
+    c = F.desc("_rank") if largest else F.asc("_rank")
     rank = F.row_number().over(Window.orderBy(c, "pos_a", "pos_b"))
     # The window runs over the n(n-1)/2 pair rows of one aggregate, not over data rows.
     return (pairs.withColumn("rank", rank).filter(F.col("rank") <= k)
@@ -232,8 +234,8 @@ def target_correlation(df: DataFrame, cols: Sequence[str], target: str, digits:
     pairs = [(c, target, i, t) for i, c in enumerate(cols)]
     cells = [(c, target, i, t, i, t) for i, c in enumerate(cols)]
     long = _cells(df, pairs, cells, digits).select(F.col("feature_a").alias("feature"),
-                                                   F.col("pos_a").alias("pos"), "corr")
-    return long.orderBy(F.asc_nulls_last("corr"), "pos").drop("pos")
+                                                   F.col("pos_a").alias("pos"), "corr", "_rank")
+    return long.orderBy(F.asc_nulls_last("_rank"), "pos").drop("pos", "_rank")
 
 
 # -- sources -------------------------------------------------------------------

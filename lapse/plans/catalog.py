@@ -200,9 +200,9 @@ def _corr_pairs_sql(cols, digits, diagonal, mirror):
     for i in range(len(cols)):
         for j in range(i + (0 if diagonal else 1), len(cols)):
             rows.append(f"SELECT '{cols[i]}' AS feature_a, '{cols[j]}' AS feature_b, {i} AS pos_a, {j} AS pos_b, "
-                        f"round_even(c_{i}_{j}, {digits}) AS corr FROM cagg")
+                        f"round_even(c_{i}_{j}, {digits}) AS corr, round_even(c_{i}_{j}, 12) AS raw FROM cagg")
             if mirror and i != j:
-                rows.append(f"SELECT '{cols[j]}', '{cols[i]}', {j}, {i}, round_even(c_{i}_{j}, {digits}) FROM cagg")
+                rows.append(f"SELECT '{cols[j]}', '{cols[i]}', {j}, {i}, round_even(c_{i}_{j}, {digits}), round_even(c_{i}_{j}, 12) FROM cagg")
     return " UNION ALL ".join(rows)
 
 
@@ -216,7 +216,7 @@ def q_corr_matrix(spark, sf):
 def _top_pairs_sql(largest: bool) -> str:
     direction = "DESC" if largest else "ASC"
     return V(f"""SELECT CAST(rank AS INTEGER) AS rank, feature_a, feature_b, corr FROM (
-  SELECT *, row_number() OVER (ORDER BY corr {direction}, pos_a, pos_b) AS rank FROM pairs WHERE corr IS NOT NULL)
+  SELECT *, row_number() OVER (ORDER BY raw {direction}, pos_a, pos_b) AS rank FROM pairs WHERE corr IS NOT NULL)
 WHERE rank <= 10 ORDER BY rank""", "profile",
              extra=[("cagg", _corr_agg("profile", CORR_COLS, False)),
                     ("pairs", _corr_pairs_sql(CORR_COLS, 3, False, False))])
@@ -486,8 +486,8 @@ TARGET_FEATURES = [c for c in RISK_COLS if c != LABEL_COL]
 
 
 @register("target_correlation", V("SELECT feature, corr FROM (" + " UNION ALL ".join(
-    f"SELECT {i} AS pos, '{c}' AS feature, round_even(t{i}, 3) AS corr FROM tagg" for i, c in enumerate(TARGET_FEATURES))
-    + ") ORDER BY corr ASC NULLS LAST, pos", "tx_clean", "profile", extra=MODEL_CTES + [
+    f"SELECT {i} AS pos, '{c}' AS feature, round_even(t{i}, 3) AS corr, round_even(t{i}, 12) AS raw FROM tagg" for i, c in enumerate(TARGET_FEATURES))
+    + ") ORDER BY raw ASC NULLS LAST, pos", "tx_clean", "profile", extra=MODEL_CTES + [
     ("tagg", "SELECT " + ", ".join(f"{O.pair_corr(c, LABEL_COL)} AS t{i}" for i, c in enumerate(TARGET_FEATURES))
      + " FROM model")]))
 def q_target_corr(spark, sf):

@@ -66,12 +66,10 @@ class Study:
 
     @cached_property
     def split(self) -> DataFrame:
-        """The split reads the model three times (value stats, block counts,
-        numbering) and is itself read by the encoder fit and the encoded
+        """The split reads the model for its size, its keys and its rows, and is itself read by the encoder fit and the encoded
         table, so with ``checkpoint`` both are written once."""
         model = self._freeze(self.model)
-        return self._freeze(ordered_split(model, order_col="recency_days", tie_col=self.key,
-                                          checked_lookups=self.checkpoint))
+        return self._freeze(ordered_split(model, order_col="recency_days", tie_col=self.key))
 
     @cached_property
     def encoder(self) -> DataFrame:

@@ -24,23 +24,15 @@ def nan_to_null(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-# Schemas already inferred in this process, by (format, path).  Inference
-# costs a Spark job per read (a footer pass for parquet, a full pass for CSV);
-# later reads of the same path pass the known schema instead.
-_SCHEMAS: dict[tuple[str, str], StructType] = {}
-
-
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet",
                schema: StructType | None = None, nan_as_null: bool = True,
                **options) -> DataFrame:
     """Scan a table.  CSV gets ``header=true``; with no schema it infers one.
 
     Passing an explicit ``schema`` skips the extra inference pass over the
-    file, which matters at scale; an inferred schema is remembered per path.
+    file, which matters at scale.  Nothing is remembered between reads: a table
+    rewritten with other columns is read with those.
     """
-    cache_key = (fmt, path)
-    if schema is None and not options:
-        schema = _SCHEMAS.get(cache_key)
     reader = spark.read.format(fmt)
     if fmt == "csv":
         reader = reader.option("header", "true")
@@ -51,8 +43,6 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet",
     for key, value in options.items():
         reader = reader.option(key, value)
     df = reader.load(path)
-    if not options:
-        _SCHEMAS.setdefault(cache_key, df.schema)
     return nan_to_null(df) if nan_as_null else df
 
 

@@ -39,10 +39,14 @@ def _drop_batch_copies(batches):
         yield pdf.drop_duplicates()
 
 
-def dedup_stream(stream: DataFrame, date: str = "date", watermark: str = "2 days",
+def dedup_stream(stream: DataFrame, watermark: str, date: str = "date",
                  combine_in_tasks: bool = False) -> DataFrame:
     """Exact-duplicate removal over all columns with watermark-bounded state.
 
+    Rows older than ``watermark`` behind the latest seen are dropped, as any
+    bounded state must; so the caller names it.  A backfill needs one at least
+    as long as its span, or the batch operators.
+
     The event time is cast to a session-zone timestamp for the watermark.
     ``combine_in_tasks`` merges identical copies inside each Arrow batch
     (``mapInPandas``, stateless) before the stateful shuffle, so a flood of

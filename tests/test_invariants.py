@@ -79,3 +79,42 @@ def test_window_counts_match_filters(spark):
     r = A.window_counts(tx, LEDGER_WINDOW).first()
     assert r.n_observation == A.observation(tx, LEDGER_WINDOW).count()
     assert r.n_target == A.target_window(tx, LEDGER_WINDOW).count()
+
+
+def test_schema_of_one_read_is_not_used_by_the_next(spark, tmp_path):
+    from lapse.sources import read_table
+    path = str(tmp_path / "t")
+    spark.range(3).selectExpr("id", "id * 2 AS twice").write.parquet(path)
+    assert read_table(spark, path, schema="id long").columns == ["id"]
+    assert read_table(spark, path).columns == ["id", "twice"]
+    spark.range(3).selectExpr("id", "id AS other").write.mode("overwrite").parquet(path)
+    assert read_table(spark, path).columns == ["id", "other"]
+
+
+def test_means_keep_digits_past_the_scale(spark):
+    from pyspark.sql import functions as F
+
+    from lapse.functions.numeric import exact_mean
+    df = spark.createDataFrame([(1, 0.004), (1, 0.004), (1, 0.006), (2, 1e17), (3, 0.1), (3, 0.2), (3, None)], "k int, x double")
+    got = {r.k: r.m for r in df.groupBy("k").agg(exact_mean(F.col("x")).alias("m")).collect()}
+    assert abs(got[1] - 0.014 / 3) < 1e-12 and got[2] == 1e17 and got[3] == 0.15
+
+
+def test_pairs_rank_by_raw_correlation(spark):
+    from lapse.operators import profiling as P
+    df = spark.createDataFrame([(i, i + 0.001 * (i % 7), i + 0.002 * (i % 5) * (i % 3)) for i in map(float, range(40))], "a double, b double, c double")
+    raw = {(x, y): df.toPandas()[x].corr(df.toPandas()[y]) for x, y in (("a", "b"), ("a", "c"), ("b", "c"))}
+    got = [(r.feature_a, r.feature_b) for r in P.correlation_pairs(df, ["a", "b", "c"]).collect()]
+    assert got == sorted(raw, key=lambda k: -raw[k])
+
+
+def test_split_of_dates_texts_and_nulls(spark):
+    import datetime as dt
+
+    from lapse.operators import dataset as D
+    for rows, kind in (([(None if i % 9 == 0 else dt.date(2024, 1, 1 + i % 5), f"c{i}") for i in range(50)], "date"), ([(3, f"c{i}") for i in range(50)], "int")):
+        df = spark.createDataFrame(rows, f"o {kind}, k string")
+        want = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1]) if kind == "int" else (r[0] is None, r[0] or dt.date.min, r[1]))
+        for block in (7, 1000):
+            got = {r.k: r.split for r in D.ordered_split(df, order_col="o", tie_col="k", rows_per_block=block).collect()}
+            assert [got[k] for _, k in want] == ["train"] * 35 + ["validation"] * 7 + ["test"] * 8

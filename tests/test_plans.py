@@ -39,14 +39,10 @@ def test_no_python_udf_in_any_plan(spark, name):
         assert node not in p, name
 
 
-def test_split_windows_only_over_small_tables(spark):
-    """The unpartitioned windows of the split run over per-block counts, and the
-    row-level window is partitioned by (order value, block)."""
-    df = queries()["ordered_split"](spark, SF001)
-    o = optimized(df)
-    for line in o.splitlines():
-        if "Window [" in line and "row_number()" in line:
-            assert "recency_days" in line.split("windowspecdefinition(")[1].split(",")[0]
+def test_split_is_a_comparison(spark):
+    """No window and no exchange of full rows above the frozen model."""
+    o = plan(queries()["ordered_split"](spark, SF001))
+    assert "Window" not in o and "Exchange" not in o and "Sort" not in o
 
 
 def test_correlation_is_one_aggregate_pass(spark):
