@@ -1,0 +1,62 @@
+"""DuckDB SQL of the operators that SQL can express; it reads the whole tables.
+
+The other operators use trained models, token ids or XXH64 with a seed, which DuckDB does not offer.
+"""
+
+from __future__ import annotations
+
+# The measurements follow their definitions one by one: windows are unnested with their positions, and
+# the words of repeated windows are counted as distinct positions.
+QUALITY_RULES = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
+  FROM documents),
+windows AS (
+  SELECT rid, p, w[p] || ' ' || w[p + 1] || ' ' || w[p + 2] AS k
+  FROM (SELECT rid, w, unnest(range(1, greatest(len(w) - 1, 1))) AS p FROM d)),
+starts AS (
+  SELECT rid, p FROM (SELECT rid, p, count(*) OVER (PARTITION BY rid, k) AS n FROM windows) WHERE n > 1),
+repeated AS (
+  SELECT rid, count(DISTINCT w) AS n FROM (SELECT rid, unnest([p, p + 1, p + 2]) AS w FROM starts) GROUP BY rid),
+m AS (
+  SELECT doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+         length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, len(l)::BIGINT AS n_lines,
+         (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words,
+         len(list_filter(w, lambda x: regexp_matches(x, '^\p{Lu}\p{Lu}+([^\p{Ll}]|$)')))::BIGINT AS n_shouted
+  FROM d LEFT JOIN repeated USING (rid)),
+bits AS (
+  SELECT *, (n_words < 50)::BIGINT + 2 * (100 * n_repeat_words > 50 * n_words)::BIGINT
+            + 4 * (10 * n_symbols > n_words)::BIGINT + 8 * (100 * n_dup_lines > 40 * n_lines)::BIGINT
+            + 16 * (word_chars < 2 * n_words OR word_chars > 12 * n_words)::BIGINT
+            + 32 * (n_words > 0 AND 2 * n_shouted > n_words)::BIGINT AS failures
+  FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       failures & 3 <> 0 AS base_failed, failures = 0 AS kept, failures
+FROM bits
+"""
+
+# The texts after escaping and reading back are the texts themselves, so only lengths need the escapes.
+CHAT_FORMAT = r"""
+WITH turns AS (
+  SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+escaped AS (
+  SELECT *,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text) AS k,
+         length(regexp_replace(replace(text, '\', '\\'), '([\[<])((?:/?SYS|/?INST|/?TURN|SAYS)\]|/?s>)', '\1\\|\2', 'g')) AS text_chars,
+         length(regexp_replace(replace(coalesce(role, ''), '\', '\\'), '([\[<])((?:/?SYS|/?INST|/?TURN|SAYS)\]|/?s>)', '\1\\|\2', 'g')) AS role_chars
+  FROM turns),
+steps AS (
+  SELECT *, lag(role, 1, '') OVER (PARTITION BY conv_id ORDER BY k) AS prev FROM escaped)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(coalesce(role, '') || chr(10) || text || chr(10), '' ORDER BY k)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY k) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(CASE role WHEN 'system' THEN 11 WHEN 'user' THEN 13 WHEN 'assistant' THEN 7 ELSE 19 + role_chars END + text_chars)::BIGINT AS formatted_chars,
+       bool_and(coalesce((prev, role) IN (('', 'system'), ('', 'user'), ('system', 'user'), ('user', 'assistant'), ('assistant', 'user')), false)) AS valid
+FROM steps GROUP BY conv_id
+"""
+
+SQL = {"op4_chat_format": CHAT_FORMAT, "op5_quality_rules": QUALITY_RULES}

@@ -64,4 +64,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from lapse.llm.oracle import SQL
+    return dict(SQL)
