@@ -102,6 +102,8 @@ def missing_audit(df: DataFrame, structural: Mapping[str, str] = STRUCTURAL_COLS
 def structural_missing_check(df: DataFrame, pairs: Mapping[str, str | None] = STRUCTURAL_FLAGS) -> DataFrame:
     """For each structural column present: nulls, and the rows whose flag is False."""
     cols = present(df, pairs)
+    if not cols:
+        return df.sparkSession.createDataFrame([], "column_name string, flag_column string, flag_false_count double, null_count bigint")
     aggs = []
     for i, c in enumerate(cols):
         flag = pairs[c]
@@ -172,6 +174,9 @@ def _pair_stats(df: DataFrame, pairs: Sequence[tuple[str, str, int, int]]) -> Da
 def _cells(df: DataFrame, pairs, cells, digits: int) -> DataFrame:
     """Attach pair results to the listed output cells (a literal table of at
     most n^2 rows); pairs without any complete row get a null correlation."""
+    if not cells:
+        return df.sparkSession.createDataFrame(
+            [], "feature_a string, feature_b string, pos_a int, pos_b int, corr double, _rank double")
     stats = _pair_stats(df, pairs)
     schema = ("feature_a string, feature_b string, pos_a int, pos_b int, _pa int, _pb int")
     cell_df = df.sparkSession.createDataFrame(cells, schema)

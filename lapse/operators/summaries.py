@@ -17,6 +17,7 @@ from lapse.config import LABEL_COL
 from lapse.functions.columns import present
 from lapse.functions.numeric import half_even, pct
 from lapse.functions.ordering import reindex
+from lapse.functions.quantiles import exact_quantiles
 
 # The engagement metrics compared across segments.
 ENGAGEMENT_METRICS = ["app_logins_frequency", "feature_usage_diversity",
@@ -48,22 +49,18 @@ def segment_share(df: DataFrame, order: Sequence[str], segment: str = "customer_
                 .orderBy("_pos").drop("_pos"))
 
 
-def _quantiles(x, probs, approx: bool):
-    """Exact linear-interpolated percentiles (state grows with the distinct
-    values of a group), or ``percentile_approx`` (bounded sketch) at scale."""
-    return F.percentile_approx(x, list(probs), 10_000) if approx else F.percentile(x, list(probs))
-
-
 def describe_by(df: DataFrame, order: Sequence[str], group: str = "customer_segment",
-                metric: str = "tx_count", digits: int = 1, approx: bool = False) -> DataFrame:
+                metric: str = "tx_count", digits: int = 1) -> DataFrame:
     """pandas ``describe`` per listed group: count, mean, sample std, min,
     exact linear-interpolated quartiles, max (``digits`` dp)."""
     x = F.col(metric).cast("double")
-    q = _quantiles(x, [0.25, 0.5, 0.75], approx)
-    g = (df.filter(F.col(group).isin(list(order)))
-           .groupBy(group)
-           .agg(F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
-                F.min(x).alias("min"), q.alias("_q"), F.max(x).alias("max")))
+    rows = df.filter(F.col(group).isin(list(order))).select(group, x.alias("_x"))
+    quart = exact_quantiles(rows, group, "_x", [0.25, 0.5, 0.75])
+    # At most len(order) rows on either side.
+    g = (rows.groupBy(group)
+             .agg(F.count("_x").alias("count"), F.avg("_x").alias("mean"), F.stddev_samp("_x").alias("std"),
+                  F.min("_x").alias("min"), F.max("_x").alias("max"))
+             .join(F.broadcast(quart), group, "left"))
     r = lambda c: half_even(c, digits)
     g = g.select(group, F.col("count").cast("double").alias("count"), r(F.col("mean")).alias("mean"),
                  r(F.col("std")).alias("std"), r(F.col("min")).alias("min"),
@@ -73,7 +70,7 @@ def describe_by(df: DataFrame, order: Sequence[str], group: str = "customer_segm
 
 
 def boxplot_stats(df: DataFrame, order: Sequence[str], group: str = "customer_segment",
-                  metric: str = "tx_count", whis: float = 1.5, approx: bool = False) -> DataFrame:
+                  metric: str = "tx_count", whis: float = 1.5) -> DataFrame:
     """Box-plot numbers per listed group: quartiles, whiskers at the furthest
     points within ``whis`` IQR of the box (never inside it), outlier count.
 
@@ -84,7 +81,7 @@ def boxplot_stats(df: DataFrame, order: Sequence[str], group: str = "customer_se
     """
     x = F.col(metric).cast("double")
     rows = df.filter(F.col(group).isin(list(order)) & x.isNotNull()).select(group, x.alias("_x"))
-    quart = rows.groupBy(group).agg(_quantiles(F.col("_x"), [0.25, 0.5, 0.75], approx).alias("_q")).select(
+    quart = exact_quantiles(rows, group, "_x", [0.25, 0.5, 0.75]).select(
         group, F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3"))
     iqr = F.col("q3") - F.col("q1")
     lo_fence = F.col("q1") - F.lit(whis) * iqr
@@ -157,20 +154,23 @@ def histogram_by(df: DataFrame, group: str = LABEL_COL, col: str = "recency_days
 
 
 def group_center(df: DataFrame, group: str = LABEL_COL, col: str = "recency_days",
-                 digits: int = 1, approx: bool = False) -> DataFrame:
+                 digits: int = 1) -> DataFrame:
     """Rows, exact median and mean of ``col`` per group value."""
     x = F.col(col).cast("double")
-    return (df.filter(F.col(group).isNotNull())
-              .groupBy(group)
-              .agg(F.count(F.lit(1)).alias("n"), half_even(_quantiles(x, [0.5], approx)[0], digits).alias("median"),
-                   half_even(F.avg(x), digits).alias("mean"))
-              .orderBy(group))
+    rows = df.filter(F.col(group).isNotNull()).select(group, x.alias("_x"))
+    middle = exact_quantiles(rows, group, "_x", [0.5])
+    return (rows.groupBy(group).agg(F.count(F.lit(1)).alias("n"), F.avg("_x").alias("_mean"))
+                .join(middle, group, "left")
+                .select(group, "n", half_even(F.col("_q")[0], digits).alias("median"), half_even(F.col("_mean"), digits).alias("mean"))
+                .orderBy(group))
 
 
 def metric_means(df: DataFrame, order: Sequence[str], group: str = "customer_segment",
                  metrics: Sequence[str] = ENGAGEMENT_METRICS, digits: int = 2) -> DataFrame:
     """Long form ``(metric, group, mean)`` for each present metric and listed group."""
     metrics = present(df, metrics)
+    if not metrics:
+        return df.select(F.lit("").alias("metric"), group, F.lit(0.0).alias("mean")).limit(0)
     g = (df.filter(F.col(group).isin(list(order))).groupBy(group)
            .agg(*[F.avg(F.col(m).cast("double")).alias(f"_m{i}") for i, m in enumerate(metrics)]))
     wide = reindex(g, group, order, keep_pos=True)
