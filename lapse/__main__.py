@@ -29,13 +29,19 @@ def main(argv=None):
                                                   REFERENCE_WINDOW.target_hi.date().isoformat()])
     ap.add_argument("--econ-start", default="2023-01-01")
     ap.add_argument("--segments", nargs="+", default=SEGMENT_ORDER)
+    ap.add_argument("--profile-schema", help="columns and types as DDL; without it a CSV is read once more to infer them")
+    ap.add_argument("--ledger-schema", help="the same for the ledger")
+    ap.add_argument("--work-dir", help="shared folder for intermediate tables, where spark.checkpoint.dir is unset")
     args = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName("lapse-study").getOrCreate()
+    spark.conf.set("spark.sql.session.timeZone", "UTC")  # results must not follow the machine's zone
+    if args.work_dir and not (spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)):
+        spark.sparkContext.setCheckpointDir(args.work_dir)
     window = StudyWindow(cutoff=args.cutoff, pop_start=args.pop_start,
                          target_lo=args.target[0], target_hi=args.target[1])
-    profile = read_table(spark, args.profile, args.format)
-    ledger = parse_dates(read_table(spark, args.ledger, args.format), "date")
+    profile = read_table(spark, args.profile, args.format, args.profile_schema)
+    ledger = parse_dates(read_table(spark, args.ledger, args.format, args.ledger_schema), "date")
     outputs = study_outputs(profile, ledger, econ_dimension(spark, args.econ_start), window, args.segments)
     for name in write_outputs(outputs, args.out):
         print(name)

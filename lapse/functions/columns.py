@@ -16,12 +16,6 @@ def present(df: DataFrame, cols: Iterable[str]) -> list[str]:
     return [c for c in cols if c in have]
 
 
-def require(df: DataFrame, *cols: str) -> None:
-    missing = [c for c in cols if c not in df.columns]
-    if missing:
-        raise ValueError(f"missing columns {missing}; have {df.columns}")
-
-
 def bound(df: DataFrame, col: str, value: dt.datetime) -> Column:
     """A literal of ``col``'s own type, so comparisons stay pushable to the scan.
 

@@ -5,8 +5,6 @@
   both differ from it on binary ties.
 * ``exact_mean`` / ``exact_sum``: money columns summed as decimals, so the sum
   does not depend on the order in which partitions are combined.
-* ``pair_corr``: Pearson with pairwise deletion that yields null (not an
-  ANSI divide-by-zero error) when one side is constant.
 """
 
 from __future__ import annotations
@@ -39,18 +37,6 @@ def pct(part: Column, whole: Column, digits: int) -> Column:
     return half_even(part / whole * F.lit(100.0), digits)
 
 
-def pair_corr(a: Column, b: Column) -> Column:
-    """Pearson correlation over rows where both values are present.
-
-    Zero variance gives null (pandas gives NaN); ``corr`` would raise
-    DIVIDE_BY_ZERO under ANSI mode.
-    """
-    both = a.isNotNull() & b.isNotNull()
-    a2 = F.when(both, a.cast("double"))
-    b2 = F.when(both, b.cast("double"))
-    return F.try_divide(F.covar_pop(a2, b2), F.stddev_pop(a2) * F.stddev_pop(b2))
-
-
 # -- SQL text -------------------------------------------------------------------
 # Generated expressions over many columns are passed as SQL text: through the
 # Column API each call is one JVM round trip.

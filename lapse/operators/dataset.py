@@ -7,7 +7,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegralType, NumericType
 
 from lapse.config import KEY_COL, LABEL_COL
 from lapse.functions.columns import present, str_class
@@ -102,49 +101,27 @@ def split_sizes(df: DataFrame, split_col: str = "split", names: Sequence[str] =
              .orderBy("_o").drop("_o"))
 
 
-def _prefix_key(col: str) -> Column:
-    """A non-negative long from the first 7 bytes of the UTF-8 text: never
-    decreasing in byte order, which is the order strings sort in."""
-    hexed = F.rpad(F.hex(F.substring(F.encode(F.col(col), "UTF-8"), 1, 7)), 14, "0")
-    return F.conv(hexed, 16, 10).cast("bigint")
-
-
-def fit_encoder(train: DataFrame, cols: Sequence[str], window_rows: int = 100_000,
-                rows_per_block: int = 100_000) -> DataFrame:
+def fit_encoder(train: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Label-encoder classes fitted on ``train``: ``(column_name, value, code)``.
 
     Values are the text form (null -> 'None', booleans 'True'/'False'), codes
-    0..k-1 in sorted (byte) order.  The distinct classes are frozen and
-    counted: up to ``window_rows`` classes in all, each column is ranked by one
-    window; above that, codes are positions computed per block (a monotone
-    7-byte prefix key cut into equal ranges, running offsets over the small
-    per-block counts, row numbers inside a block), so no task ranks more than
-    about ``rows_per_block`` classes.
+    0..k-1 in sorted (byte) order.  Spark range-partitions the distinct classes
+    and they are written once; a code is the number of classes in earlier parts
+    plus the position inside its own part, so no task ranks more than one part.
     """
     cols = present(train, cols)
     pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), str_class(train, c).alias("value"))
                                 for c in cols]))
-    distinct = freeze(train.select(pairs.alias("p")).select("p.*").distinct())
-    n = distinct.count()
-    if n <= window_rows:
-        rank = F.row_number().over(Window.partitionBy("column_name").orderBy("value")) - 1
-        return distinct.withColumn("code", rank.cast("int"))
-
-    keyed = distinct.withColumn("_k", _prefix_key("value"))
-    head = keyed.agg(F.min("_k").alias("lo"), F.max("_k").alias("hi")).first()
-    n_blocks = max(1, math.ceil(n / rows_per_block))
-    span = float(head["hi"]) - float(head["lo"]) + 1.0
-    block = F.least(F.floor((F.col("_k") - F.lit(head["lo"])).cast("double") * F.lit(float(n_blocks)) / F.lit(span)),
-                    F.lit(n_blocks - 1))
-    tagged = keyed.withColumn("_blk", block)
-    counts = tagged.groupBy("column_name", "_blk").agg(F.count(F.lit(1)).alias("_cnt"))
-    before = Window.partitionBy("column_name").orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sized_broadcast(counts.select("column_name", "_blk",
-                                            F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off")))
-    inner = Window.partitionBy("column_name", "_blk").orderBy("value")
+    distinct = train.select(pairs.alias("p")).select("p.*").distinct()
+    dealt = freeze(distinct.repartitionByRange("column_name", "value").withColumn("_part", F.spark_partition_id()))
+    counts = dealt.groupBy("column_name", "_part").agg(F.count(F.lit(1)).alias("_cnt"))
+    before = Window.partitionBy("column_name").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("column_name", "_part", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
+    inner = Window.partitionBy("column_name", "_part").orderBy("value")
     code = F.col("_off") + F.row_number().over(inner) - 1
-    return (tagged.join(offsets, ["column_name", "_blk"], "inner")
-                  .select("column_name", "value", code.cast("int").alias("code")))
+    # A range part holds consecutive columns: at most parts + columns offset rows, whatever the data.
+    return (dealt.join(F.broadcast(offsets), ["column_name", "_part"])
+                 .select("column_name", "value", code.cast("int").alias("code")))
 
 
 def apply_encoder(df: DataFrame, classes: DataFrame, cols: Sequence[str], suffix: str = "_enc",

@@ -1,7 +1,8 @@
 """The whole study over a profile table and a ledger: every output table.
 
-``study_outputs`` returns name -> DataFrame (all lazy except the checkpointed
-model / split); ``write_outputs`` writes each one as parquet, the encoded
+``study_outputs`` returns name -> DataFrame.  With ``checkpoint`` it first writes
+the clean ledger and the model table once, which all outputs read; building the
+split, the encoder and the quantiles also runs jobs. ``write_outputs`` writes each one as parquet, the encoded
 table partitioned by split (train / validation / test folders).
 """
 
@@ -26,6 +27,8 @@ def study_outputs(profile: DataFrame, ledger: DataFrame, econ: DataFrame, window
                   checkpoint: bool = True) -> dict[str, DataFrame]:
     profile_clean = C.exclude_columns(profile, exclude)
     s = Study(profile_clean, ledger, window, checkpoint=checkpoint)
+    if checkpoint:
+        s.stored()
     rfm_cols = ["recency_days", *window.freq_cols, window.value_col, A.change_col(window)]
     monthly = S.monthly_volume_econ(s.tx_clean, econ)
     out = {

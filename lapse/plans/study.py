@@ -3,16 +3,20 @@
     ledger -> dedup -> {rfm_features, inactivity_label} -> model_dataset
            -> ordered_split -> zero_fill -> encoder (fit on train) -> encoded
 
-Nothing runs until the caller's action.  Heavy shared inputs (the deduped
+The features, the label and the model are lazy plans.  The split, the encoder
+and the encoded table run jobs while they are built: boundary rows and class
+positions come from tables written on the way.  Heavy shared inputs (the deduped
 ledger, the model table) appear several times in the plan; Spark reuses
 identical exchanges.  With ``checkpoint`` (the default) the model table and
 the split are written once to the session's checkpoint dir before their
 several consumers read them: the lineage is cut (a lost executor re-reads
-the written table) and the plans stay small.
+the written table) and the plans stay small.  ``stored`` writes the clean
+ledger and the model as parquet for studies with many outputs.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from functools import cached_property
 
@@ -24,6 +28,7 @@ from lapse.functions.materialize import freeze
 from lapse.operators.cleaning import FILL_ZERO_COLS, dedup_exact, zero_fill
 from lapse.operators.dataset import CAT_COLS, apply_encoder, fit_encoder, model_dataset, ordered_split
 from lapse.operators.features import inactivity_label, rfm_features, rfm_with_label
+from lapse.session import ensure_checkpoint_dir
 
 
 class Study:
@@ -41,6 +46,21 @@ class Study:
         self.fill_zero = list(fill_zero)
         self.dedup = dedup
         self.checkpoint = checkpoint
+        self._stored = False
+
+    def stored(self) -> "Study":
+        """Write the clean ledger and the model once, as parquet in the session's shared checkpoint folder.
+
+        Every later output reads only the columns it needs of them, instead of
+        repeating the ledger's dedup shuffle and the model's aggregation and join.
+        """
+        spark = self.ledger.sparkSession
+        folder = f"{ensure_checkpoint_dir(spark)}/study-{uuid.uuid4().hex}"
+        for name in ("tx_clean", "model"):  # the model is computed from the written ledger
+            getattr(self, name).write.parquet(f"{folder}/{name}")
+            setattr(self, name, spark.read.parquet(f"{folder}/{name}"))
+        self._stored = True
+        return self
 
     @cached_property
     def tx_clean(self) -> DataFrame:
@@ -68,7 +88,7 @@ class Study:
     def split(self) -> DataFrame:
         """The split reads the model for its size, its keys and its rows, and is itself read by the encoder fit and the encoded
         table, so with ``checkpoint`` both are written once."""
-        model = self._freeze(self.model)
+        model = self.model if self._stored else self._freeze(self.model)
         return self._freeze(ordered_split(model, order_col="recency_days", tie_col=self.key))
 
     @cached_property

@@ -25,7 +25,7 @@ def nan_to_null(df: DataFrame) -> DataFrame:
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet",
-               schema: StructType | None = None, nan_as_null: bool = True,
+               schema: StructType | str | None = None, nan_as_null: bool = True,
                **options) -> DataFrame:
     """Scan a table.  CSV gets ``header=true``; with no schema it infers one.
 
@@ -38,6 +38,8 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet",
         reader = reader.option("header", "true")
         if schema is None:
             reader = reader.option("inferSchema", "true")
+        else:  # the header must name the schema's columns
+            reader = reader.option("enforceSchema", "false")
     if schema is not None:
         reader = reader.schema(schema)
     for key, value in options.items():
