@@ -4,14 +4,17 @@
    ids of its rows, which is all that a list of ``TOP`` neighbours with ties to smaller ids can show.
 2. A vector gets one more component, sqrt(longest**2 - its length**2), so that a large inner product means
    near, and is kept as bytes (a signed byte per component and a scale) while the graph is built.
-3. The first neighbours come from leaves of random hyperplane trees; a leaf over ``LEAF`` rows is split by
-   a hash.  Then rounds of NN-descent: every node hands itself to its sampled neighbours (reverse edges), a
+3. The first neighbours come from leaves of random hyperplane trees (a leaf over ``LEAF`` rows is split by
+   a hash) and from groups of about ``CHANCE`` nodes by a hash, so a node alone in its leaves has some, too.  Then rounds of NN-descent: every node hands itself to its sampled neighbours (reverse edges), a
    co-grouping by node joins them with its own neighbours, every pair of a node's members that holds a new
    one is compared, members that handed themselves over are offered what beats their worst neighbour, and each node keeps its ``DEGREE`` best.  Members per node and round are bounded, so a
    node that many list does not grow a task; rounds end when few edges change.
 4. Queries walk the graph together: a round joins the best nodes of every query's list not yet expanded with
    the graph (and some edges back), scores their neighbours, and keeps the ``BEAM`` best; it ends when no list has one left.
-   The best ``EXACT`` of each list are then scored in double precision on the original vectors.
+   A list begins with the node's neighbours and the best of sqrt(nodes) entry points.  Components of the graph
+   are linked through a graph of their heads (``bridges``).
+   The best ``EXACT`` of each list are then scored in double precision on the original vectors.  A query that
+   still has fewer rows than it could have is compared with all nodes, block by block.
 
 Results for odd input: vectors that are null, empty, zero, of another length than most, or that hold null or
 non-finite components take no part; null ids take no part; a repeated row counts once per row, an id that
@@ -27,12 +30,14 @@ from pyspark.sql import functions as F
 
 from lapse.functions.materialize import freeze
 from lapse.llm.common import col, in_tasks
+from lapse.llm.simhash_dedup import components
 
 TOP, QUERY_STEP = 20, 20
 DEGREE, SAMPLE, ROUNDS, SETTLED = 32, 12, 6, 0.01
-TREES, LEAF, LEAF_BEST = 3, 192, 12
+TREES, LEAF, LEAF_BEST, CHANCE = 3, 192, 12, 24
 BEAM, EXPAND, WALKS, EXACT = 320, 40, 16, 80
-BACK_FROM, BACK = 8, 32
+BACK_FROM, BACK, ENTRIES = 8, 32, 8
+BLOCK, ASKED_BLOCK = 1024, 256
 SEED = 5
 GRAPH = "node long, kind int, vec binary, ids array<long>, sims array<float>, fresh array<boolean>, vecs array<binary>"
 
@@ -138,7 +143,7 @@ def _offers(ids: list[int], packed: list[bytes], asking: int, may: np.ndarray, f
 # -- the graph -----------------------------------------------------------------------------------
 
 def first_offers(packed: DataFrame, n: int) -> DataFrame:
-    """Offers from the leaves of random hyperplane trees."""
+    """Offers from the leaves of random hyperplane trees and from groups by a hash."""
     bits = max(0, int(np.ceil(np.log2(max(n, 1) / (LEAF / 2)))))
 
     def leaves(batches):
@@ -152,6 +157,10 @@ def first_offers(packed: DataFrame, n: int) -> DataFrame:
                 leaf = ((v @ planes[tree] > 0) @ (1 << np.arange(bits))).astype(np.int64) if bits else np.zeros(len(v), np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(v), tree, "i4")), pa.array(leaf), batch.column("node"), batch.column("vec")],
                                                  names=["tree", "leaf", "node", "vec"])
+            mixed = (batch.column("node").to_numpy().astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(20)
+            group = (mixed % np.uint64(max(1, n // CHANCE))).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(v), TREES, "i4")), pa.array(group), batch.column("node"), batch.column("vec")],
+                                             names=["tree", "leaf", "node", "vec"])
 
     placed = in_tasks(packed, leaves, "tree int, leaf long, node long, vec binary")
     sizes = placed.groupBy("tree", "leaf").agg(F.count(F.lit(1)).alias("n"))
@@ -297,6 +306,24 @@ def both_ways(graph: DataFrame) -> DataFrame:
                       F.concat("vecs", F.transform(more, lambda x: x["vec"])).alias("vecs"))
 
 
+def bridges(graph: DataFrame) -> DataFrame:
+    """(at, ids, vecs): edges, in both directions, that join the components of the graph.
+
+    The smallest node of every component goes into a graph of its own, until one component is left.
+    """
+    level, out = graph, graph.select(F.col("node").alias("at"), "ids", "vecs").limit(0)
+    while True:
+        parts = components(level.select(F.col("node").alias("a"), F.explode(F.slice("ids", 1, BACK_FROM)).alias("b")))
+        heads = level.select("node", "vec").join(parts, "node", "left").where(F.coalesce("component", "node") == F.col("node"))
+        heads = freeze(heads.select("node", "vec"))
+        if heads.count() < 2:
+            return out
+        level = build(heads)
+        there = level.select(F.col("node").alias("at"), "ids", "vecs")
+        back = level.select(F.explode("ids").alias("at"), F.array("node").alias("ids"), F.array("vec").alias("vecs"))
+        out = out.unionByName(there).unionByName(back)
+
+
 def _asked(packed: bytes) -> np.ndarray:
     """A node's vector as a query: the added component is zero, so products are inner products."""
     v = unpack([packed])[0]
@@ -306,15 +333,25 @@ def _asked(packed: bytes) -> np.ndarray:
 
 def search(graph: DataFrame, starts: DataFrame) -> DataFrame:
     """(node, found): for every start node the ids of its best list, best first."""
-    edges = both_ways(graph).repartition("at").persist()
+    edges = both_ways(graph).unionByName(bridges(graph)).repartition("at").persist()
+    # sqrt(nodes) of them, by a hash, are known to every task.
+    some = graph.select("node", "vec").where(F.pmod(F.xxhash64("node"), F.lit(int(graph.count() ** 0.5) + 1)) == 0).collect()
+    sent = graph.sparkSession.sparkContext.broadcast(([r.node for r in some], [bytes(r.vec) for r in some]))
 
     def begin(batches):
         import pyarrow as pa
+        entry_ids, entry_vecs = sent.value
+        entries = unpack(entry_vecs) if entry_ids else None
         for batch in batches:
             out = []
             for r in batch.to_pylist():
-                sims = (unpack(r["vecs"]) @ _asked(r["vec"])).tolist() if r["ids"] else []
-                out.append(sorted(({"s": -x, "id": i, "done": False} for x, i in zip(sims, r["ids"])), key=lambda x: (x["s"], x["id"])))
+                q = _asked(r["vec"])
+                known = dict(zip(r["ids"], (unpack(r["vecs"]) @ q).tolist())) if r["ids"] else {}
+                if entry_ids:
+                    far = entries @ q
+                    known |= {entry_ids[i]: float(far[i]) for i in np.argsort(-far, kind="stable")[:ENTRIES]}
+                known.pop(r["node"], None)
+                out.append(sorted(({"s": -x, "id": i, "done": False} for i, x in known.items()), key=lambda x: (x["s"], x["id"])))
             lists = pa.array(out, type=pa.list_(pa.struct([("s", pa.float32()), ("id", pa.int64()), ("done", pa.bool_())])))
             yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("vec"), lists], names=["node", "vec", "beam"])
 
@@ -344,23 +381,48 @@ def search(graph: DataFrame, starts: DataFrame) -> DataFrame:
         # One row per node and id; scores of the same pair are the same number.
         one = every.groupBy("node", "id").agg(F.min("s").alias("s"), F.max("done").alias("done"))
         lists = one.groupBy("node").agg(F.slice(F.sort_array(F.collect_list(F.struct("s", "id", "done"))), 1, BEAM).alias("beam"))
-        beam = freeze(beam.select("node", "vec").join(lists, "node"))
+        beam = beam.select("node", "vec").join(lists, "node", "left")  # a list may be empty
+        beam = freeze(beam.withColumn("beam", F.coalesce("beam", F.array().cast(beam.schema["beam"].dataType))))
         if not beam.where(F.exists("beam", lambda x: ~x["done"])).limit(1).count():
             break
     edges.unpersist()
     return beam.select("node", F.col("beam.id").alias("found"))
 
 
-def nearest(vectors: DataFrame, query: Column, id_col: str = "vec_id", vec_col: str = "embedding", top: int = TOP) -> DataFrame:
-    """(query_id, rank, vec_id, score) for the rows where ``query`` (over the column id) holds."""
-    rows = freeze(usable(vectors, id_col, vec_col))
-    table = freeze(nodes(rows, top))
-    graph = build(packed_nodes(table))
-    asked = rows.where(query).join(table.select("node", "v"), "v").select("id", "node")
-    starts = asked.select("node").distinct()
-    found = search(graph, starts)
-    # The node itself stands for other rows with the same vector.
-    pairs = found.select("node", F.explode(F.concat(F.array("node"), F.slice("found", 1, EXACT))).alias("other"))
+def _compare_blocks(batches, top: int):
+    """For every asked node of a pair of blocks, the ``top`` best nodes (ties to the smaller)."""
+    import pyarrow as pa
+
+    def side(batch, name, i):
+        rows = batch.column(name).slice(i, 1).flatten()
+        v = rows.field("v").flatten().to_numpy()
+        return rows.field("node").to_numpy(), v.reshape(len(rows), -1)
+
+    for batch in batches:
+        for i in range(batch.num_rows):
+            (asked, q), (ids, v) = side(batch, "asked", i), side(batch, "block", i)
+            order = np.argsort(ids)
+            ids, scores = ids[order], q @ v[order].T
+            best = np.argsort(-scores, axis=1, kind="stable")[:, :top]
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(asked, best.shape[1])), pa.array(ids[best].ravel()),
+                                              pa.array(np.take_along_axis(scores, best, axis=1).ravel())], names=["node", "other", "score"])
+
+
+def exact_others(table: DataFrame, starts: DataFrame, top: int = TOP) -> DataFrame:
+    """(node, other): for every start node the top + 1 best of all nodes, by blocks of products."""
+    def blocks(rows, size, name):
+        pick = F.pmod(F.xxhash64("node"), F.lit(max(1, -(-rows.count() // size))))
+        return rows.groupBy(pick.alias("part")).agg(F.collect_list(F.struct("node", "v")).alias(name)).select(name)
+
+    whole = table.select("node", "v")
+    pairs = blocks(whole, BLOCK, "block").crossJoin(blocks(whole.join(starts, "node", "left_semi"), ASKED_BLOCK, "asked"))
+    found = in_tasks(pairs, lambda batches: _compare_blocks(batches, top + 1), "node long, other long, score double")
+    ranked = found.withColumn("k", F.row_number().over(Window.partitionBy("node").orderBy(F.desc("score"), "other")))
+    return ranked.where(F.col("k") <= top + 1).select("node", "other")
+
+
+def ranked(table: DataFrame, pairs: DataFrame, top: int = TOP) -> DataFrame:
+    """(node, best): rows of the candidate nodes ``other``, scored on the original vectors, the top + 1 best."""
     pairs = pairs.join(table.select("node", F.col("v").alias("q")), "node").join(
         table.select(F.col("node").alias("other"), "v", "members"), "other").select("node", "q", "v", "members")
 
@@ -372,7 +434,24 @@ def nearest(vectors: DataFrame, query: Column, id_col: str = "vec_id", vec_col:
 
     scored = in_tasks(pairs, exact, "node long, members array<long>, score double").select("node", F.explode("members").alias("vec_id"), "score")
     best = scored.withColumn("k", F.row_number().over(Window.partitionBy("node").orderBy(F.desc("score"), "vec_id"))).where(F.col("k") <= top + 1)
-    lists = best.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("k", "vec_id", "score"))).alias("best"))
+    return best.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("k", "vec_id", "score"))).alias("best"))
+
+
+def nearest(vectors: DataFrame, query: Column, id_col: str = "vec_id", vec_col: str = "embedding", top: int = TOP) -> DataFrame:
+    """(query_id, rank, vec_id, score) for the rows where ``query`` (over the column id) holds."""
+    rows = freeze(usable(vectors, id_col, vec_col))
+    table = freeze(nodes(rows, top))
+    graph = build(packed_nodes(table))
+    asked = rows.where(query).join(table.select("node", "v"), "v").select("id", "node")
+    starts = asked.select("node").distinct()
+    found = search(graph, starts)
+    # The node itself stands for other rows with the same vector.
+    pairs = found.select("node", F.explode(F.concat(F.array("node"), F.slice("found", 1, EXACT))).alias("other"))
+    lists = freeze(ranked(table, pairs, top))
+    full = min(top + 1, table.agg(F.coalesce(F.sum(F.size("members")), F.lit(0))).first()[0])
+    short = lists.where(F.size("best") < full).select("node")
+    if short.limit(1).count():
+        lists = lists.where(F.size("best") >= full).unionByName(ranked(table, exact_others(table, short, top), top))
     answers = asked.join(lists, "node").select("id", F.slice(F.filter("best", lambda x: x["vec_id"] != F.col("id")), 1, top).alias("best"))
     return answers.select(F.col("id").alias("query_id"), F.posexplode("best").alias("p", "x")).select(
         "query_id", (F.col("p") + 1).cast("int").alias("rank"), F.col("x.vec_id").alias("vec_id"), F.col("x.score").alias("score"))

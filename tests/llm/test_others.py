@@ -67,6 +67,26 @@ def test_neighbours(spark):
     assert [(r.query_id, r.rank) for r in sorted(few)] == [(0, 1), (0, 2)]
 
 
+def test_neighbours_of_copies_and_lone_vectors(spark):
+    from lapse.llm.nn_descent import ann_search, exact_others
+    schema = "vec_id long, embedding array<double>"
+    for n in (7, 50):  # one distinct vector
+        got = ann_search(spark.createDataFrame([(i, [1.0, 2.0, 3.0]) for i in range(n)], schema)).collect()
+        for q in range(0, n, 20):
+            assert sorted(r.rank for r in got if r.query_id == q) == list(range(1, min(20, n - 1) + 1))
+    rng = np.random.default_rng(1)
+    v = rng.normal(size=16)
+    near = [v + 1e-3 * rng.normal(size=16) for _ in range(400)]
+    lone = [(1000 + i, (-v).tolist()) for i in range(3)]  # alone in its leaf in every tree
+    table = spark.createDataFrame([(1 + i, x.tolist()) for i, x in enumerate(near)] + lone, schema)
+    got = ann_search(table).where("query_id = 1000").collect()
+    assert sorted(r.rank for r in got) == list(range(1, 21)) and {1001, 1002} <= {r.vec_id for r in got}
+    nodes = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(near)], "node long, v array<double>")
+    s = np.array(near) @ near[3]
+    best = {r.other for r in exact_others(nodes, nodes.where("node = 3").select("node")).collect()}
+    assert best == set(np.argsort(-s)[:21].tolist())
+
+
 def test_pipeline(spark):
     import corpus_pipeline as P
     docs = spark.read.parquet(f"{SF001}/documents.parquet")
