@@ -221,32 +221,37 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, text_hash, fp, component, first_hash): one row per input row.
+    """(id, text_hash, fp, part, component): one row per input row.
 
-    component is the smallest id reachable, first_hash the smallest text hash among the rows linked.
+    part is the smallest fingerprint linked, component the smallest id reachable.
     """
     rows = freeze(fingerprints(docs, id_col, text_col))
-    classes = freeze(rows.groupBy("fp").agg(F.min("id").alias("least_id"), F.min("text_hash").alias("least_hash")))
+    classes = freeze(rows.groupBy("fp").agg(F.min("id").alias("least_id")))
     found = components(links(classes))
     part = classes.join(found.withColumnRenamed("node", "fp"), "fp", "left")
-    part = part.select("fp", "least_id", "least_hash", F.coalesce("component", "fp").alias("part"))
-    smallest = part.groupBy("part").agg(F.min("least_id").alias("component"), F.min("least_hash").alias("first_hash"))
-    named = part.join(smallest, "part").select("fp", "component", "first_hash")
-    return rows.join(named, "fp").select("id", "text_hash", "fp", "component", "first_hash")
+    part = part.select("fp", "least_id", F.coalesce("component", "fp").alias("part"))
+    smallest = part.groupBy("part").agg(F.min("least_id").alias("component"))
+    named = part.join(smallest, "part").select("fp", "part", "component")
+    return rows.join(named, "fp").select("id", "text_hash", "fp", "part", "component")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without near duplicates: the document with the smallest id of each component stays.
+    """``docs`` without near duplicates: exactly one row of each component stays.
 
-    All columns come out as they came.  Rows with the id of the one kept are repeats of that document
-    and stay with it.  In a component without any id, the rows with the smallest text hash stay.
+    It has the smallest id (null if no row has one) and, of that id's texts, the smallest text hash.  Of rows
+    that repeat both, one stays.  All columns come out as they came.
     """
-    id_mark, hash_mark = fresh(docs, "_kept_id", "_kept_hash")
-    found = near_duplicates(docs, id_col, text_col)
-    kept = found.where((F.col("id") == F.col("component")) | (F.col("component").isNull() & (F.col("text_hash") == F.col("first_hash"))))
-    kept = kept.select(F.col("id").alias(id_mark), F.col("text_hash").alias(hash_mark)).distinct()
-    same = col(id_col).eqNullSafe(F.col(id_mark)) & (F.xxhash64(text_or_empty(text_col)) == F.col(hash_mark))
-    return docs.join(kept, same, "left_semi")
+    names = fresh(docs, "_kept_hash", "_kept_null", "_kept_id")
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "text_hash")).alias("first")
+    kept = near_duplicates(docs, id_col, text_col).groupBy("part").agg(first).select("first.*")
+
+    def marks(text_hash, doc_id):
+        return dict(zip(names, (text_hash, doc_id.isNull(), F.coalesce(doc_id.cast("string"), F.lit("")))))
+
+    kept = kept.select(*[c.alias(n) for n, c in marks(F.col("text_hash"), F.col("id")).items()])
+    # Repeats end in the tasks that read them; the join uses the same exchange.
+    marked = docs.withColumns(marks(F.xxhash64(text_or_empty(text_col)), col(id_col))).dropDuplicates(names)
+    return marked.join(kept, names, "left_semi").select(*[col(c) for c in docs.columns])
 
 
 def simhash_dedup(docs: DataFrame) -> DataFrame:

@@ -174,6 +174,22 @@ def test_simhash(docs, monkeypatch):
     assert {r.doc_id for r in kept.collect()} == {x for x in least.values()}
 
 
+def test_one_row_of_each_group_stays(spark):
+    from lapse.llm.simhash_dedup import keep_one
+    words = " ".join(f"w{i}" for i in range(400))
+    other, third = " ".join(f"v{i}" for i in range(300)), " ".join(f"u{i}" for i in range(300))
+    near = words.upper()  # the same fingerprint, another text
+    rows = [(1, words, 5)] * 3 + [(1, near, 5), (2, words, 5), (None, words, 5)]
+    rows += [(None, other, 6)] * 50 + [(None, other.upper(), 6)] * 2 + [(1, third, 7), (1, third, 8), (9, third, 7)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _kept_id int").repartition(4)
+    got = keep_one(docs)
+    assert got.schema == docs.schema
+    assert sorted((r.doc_id or 0, r.text[0].lower(), r._kept_id // 8) for r in got.collect()) in (
+        [(0, "v", 0), (1, "u", k), (1, "w", 0)] for k in (0, 1))
+    once = keep_one(docs.dropDuplicates()).count()
+    assert once == keep_one(docs.union(docs)).count() == 3
+
+
 def test_components_of_chains_and_stars(spark):
     from lapse.llm.simhash_dedup import components
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, x) for x in range(101, 160)] + [(7, 7), (-5, 200)]
