@@ -59,4 +59,35 @@ SELECT conv_id, count(*) AS n_turns,
 FROM steps GROUP BY conv_id
 """
 
-SQL = {"op4_chat_format": CHAT_FORMAT, "op5_quality_rules": QUALITY_RULES}
+# Every kept term is given to every group, without cells: what the cells must add up to.
+SOURCE_AUDIT = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents),
+w AS (SELECT rid, lang, source, unnest(terms) AS term FROM d),
+kept AS MATERIALIZED (SELECT lang, term, count(*) AS n_lang FROM w GROUP BY lang, term HAVING count(DISTINCT rid) >= 10),
+found AS (SELECT lang, source, term, count(*) AS n FROM w GROUP BY ALL),
+groups AS (SELECT DISTINCT lang, source FROM d),
+dense AS MATERIALIZED (
+  SELECT g.lang, g.source, k.term, k.n_lang, coalesce(f.n, 0) AS n
+  FROM groups g JOIN kept k ON g.lang = k.lang LEFT JOIN found f ON f.lang = g.lang AND f.source = g.source AND f.term = k.term),
+p AS MATERIALIZED (
+  SELECT *, 1 + 1000000000::HUGEINT * (n + 2) // (sum(n) OVER own + 2 * count(*) OVER own) AS p,
+         1 + 1000000000::HUGEINT * (n_lang + 2) // (sum(n_lang) OVER own + 2 * count(*) OVER own) AS q
+  FROM dense WINDOW own AS (PARTITION BY lang, source)),
+pair_values AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+items AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(v.value, 0)::BIGINT AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+       LEFT JOIN pair_values v ON v.lang = a.lang AND v.source = a.source AND v.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, ((p - q) * (p - q) // (p + q))::BIGINT FROM p WHERE n > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank FROM items)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
+SQL = {"op4_chat_format": CHAT_FORMAT, "op5_quality_rules": QUALITY_RULES, "op13_source_audit": SOURCE_AUDIT}
