@@ -90,4 +90,37 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY
 SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 10
 """
 
-SQL = {"op4_chat_format": CHAT_FORMAT, "op5_quality_rules": QUALITY_RULES, "op13_source_audit": SOURCE_AUDIT}
+
+def _clustering(k: int = 8, rounds: int = 10, dims: int = 64) -> str:
+    """Every round assigns all vectors anew."""
+    def assign(i: int) -> str:
+        return f"""a{i} AS MATERIALIZED (
+  SELECT rid, vec_id, v, unnest(best, recursive := true) FROM (
+    SELECT rid, vec_id, v, min({{'distance': list_sum(list_transform(list_zip(v, c), lambda p: (p[1] - p[2]) * (p[1] - p[2]))), 'cluster': cluster}}) AS best
+    FROM kept, c{i} GROUP BY rid, vec_id, v))"""
+
+    def update(i: int) -> str:
+        return f"""c{i} AS MATERIALIZED (
+  SELECT o.cluster, coalesce(n.c, o.c) AS c FROM c{i - 1} o LEFT JOIN (
+    SELECT cluster, list((s - ((s % n) + n) % n) // n ORDER BY d)::BIGINT[] AS c FROM (
+      SELECT cluster, d, sum(x) AS s, count(*) AS n FROM (SELECT cluster, unnest(v) AS x, generate_subscripts(v, 1) AS d FROM a{i - 1})
+      GROUP BY cluster, d) GROUP BY cluster) n USING (cluster))"""
+
+    steps = ",\n".join(f"{assign(i)},\n{update(i + 1)}" for i in range(rounds))
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE len(embedding) = {dims} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {dims}),
+c0 AS MATERIALIZED (
+  SELECT (row_number() OVER (ORDER BY sha256('3:' || vec_id), v) - 1)::INT AS cluster, v AS c FROM kept
+  QUALIFY row_number() OVER (ORDER BY sha256('3:' || vec_id), v) <= {k}),
+{steps},
+{assign(rounds)}
+SELECT vec_id, cluster, distance::BIGINT AS distance, (sum(distance) OVER (PARTITION BY cluster))::BIGINT AS cluster_inertia,
+       (sum(distance) OVER ())::BIGINT AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} USING (cluster)
+"""
+
+
+SQL = {"op4_chat_format": CHAT_FORMAT, "op5_quality_rules": QUALITY_RULES, "op12_centroid_clustering": _clustering(),
+       "op13_source_audit": SOURCE_AUDIT}

@@ -59,6 +59,11 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"))
 
 
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lapse.llm.centroid_clustering import centroid_clustering
+    return centroid_clustering(table(spark, sf_dir, "embeddings"))
+
+
 def op13_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lapse.llm.source_audit import source_audit
     return source_audit(table(spark, sf_dir, "documents"))
