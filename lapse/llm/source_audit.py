@@ -31,6 +31,9 @@ from lapse.llm.common import gathered, in_tasks, text_batches, text_or_empty
 
 MIN_DOCS, TOP = 10, 10
 SCALE = 1_000_000_000
+# Characters of text that a task counts together: smaller than elsewhere, as Spark's own aggregation follows in the
+# same task and merges the counts of its batches.
+BATCH_CHARS = 4_000_000
 # Bytes of no term become spaces, A-Z become a-z, all bytes from 0x80 on stay.
 TERM_BYTES = bytes(b + 32 if 0x41 <= b <= 0x5A else b if b >= 0x80 or 0x61 <= b <= 0x7A else 0x20 for b in range(256))
 
@@ -51,7 +54,7 @@ def _count_batches(batches) -> Iterator:
     import pyarrow as pa
     import pyarrow.compute as pc
 
-    for rows, texts in text_batches(batches):
+    for rows, texts in text_batches(batches, limit=BATCH_CHARS):
         langs, sources = gathered(rows, "lang").to_pylist(), gathered(rows, "source").to_pylist()
         names: dict = {}
         group = np.array([names.setdefault(pair, len(names)) for pair in zip(langs, sources)], dtype=np.int64)
