@@ -90,6 +90,21 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY
 SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 10
 """
 
+# Base32 of SHA-1: five hex digits are four characters of the alphabet.
+WARC = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages),
+named AS (
+  SELECT page_id, payload_bytes, array_to_string([
+           array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((('0x' || substr(hex, 1 + 5 * g, 5))::INT >> s) & 31), 1)
+                            for s in [15, 10, 5, 0]], '') for g in range(8)], '') AS payload_digest
+  FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN row_number() OVER same = 1 THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN row_number() OVER same > 1 THEN first_value(page_id) OVER same END AS refers_to
+FROM named WINDOW same AS (PARTITION BY payload_digest, payload_bytes ORDER BY page_id NULLS LAST)
+"""
+
 
 def _clustering(k: int = 8, rounds: int = 10, dims: int = 64) -> str:
     """Every round assigns all vectors anew."""
@@ -122,5 +137,5 @@ FROM a{rounds} JOIN c{rounds} USING (cluster)
 """
 
 
-SQL = {"op4_chat_format": CHAT_FORMAT, "op5_quality_rules": QUALITY_RULES, "op12_centroid_clustering": _clustering(),
+SQL = {"op4_chat_format": CHAT_FORMAT, "op5_quality_rules": QUALITY_RULES, "op11_warc": WARC, "op12_centroid_clustering": _clustering(),
        "op13_source_audit": SOURCE_AUDIT}

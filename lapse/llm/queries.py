@@ -59,6 +59,11 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"))
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lapse.llm.warc import warc_round_trip
+    return warc_round_trip(table(spark, sf_dir, "pages"))
+
+
 def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lapse.llm.centroid_clustering import centroid_clustering
     return centroid_clustering(table(spark, sf_dir, "embeddings"))
