@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
 from lapse.functions.columns import present
-from lapse.functions.numeric import half_even
+from lapse.functions.numeric import half_even, q, sql_literal
 
 # The four batch-computed profile columns the original study
 # excludes because they do not reconcile with the raw ledger.
@@ -35,13 +34,14 @@ def exclude_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def exclusion_report(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """One row per listed column: whether it is present (and so excluded)."""
-    have = set(df.columns)
-    schema = StructType([StructField("column_name", StringType(), False),
-                         StructField("present", BooleanType(), False),
-                         StructField("status", StringType(), False)])
-    rows = [(c, c in have, "excluded" if c in have else "not in data") for c in cols]
-    return df.sparkSession.createDataFrame(rows, schema)
+    """One row per listed column: whether it is present (and so excluded) and the non-null cells that go with it."""
+    have = present(df, cols)
+    if not cols:
+        return df.sparkSession.createDataFrame([], "column_name string, present boolean, status string, n_cells double")
+    one = df.agg(F.expr("count(1) AS _rows"), *[F.expr(f"count({q(c)}) AS _n{i}") for i, c in enumerate(cols) if c in have])
+    items = ", ".join(f"{sql_literal(c)}, {str(c in have).lower()}, {sql_literal('excluded' if c in have else 'not in data')}, "
+                      + (f"CAST(_n{i} AS DOUBLE)" if c in have else "CAST(NULL AS DOUBLE)") for i, c in enumerate(cols))
+    return one.selectExpr(f"stack({len(cols)}, {items}) AS (column_name, present, status, n_cells)")
 
 
 def _by_all_columns(df: DataFrame, map_side_combine: bool) -> DataFrame:
@@ -88,6 +88,28 @@ def date_coverage(df: DataFrame, date: str = "date") -> DataFrame:
                       (calendar - F.col("active_days")).alias("empty_days"))
 
 
+def daily_calendar(df: DataFrame, date: str = "date") -> DataFrame:
+    """Every calendar day from the first to the last with its rows, days without rows included.
+
+    The days are generated from the two ends and left-joined to the counts: one
+    row per calendar day on either side.
+    """
+    days = df.groupBy(F.to_date(F.col(date)).alias("date")).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("date").isNotNull())
+    ends = days.agg(F.min("date").alias("_lo"), F.max("date").alias("_hi")).filter(F.col("_lo").isNotNull())
+    calendar = ends.select(F.explode(F.sequence("_lo", "_hi", F.expr("INTERVAL 1 DAY"))).alias("date"))
+    return calendar.join(days, "date", "left").select("date", F.coalesce("_n", F.lit(0)).alias("n_rows")).orderBy("date")
+
+
+def empty_days(df: DataFrame, date: str = "date") -> DataFrame:
+    """The calendar days without rows, each with the first day and the length of its gap."""
+    calendar = daily_calendar(df, date)
+    # Over one row per calendar day; days of one gap share the last day with rows before them.
+    last = F.max(F.when(F.col("n_rows") > 0, F.col("date"))).over(Window.orderBy("date"))
+    gaps = calendar.select("date", "n_rows", last.alias("_since")).filter(F.col("n_rows") == 0)
+    length = F.count(F.lit(1)).over(Window.partitionBy("_since"))
+    return gaps.select("date", F.date_add("_since", 1).alias("gap_start"), length.alias("gap_days")).orderBy("date")
+
+
 def monthly_counts(df: DataFrame, date: str = "date") -> DataFrame:
     """Rows per calendar month, months with data only, ascending."""
     return (df.groupBy(F.trunc(F.col(date), "month").alias("month"))

@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lapse.config import KEY_COL, LABEL_COL
 from lapse.functions.columns import present, str_class
 from lapse.functions.materialize import freeze, sized_broadcast
-from lapse.functions.numeric import half_even
+from lapse.functions.numeric import half_even, pct, sql_literal
+from lapse.functions.ranking import with_positions
 
 SPLIT_NAMES = ("train", "validation", "test")
 
@@ -56,39 +56,59 @@ def ordered_split(df: DataFrame, order_col: str = "recency_days", tie_col: str =
     order total.  Null order values sort last.
 
     Only the first rows of the second and third part matter.  The two key
-    columns are range-partitioned by Spark into ceil(n / rows_per_block) parts
-    and written once; the parts' sizes say which part holds each boundary row
-    and where.  The split is then a comparison of every row's keys with two
-    pairs of literals: full rows are neither shuffled, sorted nor numbered, and
-    an order value that most rows share is cut by its ties like any other.
+    columns are range-partitioned into as many parts as the session shuffles
+    to and written once; the parts' sizes say which part holds a boundary row,
+    and that part alone is narrowed again until it has ``rows_per_block`` rows.
+    The boundary rows stay in Spark as one-row tables: the split compares every
+    row's keys with them as scalar subqueries, so no key value passes through
+    Python and any ordered type is compared as itself.  Full rows are neither
+    shuffled, sorted nor numbered, and an order value that most rows share is
+    cut by its ties like any other.
     """
     n = df.count()
     first, second = int(n * fractions[0]), int(n * fractions[1])
-    order = [F.col(order_col).asc_nulls_last(), F.col(tie_col).asc_nulls_first()]
-    dealt = df.select(order_col, tie_col).repartitionByRange(max(1, math.ceil(n / rows_per_block)), *order)
-    keys = freeze(dealt.withColumn("_part", F.spark_partition_id()))
-    sizes = sorted((r["_part"], r["count"]) for r in keys.groupBy("_part").count().collect())  # one row per part
+    keys, sizes = _ranged(df.select(F.col(order_col).alias("_o"), F.col(tie_col).alias("_t")))
 
     def before(position: int) -> Column:
         """Whether a row sorts before the row at ``position``."""
-        for part, size in sizes:
-            if position < size:
-                row = keys.where(F.col("_part") == part).orderBy(*order).offset(position).limit(1).first()
-                return _sorts_before(keys, order_col, tie_col, row[order_col], row[tie_col])
-            position -= size
-        return F.lit(True)
+        if position >= n:
+            return F.lit(True)
+        edge = _row_at(keys, sizes, position, rows_per_block).select(F.struct("_o", "_t")).scalar()
+        return _sorts_before(F.col(order_col), F.col(tie_col), edge["_o"], edge["_t"])
 
     split = F.when(before(first), names[0]).when(before(first + second), names[1]).otherwise(names[2])
     return df.withColumn(split_col, split).select(*[c for c in df.columns if c != split_col], split_col)
 
 
-def _sorts_before(df: DataFrame, order_col: str, tie_col: str, value, tie) -> Column:
-    """(order, tie) < (value, tie) with null order values last and null ties first."""
-    o, t = F.col(order_col), F.col(tie_col)
-    value = F.lit(value).cast(df.schema[order_col].dataType)
-    tie_less = F.lit(False) if tie is None else t.isNull() | (t < F.lit(tie).cast(df.schema[tie_col].dataType))
-    less = F.coalesce(o < value, o.isNotNull() & value.isNull())
-    return less | (o.eqNullSafe(value) & F.coalesce(tie_less, F.lit(False)))
+def _key_order() -> list[Column]:
+    return [F.col("_o").asc_nulls_last(), F.col("_t").asc_nulls_first()]
+
+
+def _ranged(keys: DataFrame) -> tuple[DataFrame, list[tuple[int, int]]]:
+    """The keys in range parts, written once, and each part's (number, rows): at most one pair per shuffle partition."""
+    dealt = freeze(keys.repartitionByRange(*_key_order()).withColumn("_part", F.spark_partition_id()))
+    return dealt, sorted((r["_part"], r["count"]) for r in dealt.groupBy("_part").count().collect())
+
+
+def _row_at(keys: DataFrame, sizes: list[tuple[int, int]], position: int, rows_per_block: int) -> DataFrame:
+    """The one row at ``position``; its part is ranged again while that makes it smaller."""
+    for part, size in sizes:
+        if position < size:
+            break
+        position -= size
+    rows = keys.where(F.col("_part") == part)
+    if size > rows_per_block:
+        finer, finer_sizes = _ranged(rows.drop("_part"))
+        if max(n for _, n in finer_sizes) < size:
+            return _row_at(finer, finer_sizes, position, rows_per_block)
+    return freeze(rows.orderBy(*_key_order()).offset(position).limit(1))
+
+
+def _sorts_before(order: Column, tie: Column, edge_order: Column, edge_tie: Column) -> Column:
+    """(order, tie) < (edge_order, edge_tie) with null order values last and null ties first."""
+    less = F.coalesce(order < edge_order, order.isNotNull() & edge_order.isNull())
+    tie_less = edge_tie.isNotNull() & F.coalesce(tie < edge_tie, F.lit(True))
+    return less | (order.eqNullSafe(edge_order) & tie_less)
 
 
 def split_sizes(df: DataFrame, split_col: str = "split", names: Sequence[str] = SPLIT_NAMES) -> DataFrame:
@@ -101,45 +121,81 @@ def split_sizes(df: DataFrame, split_col: str = "split", names: Sequence[str] =
              .orderBy("_o").drop("_o"))
 
 
+CLASS_SCHEMA = "column_name string, value string, code int"
+
+
 def fit_encoder(train: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Label-encoder classes fitted on ``train``: ``(column_name, value, code)``.
 
     Values are the text form (null -> 'None', booleans 'True'/'False'), codes
-    0..k-1 in sorted (byte) order.  Spark range-partitions the distinct classes
-    and they are written once; a code is the number of classes in earlier parts
-    plus the position inside its own part, so no task ranks more than one part.
+    0..k-1 in sorted (byte) order.  The distinct classes are ranked by range
+    parts and written once (``with_positions``): no task ranks more than one
+    part, and reading the classes needs no further shuffle.  Without any listed
+    column the table is empty.
     """
     cols = present(train, cols)
+    if not cols:
+        return train.sparkSession.createDataFrame([], CLASS_SCHEMA)
     pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), str_class(train, c).alias("value"))
                                 for c in cols]))
-    distinct = train.select(pairs.alias("p")).select("p.*").distinct()
-    dealt = freeze(distinct.repartitionByRange("column_name", "value").withColumn("_part", F.spark_partition_id()))
-    counts = dealt.groupBy("column_name", "_part").agg(F.count(F.lit(1)).alias("_cnt"))
-    before = Window.partitionBy("column_name").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("column_name", "_part", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
-    inner = Window.partitionBy("column_name", "_part").orderBy("value")
-    code = F.col("_off") + F.row_number().over(inner) - 1
-    # A range part holds consecutive columns: at most parts + columns offset rows, whatever the data.
-    return (dealt.join(F.broadcast(offsets), ["column_name", "_part"])
-                 .select("column_name", "value", code.cast("int").alias("code")))
+    placed = with_positions(train.select(pairs.alias("p")).select("p.*").distinct(), "column_name", "value")
+    # One number per listed column.
+    first = dict(placed.groupBy("column_name").agg(F.min("_pos")).collect())
+    if not first:
+        return placed.select("column_name", "value", F.col("_pos").cast("int").alias("code"))
+    column_start = F.coalesce(*[F.when(F.col("column_name") == c, F.lit(n)) for c, n in first.items()])
+    return placed.select("column_name", "value", (F.col("_pos") - column_start).cast("int").alias("code"))
+
+
+def _with_codes(df: DataFrame, classes: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """``df`` with ``_<col>_code``, null where the class table lacks the value: one left join per column."""
+    out = df.select("*", *[str_class(df, c).alias(f"_{c}_txt") for c in cols])
+    for c in cols:
+        cls = classes.filter(F.col("column_name") == c).select(
+            F.col("value").alias(f"_{c}_txt"), F.col("code").alias(f"_{c}_code"))
+        out = out.join(cls, f"_{c}_txt", "left")
+    return out
 
 
 def apply_encoder(df: DataFrame, classes: DataFrame, cols: Sequence[str], suffix: str = "_enc",
-                  checked_broadcast: bool = True) -> DataFrame:
+                  checked_broadcast: bool = True, frozen: bool = False) -> DataFrame:
     """Add ``<col>_enc`` codes; values unseen in training get code 0.
 
     One left join per column against its class list.  With
-    ``checked_broadcast`` the class table is frozen and counted first and the
-    joins broadcast it when it is within the row limit, so the data side is
-    never shuffled; otherwise AQE decides at run time.
+    ``checked_broadcast`` the class table is frozen (unless it is ``frozen``:
+    read from a written table) and counted first, and the joins broadcast it
+    when it is within the row limit, so the data side is never shuffled;
+    otherwise AQE decides at run time.
     """
     cols = present(df, cols)
     if checked_broadcast:
-        classes = sized_broadcast(classes)
-    keys = [str_class(df, c).alias(f"_{c}_txt") for c in cols]
-    out = df.select("*", *keys)
-    for c in cols:
-        cls = classes.filter(F.col("column_name") == c).select(
-            F.col("value").alias(f"_{c}_txt"), F.col("code").alias(f"_{c}_code"))
-        out = out.join(cls, f"_{c}_txt", "left")
-    return out.select(*df.columns, *[F.coalesce(F.col(f"_{c}_code"), F.lit(0)).alias(c + suffix) for c in cols])
+        classes = sized_broadcast(classes, frozen=frozen)
+    coded = _with_codes(df, classes, cols)
+    return coded.select(*df.columns, *[F.coalesce(F.col(f"_{c}_code"), F.lit(0)).alias(c + suffix) for c in cols])
+
+
+def unseen_counts(df: DataFrame, classes: DataFrame, cols: Sequence[str], frozen: bool = False) -> DataFrame:
+    """Per listed column, in list order: rows, rows whose value the encoder never saw (they get code 0) and their % (2 dp)."""
+    cols = present(df, cols)
+    if not cols:
+        return df.sparkSession.createDataFrame([], "column_name string, n_rows long, n_unseen long, unseen_pct double")
+    coded = _with_codes(df, sized_broadcast(classes, frozen=frozen), cols)
+    one = coded.agg(F.count(F.lit(1)).alias("_rows"), *[F.count_if(F.col(f"_{c}_code").isNull()).alias(f"_u{i}") for i, c in enumerate(cols)])
+    items = ", ".join(f"{i}, {sql_literal(c)}, _rows, _u{i}" for i, c in enumerate(cols))
+    long = one.selectExpr(f"stack({len(cols)}, {items}) AS (pos, column_name, n_rows, n_unseen)")
+    return long.orderBy("pos").select("column_name", "n_rows", "n_unseen",
+                                      F.when(F.col("n_rows") > 0, pct(F.col("n_unseen"), F.col("n_rows"), 2)).alias("unseen_pct"))
+
+
+# -- stored encoders ------------------------------------------------------------
+
+def save_encoder(classes: DataFrame, path: str, version: int) -> None:
+    """Keep fitted classes as ``<path>/version=<version>``; a version that exists is never overwritten."""
+    classes.select("column_name", "value", "code").write.mode("errorifexists").parquet(f"{path.rstrip('/')}/version={int(version)}")
+
+
+def load_encoder(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    """The stored classes of ``version`` (the largest by default), ready for ``apply_encoder(..., frozen=True)``."""
+    if version is None:
+        version = spark.read.parquet(path).agg(F.max("version")).first()[0]
+    return spark.read.schema(CLASS_SCHEMA).parquet(f"{path.rstrip('/')}/version={int(version)}")

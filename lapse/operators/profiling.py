@@ -6,12 +6,12 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from lapse.config import KEY_COL
 from lapse.functions.columns import present
 from lapse.functions.numeric import half_even, pct, q, sql_literal
 from lapse.functions.ordering import reindex
+from lapse.functions.ranking import with_positions
 
 # The structurally missing profile columns and their classes.
 STRUCTURAL_COLS = {
@@ -19,6 +19,7 @@ STRUCTURAL_COLS = {
     "complaint_topics": "Structural — only customers WHO filed a complaint have a topic",
     "feature_requests": "Structural — only customers WHO submitted a request have a value",
 }
+# Fixed value: the class of any other column with nulls.
 DEFAULT_CLASS = "Data quality error — investigate"
 
 # Structural column -> flag column whose False rows explain it.
@@ -43,41 +44,55 @@ CORR_FEATURES = [
 ]
 
 
-# -- schema (metadata only; no data is read) ---------------------------------
+# -- schema and filled cells -----------------------------------------------------
 
 def column_overview(df: DataFrame, first: int | None = None) -> DataFrame:
-    """Ordinal (1-based), name and Spark type of each column, optionally the first n."""
+    """Ordinal (1-based), name, Spark type and non-null cells of each column, optionally of the first n.
+
+    One aggregation of ``count(col)`` per column, unpivoted with ``stack``.
+    """
     fields = df.schema.fields[:first] if first else df.schema.fields
-    schema = StructType([StructField("ordinal", IntegerType(), False),
-                         StructField("column_name", StringType(), False),
-                         StructField("dtype", StringType(), False)])
-    rows = [(i + 1, f.name, f.dataType.simpleString()) for i, f in enumerate(fields)]
-    return df.sparkSession.createDataFrame(rows, schema)
+    if not fields:
+        return df.sparkSession.createDataFrame([], "ordinal int, column_name string, dtype string, n_filled long")
+    one = df.agg(*[F.expr(f"count({q(f.name)}) AS _n{i}") for i, f in enumerate(fields)])
+    items = ", ".join(f"{i + 1}, {sql_literal(f.name)}, {sql_literal(f.dataType.simpleString())}, _n{i}" for i, f in enumerate(fields))
+    return one.selectExpr(f"stack({len(fields)}, {items}) AS (ordinal, column_name, dtype, n_filled)")
 
 
 def dtype_counts(df: DataFrame) -> DataFrame:
-    """Number of columns per type."""
+    """Number of columns and of non-null cells per type."""
     return (column_overview(df).groupBy("dtype")
-            .agg(F.count(F.lit(1)).alias("n_columns")).orderBy(F.desc("n_columns"), "dtype"))
+            .agg(F.count(F.lit(1)).alias("n_columns"), F.sum("n_filled").alias("n_filled")).orderBy(F.desc("n_columns"), "dtype"))
 
 
 # -- data profiles -------------------------------------------------------------
 
 def ledger_profile(ledger: DataFrame, key: str = KEY_COL, date: str = "date",
                    amount: str = "amount", type_col: str = "type") -> DataFrame:
-    """Date range (as dates), distinct customers, sorted distinct types, amount range."""
+    """Date range (as dates), distinct customers and types, amount range.
+
+    The types themselves are rows of ``ledger_types``: a type column may be
+    free text, so they are never gathered into one value.
+    """
     return ledger.agg(
         F.to_date(F.min(date)).alias("min_date"),
         F.to_date(F.max(date)).alias("max_date"),
         F.count_distinct(key).alias("n_customers"),
-        # collect_set keeps one entry per distinct type; partial aggregation
-        # dedups inside each task before anything is exchanged.
-        F.array_join(F.array_sort(F.collect_set(type_col)), ",").alias("types"),
+        F.count_distinct(type_col).alias("n_types"),
         F.min(amount).alias("amount_min"),
         F.max(amount).alias("amount_max"),
     )
 
 
+def ledger_types(ledger: DataFrame, type_col: str = "type") -> DataFrame:
+    """The distinct types in sorted order, one row each: position (from 1), type, rows.
+
+    Ranked by range parts, so any number of distinct texts is listed.
+    """
+    counts = ledger.filter(F.col(type_col).isNotNull()).groupBy(F.col(type_col).alias("type")).agg(F.count(F.lit(1)).alias("n_rows"))
+    return with_positions(counts, "type").select((F.col("_pos") + 1).alias("position"), "type", "n_rows")
+
+
 def missing_audit(df: DataFrame, structural: Mapping[str, str] = STRUCTURAL_COLS,
                   default: str = DEFAULT_CLASS) -> DataFrame:
     """Per column with nulls: count, % of rows (2 dp) and a classification.

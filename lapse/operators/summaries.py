@@ -55,12 +55,10 @@ def describe_by(df: DataFrame, order: Sequence[str], group: str = "customer_segm
     exact linear-interpolated quartiles, max (``digits`` dp)."""
     x = F.col(metric).cast("double")
     rows = df.filter(F.col(group).isin(list(order))).select(group, x.alias("_x"))
-    quart = exact_quantiles(rows, group, "_x", [0.25, 0.5, 0.75])
-    # At most len(order) rows on either side.
-    g = (rows.groupBy(group)
-             .agg(F.count("_x").alias("count"), F.avg("_x").alias("mean"), F.stddev_samp("_x").alias("std"),
-                  F.min("_x").alias("min"), F.max("_x").alias("max"))
-             .join(F.broadcast(quart), group, "left"))
+    # At most len(order) groups.
+    g = exact_quantiles(rows, group, "_x", [0.25, 0.5, 0.75], few_groups=True, also=[
+        F.count("_x").alias("count"), F.avg("_x").alias("mean"), F.stddev_samp("_x").alias("std"),
+        F.min("_x").alias("min"), F.max("_x").alias("max")])
     r = lambda c: half_even(c, digits)
     g = g.select(group, F.col("count").cast("double").alias("count"), r(F.col("mean")).alias("mean"),
                  r(F.col("std")).alias("std"), r(F.col("min")).alias("min"),
@@ -81,7 +79,7 @@ def boxplot_stats(df: DataFrame, order: Sequence[str], group: str = "customer_se
     """
     x = F.col(metric).cast("double")
     rows = df.filter(F.col(group).isin(list(order)) & x.isNotNull()).select(group, x.alias("_x"))
-    quart = exact_quantiles(rows, group, "_x", [0.25, 0.5, 0.75]).select(
+    quart = exact_quantiles(rows, group, "_x", [0.25, 0.5, 0.75], few_groups=True).select(
         group, F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3"))
     iqr = F.col("q3") - F.col("q1")
     lo_fence = F.col("q1") - F.lit(whis) * iqr
@@ -158,9 +156,7 @@ def group_center(df: DataFrame, group: str = LABEL_COL, col: str = "recency_days
     """Rows, exact median and mean of ``col`` per group value."""
     x = F.col(col).cast("double")
     rows = df.filter(F.col(group).isNotNull()).select(group, x.alias("_x"))
-    middle = exact_quantiles(rows, group, "_x", [0.5])
-    return (rows.groupBy(group).agg(F.count(F.lit(1)).alias("n"), F.avg("_x").alias("_mean"))
-                .join(middle, group, "left")
+    return (exact_quantiles(rows, group, "_x", [0.5], also=[F.count(F.lit(1)).alias("n"), F.avg("_x").alias("_mean")])
                 .select(group, "n", half_even(F.col("_q")[0], digits).alias("median"), half_even(F.col("_mean"), digits).alias("mean"))
                 .orderBy(group))
 

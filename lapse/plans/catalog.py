@@ -21,6 +21,7 @@ from lapse.operators import profiling as P
 from lapse.operators import summaries as S
 from lapse.plans import oracle as O
 from lapse.plans.study import Study
+from lapse.session import scratch_folder
 from lapse.sources.views import PROFILE_SEGMENT_ORDER, Tables
 
 # Profile columns excluded for the test profile (the last one is
@@ -110,23 +111,45 @@ def _describe(view_sql: str) -> str:
             f"CASE column_type {cases} ELSE lower(column_type) END AS dtype FROM (DESCRIBE {view_sql})")
 
 
-@register("column_overview", _describe(O.VIEWS["profile"]))
+def _filled_sql(view: str, cols: list[str]) -> str:
+    """(column_name, n_filled) of the listed columns."""
+    return " UNION ALL ".join(f"SELECT '{c}' AS column_name, COUNT({c}) AS n_filled FROM {view}" for c in cols)
+
+
+OVERVIEW_SQL = V(f"""SELECT d.ordinal, d.column_name, d.dtype, f.n_filled
+FROM ({_describe(O.VIEWS['profile'])}) d JOIN ({_filled_sql('profile', PROFILE_COLS)}) f ON d.column_name = f.column_name""", "profile")
+
+
+@register("column_overview", OVERVIEW_SQL)
 def q_column_overview(spark, sf):
     return P.column_overview(Tables(spark, sf).profile)
 
 
-@register("dtype_counts", f"SELECT dtype, COUNT(*) AS n_columns FROM ({_describe(O.VIEWS['profile'])}) GROUP BY dtype")
+@register("dtype_counts", f"SELECT dtype, COUNT(*) AS n_columns, CAST(SUM(n_filled) AS BIGINT) AS n_filled FROM ({OVERVIEW_SQL}) GROUP BY dtype")
 def q_dtype_counts(spark, sf):
     return P.dtype_counts(Tables(spark, sf).profile)
 
 
 @register("ledger_profile", V("""SELECT CAST(MIN(date) AS DATE) AS min_date, CAST(MAX(date) AS DATE) AS max_date,
-  COUNT(DISTINCT customer_id) AS n_customers, string_agg(DISTINCT type, ',' ORDER BY type) AS types,
+  COUNT(DISTINCT customer_id) AS n_customers, COUNT(DISTINCT type) AS n_types,
   MIN(amount) AS amount_min, MAX(amount) AS amount_max FROM ledger""", "ledger"))
 def q_ledger_profile(spark, sf):
     return P.ledger_profile(Tables(spark, sf).ledger)
 
 
+@register("ledger_types", V("""SELECT row_number() OVER (ORDER BY type) AS position, type, n_rows
+FROM (SELECT type, COUNT(*) AS n_rows FROM ledger WHERE type IS NOT NULL GROUP BY type)""", "ledger"))
+def q_ledger_types(spark, sf):
+    return P.ledger_types(Tables(spark, sf).ledger)
+
+
+@register("ledger_types_free_text", """SELECT row_number() OVER (ORDER BY type) AS position, type, n_rows
+FROM (SELECT url AS type, COUNT(*) AS n_rows FROM pages WHERE url IS NOT NULL GROUP BY url)""")
+def q_ledger_types_free_text(spark, sf):
+    """A type column of free text: as many types as rows."""
+    return P.ledger_types(Tables(spark, sf).table("pages"), "url")
+
+
 def _missing_sql(view: str, cols: list[str], structural: dict) -> str:
     counts = ", ".join(f"COUNT(*) FILTER (WHERE {c} IS NULL) AS m{i}" for i, c in enumerate(cols))
     long = " UNION ALL ".join(f"SELECT {i} AS ordinal, '{c}' AS column_name, m{i} AS missing_count, n FROM agg"
@@ -242,10 +265,16 @@ def q_exclude(spark, sf):
     return C.exclude_columns(Tables(spark, sf).profile, PROFILE_EXCLUDE)
 
 
-@register("exclusion_report", f"""SELECT e.column_name, d.column_name IS NOT NULL AS present,
-  CASE WHEN d.column_name IS NOT NULL THEN 'excluded' ELSE 'not in data' END AS status
-FROM (VALUES {', '.join(f"('{c}')" for c in PROFILE_EXCLUDE)}) e(column_name)
-LEFT JOIN (DESCRIBE {O.VIEWS['profile']}) d ON e.column_name = d.column_name""")
+def _exclusion_sql(view_text: str, cols: list[str], have: list[str]) -> str:
+    filled = [c for c in cols if c in have]
+    return f"""SELECT e.column_name, d.column_name IS NOT NULL AS present,
+  CASE WHEN d.column_name IS NOT NULL THEN 'excluded' ELSE 'not in data' END AS status, CAST(f.n_filled AS DOUBLE) AS n_cells
+FROM (VALUES {', '.join(f"('{c}')" for c in cols)}) e(column_name)
+LEFT JOIN (DESCRIBE {view_text}) d ON e.column_name = d.column_name
+LEFT JOIN ({_filled_sql(f"({view_text})", filled)}) f ON e.column_name = f.column_name"""
+
+
+@register("exclusion_report", _exclusion_sql(O.VIEWS["profile"], PROFILE_EXCLUDE, PROFILE_COLS))
 def q_exclusion_report(spark, sf):
     return C.exclusion_report(Tables(spark, sf).profile, PROFILE_EXCLUDE)
 
@@ -281,6 +310,23 @@ def q_coverage_intraday(spark, sf):
     return C.date_coverage(Tables(spark, sf).ledger_intraday)
 
 
+@register("daily_calendar", V("""SELECT d.date, COALESCE(n.n, 0) AS n_rows
+FROM (SELECT CAST(unnest(generate_series(MIN(date)::DATE, MAX(date)::DATE, INTERVAL 1 DAY)) AS DATE) AS date FROM ledger) d
+LEFT JOIN (SELECT CAST(date AS DATE) AS date, COUNT(*) AS n FROM ledger GROUP BY 1) n ON d.date = n.date""", "ledger"))
+def q_daily_calendar(spark, sf):
+    return C.daily_calendar(Tables(spark, sf).ledger)
+
+
+# The rows of one customer in a hundred leave many days empty.
+@register("empty_days", V("""SELECT date, CAST(gap_start AS DATE) AS gap_start, COUNT(*) OVER (PARTITION BY gap_start) AS gap_days FROM (
+  SELECT d.date, MAX(CASE WHEN n.n IS NOT NULL THEN d.date END) OVER (ORDER BY d.date) + 1 AS gap_start, n.n
+  FROM (SELECT CAST(unnest(generate_series(MIN(date)::DATE, MAX(date)::DATE, INTERVAL 1 DAY)) AS DATE) AS date FROM part) d
+  LEFT JOIN (SELECT CAST(date AS DATE) AS date, COUNT(*) AS n FROM part GROUP BY 1) n ON d.date = n.date)
+WHERE n IS NULL""", "ledger", extra=[("part", "SELECT * FROM ledger WHERE customer_id % 100 = 0")]))
+def q_empty_days(spark, sf):
+    return C.empty_days(Tables(spark, sf).ledger.filter("customer_id % 100 = 0"))
+
+
 @register("monthly_counts", V("""SELECT CAST(date_trunc('month', date) AS DATE) AS month, COUNT(*) AS n_rows
 FROM tx_clean GROUP BY 1 ORDER BY 1""", "tx_clean"))
 def q_monthly_counts(spark, sf):
@@ -608,6 +654,24 @@ def q_encoded(spark, sf):
     return study(spark, sf).encoded
 
 
+@register("encoder_unseen", V(" UNION ALL ".join(
+    f"""SELECT '{c}' AS column_name, COUNT(*) AS n_rows, COUNT(*) FILTER (WHERE k.code IS NULL) AS n_unseen,
+  round_even(COUNT(*) FILTER (WHERE k.code IS NULL) / COUNT(*) * 100.0E0, 2) AS unseen_pct
+FROM split_df s LEFT JOIN cls k ON k.column_name = '{c}' AND k.value = COALESCE(CAST(s.{c} AS VARCHAR), 'None') WHERE s.split <> 'train'"""
+    for c in CAT_PRESENT), "tx_clean", "profile", extra=ENC_CTES))
+def q_encoder_unseen(spark, sf):
+    return study(spark, sf).unseen
+
+
+@register("encoded_from_store", _encoded_sql())
+def q_encoded_from_store(spark, sf):
+    """Fit, save, load, apply: the stored encoder gives the codes of the fitted one."""
+    s = study(spark, sf)
+    folder = scratch_folder(spark, "encoders")
+    D.save_encoder(s.encoder, folder, 1)
+    return D.apply_encoder(C.zero_fill(s.split, s.fill_zero), D.load_encoder(spark, folder), s.cat_cols, frozen=True)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {q.name: q.run for q in CATALOG}
 
@@ -616,3 +680,5 @@ def oracle_sql() -> dict[str, str]:
     return {q.name: q.sql for q in CATALOG if q.sql is not None}
 
 
+# Further queries over other layouts of the same tables; they use the builders above.
+from lapse.plans import catalog_stores, catalog_wide  # noqa: E402, F401

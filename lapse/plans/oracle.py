@@ -53,7 +53,32 @@ LEFT JOIN (
     "doc_labels": """SELECT d.doc_id, d.lang, d.source, d.n_chars, l.quality, l.toxic
 FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""",
 }
-VIEW_DEPS = {"tx_clean": ["ledger"], "tx_intraday": ["ledger_intraday"]}
+# Columns that the wide profile adds, in order.
+WIDE_EXTRA = ["gender", "clv_segment", "feedback_sentiment", "satisfaction_score", "nps_score", "app_logins_frequency", "feature_usage_diversity",
+              "app_store_rating", "feature_requests", "customer_tenure", "active_products", "customer_lifetime_value", "churn_probability",
+              "average_transaction_value", "total_transaction_volume", "weekend_transaction_ratio", "last_transaction_date"]
+# wide_raw holds NaN; wide reads it as null, as the study does.
+VIEWS["wide_raw"] = """SELECT p.*,
+  CASE WHEN p.customer_id % 3 = 0 THEN 'F' WHEN p.customer_id % 3 = 1 THEN 'M' END AS gender,
+  CASE WHEN total_tx_volume >= 1500000 THEN 'High' WHEN total_tx_volume >= 1000000 THEN 'Medium' WHEN total_tx_volume IS NOT NULL THEN 'Low' END AS clv_segment,
+  CASE WHEN resolved_tickets_ratio >= 0.6E0 THEN 'positive' WHEN resolved_tickets_ratio >= 0.4E0 THEN 'neutral'
+       WHEN resolved_tickets_ratio IS NOT NULL THEN 'negative' END AS feedback_sentiment,
+  e.satisfaction_score, e.nps_score, e.app_logins_frequency, e.feature_usage_diversity, e.app_store_rating, e.feature_requests,
+  CAST(date_diff('day', CAST(first_tx AS DATE), CAST(last_tx AS DATE)) AS DOUBLE) AS customer_tenure, o.active_products,
+  total_tx_volume / 10 AS customer_lifetime_value,
+  CASE WHEN tx_count > 0 THEN failed_transactions / tx_count END AS churn_probability,
+  avg_tx_value AS average_transaction_value, total_tx_volume AS total_transaction_volume, o.weekend_transaction_ratio,
+  last_tx AS last_transaction_date
+FROM profile p
+LEFT JOIN (SELECT user_id, MAX(value) AS satisfaction_score, CASE WHEN user_id % 7 = 0 THEN CAST('NaN' AS DOUBLE) ELSE MIN(value) END AS nps_score,
+    CAST(COUNT(CASE WHEN event_type = 'view' THEN 1 END) AS DOUBLE) AS app_logins_frequency, CAST(COUNT(DISTINCT event_type) AS DOUBLE) AS feature_usage_diversity,
+    CAST(COUNT(*) % 5 + 1 AS DOUBLE) AS app_store_rating, MAX(CASE WHEN event_type = 'signup' THEN props END) AS feature_requests
+  FROM events GROUP BY user_id) e ON e.user_id = p.customer_id
+LEFT JOIN (SELECT o_custkey, CAST(COUNT(DISTINCT o_orderpriority) AS DOUBLE) AS active_products,
+    COUNT(CASE WHEN dayofweek(o_orderdate) IN (0, 6) THEN 1 END) / COUNT(*) AS weekend_transaction_ratio
+  FROM orders GROUP BY o_custkey) o ON o.o_custkey = p.customer_id"""
+VIEWS["wide"] = "SELECT * REPLACE (CASE WHEN isnan(nps_score) THEN NULL ELSE nps_score END AS nps_score) FROM wide_raw"
+VIEW_DEPS = {"tx_clean": ["ledger"], "tx_intraday": ["ledger_intraday"], "wide_raw": ["profile"], "wide": ["wide_raw"]}
 
 
 def econ_view(start: str = "2000-01-01") -> str:
@@ -83,6 +108,11 @@ def with_views(body: str, *names: str, extra: Sequence[tuple[str, str]] = ()) ->
     return "WITH " + ",\n".join(f"{n} AS (\n{sql}\n)" for n, sql in ctes) + "\n" + body
 
 
+def wide_ctes() -> str:
+    """The views behind ``wide`` as CTE text, for a body that names them itself."""
+    return with_views("", "wide").removeprefix("WITH ")
+
+
 def ts(value: dt.datetime) -> str:
     return f"TIMESTAMP '{value.strftime('%Y-%m-%d %H:%M:%S')}'"
 

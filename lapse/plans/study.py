@@ -7,16 +7,14 @@ The features, the label and the model are lazy plans.  The split, the encoder
 and the encoded table run jobs while they are built: boundary rows and class
 positions come from tables written on the way.  Heavy shared inputs (the deduped
 ledger, the model table) appear several times in the plan; Spark reuses
-identical exchanges.  With ``checkpoint`` (the default) the model table and
-the split are written once to the session's checkpoint dir before their
-several consumers read them: the lineage is cut (a lost executor re-reads
+identical exchanges.  With ``checkpoint`` (the default) the model table is
+written once to the session's checkpoint dir before its several consumers read it: the lineage is cut (a lost executor re-reads
 the written table) and the plans stay small.  ``stored`` writes the clean
 ledger and the model as parquet for studies with many outputs.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 from functools import cached_property
 
@@ -26,9 +24,9 @@ from pyspark.sql import functions as F
 from lapse.config import KEY_COL, LABEL_COL, StudyWindow
 from lapse.functions.materialize import freeze
 from lapse.operators.cleaning import FILL_ZERO_COLS, dedup_exact, zero_fill
-from lapse.operators.dataset import CAT_COLS, apply_encoder, fit_encoder, model_dataset, ordered_split
+from lapse.operators.dataset import CAT_COLS, apply_encoder, fit_encoder, model_dataset, ordered_split, unseen_counts
 from lapse.operators.features import inactivity_label, rfm_features, rfm_with_label
-from lapse.session import ensure_checkpoint_dir
+from lapse.session import scratch_folder
 
 
 class Study:
@@ -55,7 +53,7 @@ class Study:
         repeating the ledger's dedup shuffle and the model's aggregation and join.
         """
         spark = self.ledger.sparkSession
-        folder = f"{ensure_checkpoint_dir(spark)}/study-{uuid.uuid4().hex}"
+        folder = scratch_folder(spark, "study")
         for name in ("tx_clean", "model"):  # the model is computed from the written ledger
             getattr(self, name).write.parquet(f"{folder}/{name}")
             setattr(self, name, spark.read.parquet(f"{folder}/{name}"))
@@ -86,10 +84,10 @@ class Study:
 
     @cached_property
     def split(self) -> DataFrame:
-        """The split reads the model for its size, its keys and its rows, and is itself read by the encoder fit and the encoded
-        table, so with ``checkpoint`` both are written once."""
+        """The split reads the model for its size, its keys and its rows, so with ``checkpoint`` the model is written
+        once.  The split itself is a comparison with two rows: its readers repeat it instead of writing it."""
         model = self.model if self._stored else self._freeze(self.model)
-        return self._freeze(ordered_split(model, order_col="recency_days", tie_col=self.key))
+        return ordered_split(model, order_col="recency_days", tie_col=self.key)
 
     @cached_property
     def encoder(self) -> DataFrame:
@@ -98,4 +96,9 @@ class Study:
     @cached_property
     def encoded(self) -> DataFrame:
         filled = zero_fill(self.split, self.fill_zero)
-        return apply_encoder(filled, self.encoder, self.cat_cols, checked_broadcast=self.checkpoint)
+        return apply_encoder(filled, self.encoder, self.cat_cols, checked_broadcast=self.checkpoint, frozen=True)
+
+    @cached_property
+    def unseen(self) -> DataFrame:
+        """Values of the rows held out of training that the encoder never saw, per encoded column."""
+        return unseen_counts(self.split.filter(F.col("split") != "train"), self.encoder, self.cat_cols, frozen=True)

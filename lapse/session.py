@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -58,3 +59,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="lapse-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
     return path
+
+
+def scratch_folder(spark: SparkSession, stem: str) -> str:
+    """A fresh path in the shared checkpoint folder, removed by the file system when the application ends."""
+    path = f"{ensure_checkpoint_dir(spark)}/{stem}-{uuid.uuid4().hex}"
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(conf).deleteOnExit(hadoop_path)
+    return path

@@ -4,6 +4,7 @@
 * ``ledger``: one row per order line (customer_id, date, amount, type)
 * ``ledger_dup``: a day-grain event ledger that carries exact duplicates
 * ``ledger_intraday``: the event ledger with times of day
+* ``wide_profile``: the profile with every column the study names, NaN among them
 * ``doc_labels``: documents left-joined to their (partial) labels
 
 Each view is a lazy DataFrame; Catalyst prunes the unused columns and pushes
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lapse.functions.numeric import exact_mean, exact_sum
-from lapse.sources.readers import econ_dimension, read_table
+from lapse.sources.readers import econ_dimension, nan_to_null, read_table
 
 # The segment order used for the test profile.  DORMANT is not
 # in the data and AUTOMOBILE is not in the list, on purpose (reindex test).
@@ -106,6 +107,41 @@ class Tables:
             "complaint_topics",
         )
 
+    @cached_property
+    def wide_profile(self) -> DataFrame:
+        """The profile with every column that the study names, read with NaN as null.
+
+        Service scores come from the event table (customers without events have
+        none; ``nps_score`` is NaN for some users there), value columns from the
+        orders behind ``profile``.  Counts that a customer may lack are doubles.
+        """
+        base = self.profile
+        events = self.table("events").groupBy(F.col("user_id").alias("customer_id")).agg(
+            F.max("value").alias("satisfaction_score"),
+            F.when(F.col("user_id") % 7 == 0, F.lit(float("nan"))).otherwise(F.min("value")).alias("nps_score"),
+            F.count(F.when(F.col("event_type") == "view", 1)).cast("double").alias("app_logins_frequency"),
+            F.count_distinct("event_type").cast("double").alias("feature_usage_diversity"),
+            (F.count(F.lit(1)) % 5 + 1).cast("double").alias("app_store_rating"),
+            F.max(F.when(F.col("event_type") == "signup", F.col("props"))).alias("feature_requests"))
+        orders = self.table("orders").groupBy(F.col("o_custkey").alias("customer_id")).agg(
+            F.count_distinct("o_orderpriority").cast("double").alias("active_products"),
+            (F.count(F.when(F.dayofweek("o_orderdate").isin(1, 7), 1)) / F.count(F.lit(1))).alias("weekend_transaction_ratio"))
+        # Both sides hold one row per customer.
+        wide = base.join(events, "customer_id", "left").join(orders, "customer_id", "left").select(
+            base["*"],
+            F.when(F.col("customer_id") % 3 == 0, "F").when(F.col("customer_id") % 3 == 1, "M").alias("gender"),
+            F.when(F.col("total_tx_volume") >= 1500000, "High").when(F.col("total_tx_volume") >= 1000000, "Medium")
+             .when(F.col("total_tx_volume").isNotNull(), "Low").alias("clv_segment"),
+            F.when(F.col("resolved_tickets_ratio") >= 0.6, "positive").when(F.col("resolved_tickets_ratio") >= 0.4, "neutral")
+             .when(F.col("resolved_tickets_ratio").isNotNull(), "negative").alias("feedback_sentiment"),
+            "satisfaction_score", "nps_score", "app_logins_frequency", "feature_usage_diversity", "app_store_rating", "feature_requests",
+            F.datediff("last_tx", "first_tx").cast("double").alias("customer_tenure"), "active_products",
+            (F.col("total_tx_volume") / 10).alias("customer_lifetime_value"),
+            F.when(F.col("tx_count") > 0, F.col("failed_transactions") / F.col("tx_count")).alias("churn_probability"),
+            F.col("avg_tx_value").alias("average_transaction_value"), F.col("total_tx_volume").alias("total_transaction_volume"),
+            "weekend_transaction_ratio", F.col("last_tx").alias("last_transaction_date"))
+        return nan_to_null(wide)
+
     @cached_property
     def doc_labels(self) -> DataFrame:
         d = self.table("documents").select("doc_id", "lang", "source", "n_chars")
