@@ -10,7 +10,9 @@ id); tasks send only their bags of hashed features.  Scoring covers all document
 linear, each bucket has one number, and a document's score is the average of its features' numbers.
 
 Results for odd input: a null or empty text has no features and gets the score of the bias alone;
-rows with a null label or id are not learned from; without any label of one class every score is
+rows with a null label or id are not learned from; an id labelled both ways counts as label 1, and of
+several texts under one labelled id the smallest (in byte order) is learned from, once; texts of any
+length are read whole; without any label of one class every score is
 the share of label 1 (0.5 without labels); repeated rows give repeated scores; an empty table gives
 an empty result; extra columns are ignored.
 """
@@ -141,7 +143,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     chosen = (known.groupBy(col(id_col).alias("id")).agg(F.max(col(label_col)).cast("int").alias("label"))
               .orderBy(F.xxhash64("id"), "id").limit(max_rows))
     rows = docs.select(col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
-    rows = rows.join(F.broadcast(chosen), "id").select("id", "label", "text")  # at most max_rows short rows
+    # One text per chosen id (the smallest), so that at most max_rows bags of at most BUCKETS features leave the tasks.
+    rows = rows.join(F.broadcast(chosen), "id").groupBy("id", "label").agg(F.min("text").alias("text"))
 
     def run(batches):
         import pyarrow as pa
