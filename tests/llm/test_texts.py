@@ -232,7 +232,7 @@ def base_spans(t):
 
 PERSONAL = ["a@b.c_d@e.f x@y a@b@c.d ..foo@d.e a@b.c..foo@d.e tail", "1.2.3.4.5.6.7.8 256.1.1.1 001.002.003.255",
             "4111 1111 1111 1111 4111111111111111 é4111-1111-1111-1111é", "+1 (702) 555-0742 170.106.4.9 +12 ++44 20 7946 0958.",
-            "me (at) host (dot) com", "1 " * 9000 + "9" * 9000 + " " + "a." * 9000 + "a@b.c", None, ""]
+            "me (at) host (dot) com", "to x@" + ".".join("ab"[i % 2] for i in range(341)) + " and", "y@" + "long-label." * 20_000 + "z!", "1 " * 9000 + "9" * 9000 + " " + "a." * 9000 + "a@b.c", None, ""]
 
 
 def test_pii(docs, spark):
@@ -303,6 +303,18 @@ def test_classifier_odd_input(odd_docs, no_docs, spark):
     assert quality_classifier(no_docs, labels).count() == 0
 
 
+def test_copies_of_a_labelled_id_send_one_bag(spark, monkeypatch):
+    """A labelled id that fills the table, and ids labelled both ways."""
+    from lapse.llm import subword_classifier as S
+    rows = [(1, f"copy {i % 3} of the text") for i in range(3000)] + [(2, "other words"), (3, "b"), (3, "a"), (4, "never")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0), (3, 1), (3, 0)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(S, "fit", lambda samples, marks: seen.append((len(samples), marks.tolist())))
+    S.train(docs, labels)
+    assert seen == [(3, [1, 0, 1])]  # ids 1, 2, 3: an id with both labels counts as label 1
+
+
 @pytest.mark.parametrize("name", ["bpe_codec", "token_counts", "packing", "quality_rules", "simhash_dedup", "pii_spans", "lm_scores"])
 def test_empty_table(no_docs, name):
     from lapse.llm import bpe_codec, nce_lm, packing, pii_spans, quality_rules, simhash_dedup, token_counts
