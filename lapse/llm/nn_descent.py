@@ -1,24 +1,27 @@
 """Approximate nearest neighbours by inner product: NN-descent graph, greedy graph search.
 
-1. Rows with the same vector become one node (its smallest id); each node keeps the ``TOP`` + 1 smallest
-   ids of its rows, which is all that a list of ``TOP`` neighbours with ties to smaller ids can show.
+1. Rows with the same vector become one node (numbered by smallest id, then vector); each node keeps the ``TOP`` + 1
+   smallest ids of its rows, which is all that a list of ``TOP`` neighbours with ties to smaller ids can show.
 2. A vector gets one more component, sqrt(longest**2 - its length**2), so that a large inner product means
    near, and is kept as bytes (a signed byte per component and a scale) while the graph is built.
 3. The first neighbours come from leaves of random hyperplane trees (a leaf over ``LEAF`` rows is split by
    a hash) and from groups of about ``CHANCE`` nodes by a hash, so a node alone in its leaves has some, too.  Then rounds of NN-descent: every node hands itself to its sampled neighbours (reverse edges), a
    co-grouping by node joins them with its own neighbours, every pair of a node's members that holds a new
    one is compared, members that handed themselves over are offered what beats their worst neighbour, and each node keeps its ``DEGREE`` best.  Members per node and round are bounded, so a
-   node that many list does not grow a task; rounds end when few edges change.
+   node that many list does not grow a task; rounds go on until few edges change.
 4. Queries walk the graph together: a round joins the best nodes of every query's list not yet expanded with
    the graph (and some edges back), scores their neighbours, and keeps the ``BEAM`` best; it ends when no list has one left.
    A list begins with the node's neighbours and the best of sqrt(nodes) entry points.  Components of the graph
    are linked through a graph of their heads (``bridges``).
-   The best ``EXACT`` of each list are then scored in double precision on the original vectors.  A query that
-   still has fewer rows than it could have is compared with all nodes, block by block.
+   Bytes give every score an error, and the list carries its size: all entries that may belong to the ``TOP`` best
+   within six standard errors are scored in double precision on the original vectors.  A query whose full list ends
+   inside that band, that has more than ``WIDE`` entries in it (both say: a group of near copies that bytes cannot
+   tell apart), or that has fewer rows than it could have, is compared with all nodes, block by block: the exact way
+   past the list's width.
 
 Results for odd input: vectors that are null, empty, zero, of another length than most, or that hold null or
 non-finite components take no part; null ids take no part; a repeated row counts once per row, an id that
-occurs twice with different vectors is two rows; an empty table gives an empty result; extra columns are
+occurs twice with different vectors is two rows, each a query with a list of its own and a candidate of the other; an empty table gives an empty result; extra columns are
 ignored.  With fewer candidates than ``TOP`` all are returned.
 """
 
@@ -29,13 +32,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lapse.functions.materialize import freeze
+from lapse.functions.ranking import with_positions
 from lapse.llm.common import col, in_tasks
 from lapse.llm.simhash_dedup import components
 
 TOP, QUERY_STEP = 20, 20
-DEGREE, SAMPLE, ROUNDS, SETTLED = 32, 12, 6, 0.01
+DEGREE, SAMPLE, SETTLED = 32, 12, 0.01
 TREES, LEAF, LEAF_BEST, CHANCE = 3, 192, 12, 24
-BEAM, EXPAND, WALKS, EXACT = 320, 40, 16, 80
+BEAM, EXPAND, WIDE = 320, 40, 3 * TOP
 BACK_FROM, BACK, ENTRIES = 8, 32, 8
 BLOCK, ASKED_BLOCK = 1024, 256
 SEED = 5
@@ -55,11 +59,12 @@ def usable(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding
 
 
 def nodes(rows: DataFrame, top: int = TOP) -> DataFrame:
-    """(node, v, members): distinct vectors, with the top + 1 smallest ids of their rows."""
+    """(node, v, members): distinct vectors, with the top + 1 smallest ids of their rows; written once."""
     salted = Window.partitionBy("v", "salt").orderBy("id")
     near = rows.withColumn("salt", F.pmod(F.hash("id"), F.lit(64))).withColumn("k", F.row_number().over(salted)).where(F.col("k") <= top + 1)
     near = near.withColumn("k", F.row_number().over(Window.partitionBy("v").orderBy("id"))).where(F.col("k") <= top + 1)
-    return near.groupBy("v").agg(F.sort_array(F.collect_list("id")).alias("members")).select(F.col("members")[0].alias("node"), "v", "members")
+    lists = near.groupBy("v").agg(F.sort_array(F.collect_list("id")).alias("members")).withColumn("first", F.col("members")[0])
+    return with_positions(lists, "first", "v", name="node").select("node", "v", "members")
 
 
 def pack_vector(x: np.ndarray) -> bytes:
@@ -278,13 +283,15 @@ def build(packed: DataFrame) -> DataFrame:
     empty = [F.array().cast(t).alias(c) for c, t in (("ids", "array<long>"), ("sims", "array<float>"), ("fresh", "array<boolean>"), ("vecs", "array<binary>"))]
     own = packed.select("node", F.lit(0).alias("kind"), "vec", *empty)
     graph = freeze(merged(own.unionByName(first_offers(packed, n))))
-    for _ in range(ROUNDS):
+    before = None
+    while True:
         graph = freeze(merged(joined(graph, handed(graph))))
         _drop_unused(graph)
         new = graph.agg(F.sum(F.size(F.filter("fresh", lambda x: x)))).first()[0] or 0
-        if new <= SETTLED * n * DEGREE:
-            break
-    return graph
+        # Lists only improve; a round that leaves as many new edges as the one before changes them no more.
+        if new <= SETTLED * n * DEGREE or new == before:
+            return graph
+        before = new
 
 
 # -- search ----------------------------------------------------------------------------------------
@@ -324,11 +331,17 @@ def bridges(graph: DataFrame) -> DataFrame:
         out = out.unionByName(there).unionByName(back)
 
 
-def _asked(packed: bytes) -> np.ndarray:
-    """A node's vector as a query: the added component is zero, so products are inner products."""
-    v = unpack([packed])[0]
-    v[-1] = 0
-    return v
+def _scores(asked: bytes, packed: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Inner products of a node's vector, as a query, with others, and six standard errors of each.
+
+    The query's added component is zero, so products are inner products.  A component is off by up to half a
+    step, evenly, on either side: a standard error of a step over the root of 12.
+    """
+    q, v = unpack([asked])[0, :-1], unpack(packed)[:, :-1]
+    step = np.frombuffer(b"".join(x[:4] for x in packed), np.float32).astype(float)
+    own = float(np.frombuffer(asked[:4], np.float32)[0])
+    errors = 6 / np.sqrt(12) * (np.sqrt(q @ q) * step + own * np.sqrt((v * v).sum(axis=1)))
+    return v @ q, errors
 
 
 def search(graph: DataFrame, starts: DataFrame) -> DataFrame:
@@ -341,52 +354,65 @@ def search(graph: DataFrame, starts: DataFrame) -> DataFrame:
     def begin(batches):
         import pyarrow as pa
         entry_ids, entry_vecs = sent.value
-        entries = unpack(entry_vecs) if entry_ids else None
         for batch in batches:
             out = []
             for r in batch.to_pylist():
-                q = _asked(r["vec"])
-                known = dict(zip(r["ids"], (unpack(r["vecs"]) @ q).tolist())) if r["ids"] else {}
-                if entry_ids:
-                    far = entries @ q
-                    known |= {entry_ids[i]: float(far[i]) for i in np.argsort(-far, kind="stable")[:ENTRIES]}
+                known = {}
+                for ids, vecs, most in ((r["ids"], r["vecs"], len(r["ids"])), (entry_ids, entry_vecs, ENTRIES)):
+                    if ids:
+                        sims, errors = _scores(r["vec"], vecs)
+                        known |= {ids[i]: (float(sims[i]), float(errors[i])) for i in np.argsort(-sims, kind="stable")[:most]}
                 known.pop(r["node"], None)
-                out.append(sorted(({"s": -x, "id": i, "done": False} for i, x in known.items()), key=lambda x: (x["s"], x["id"])))
-            lists = pa.array(out, type=pa.list_(pa.struct([("s", pa.float32()), ("id", pa.int64()), ("done", pa.bool_())])))
+                out.append(sorted(({"s": -x, "id": i, "done": False, "e": e} for i, (x, e) in known.items()), key=lambda x: (x["s"], x["id"])))
+            lists = pa.array(out, type=pa.list_(pa.struct([("s", pa.float32()), ("id", pa.int64()), ("done", pa.bool_()), ("e", pa.float32())])))
             yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("vec"), lists], names=["node", "vec", "beam"])
 
     own = graph.join(starts, "node", "left_semi").select("node", "vec", "ids", "vecs")
-    beam = freeze(in_tasks(own, begin, "node long, vec binary, beam array<struct<s:float,id:long,done:boolean>>"))
+    beam = freeze(in_tasks(own, begin, "node long, vec binary, beam array<struct<s:float,id:long,done:boolean,e:float>>"))
 
     def score(batches):
         import pyarrow as pa
         for batch in batches:
-            q, out_id, out_s = [], [], []
+            q, out_id, out_s, out_e = [], [], [], []
             for r in batch.to_pylist():
-                sims = unpack(r["vecs"]) @ _asked(r["vec"])
+                sims, errors = _scores(r["vec"], r["vecs"])
                 better = np.flatnonzero(sims > r["least"])
                 q += [r["node"]] * len(better)
                 out_id += [r["ids"][i] for i in better]
                 out_s += sims[better].tolist()
-            yield pa.RecordBatch.from_arrays([pa.array(q, type=pa.int64()), pa.array(out_id, type=pa.int64()), pa.array(out_s, type=pa.float32())], names=["node", "id", "sim"])
+                out_e += errors[better].tolist()
+            yield pa.RecordBatch.from_arrays([pa.array(q, type=pa.int64()), pa.array(out_id, type=pa.int64()), pa.array(out_s, type=pa.float32()),
+                                              pa.array(out_e, type=pa.float32())], names=["node", "id", "sim", "e"])
 
-    for _ in range(WALKS):
+    while True:
         chosen = beam.withColumn("go", F.slice(F.filter("beam", lambda x: ~x["done"]), 1, EXPAND))
         least = F.when(F.size("beam") >= BEAM, -F.element_at("beam", -1)["s"]).otherwise(F.lit(float("-inf")).cast("float"))
         front = chosen.select("node", "vec", least.alias("least"), F.explode("go.id").alias("at"))
-        found = in_tasks(front.join(edges, "at").select("node", "vec", "least", "ids", "vecs"), score, "node long, id long, sim float")
+        found = in_tasks(front.join(edges, "at").select("node", "vec", "least", "ids", "vecs"), score, "node long, id long, sim float, e float")
         seen = chosen.select("node", F.explode("beam").alias("x"), F.col("go.id").alias("went")).select(
-            "node", F.col("x.id").alias("id"), F.col("x.s").alias("s"), (F.col("x.done") | F.array_contains("went", F.col("x.id"))).alias("done"))
-        every = seen.unionByName(found.where("id <> node").select("node", "id", (-F.col("sim")).alias("s"), F.lit(False).alias("done")))
+            "node", F.col("x.id").alias("id"), F.col("x.s").alias("s"), (F.col("x.done") | F.array_contains("went", F.col("x.id"))).alias("done"), F.col("x.e").alias("e"))
+        every = seen.unionByName(found.where("id <> node").select("node", "id", (-F.col("sim")).alias("s"), F.lit(False).alias("done"), "e"))
         # One row per node and id; scores of the same pair are the same number.
-        one = every.groupBy("node", "id").agg(F.min("s").alias("s"), F.max("done").alias("done"))
-        lists = one.groupBy("node").agg(F.slice(F.sort_array(F.collect_list(F.struct("s", "id", "done"))), 1, BEAM).alias("beam"))
+        one = every.groupBy("node", "id").agg(F.min("s").alias("s"), F.max("done").alias("done"), F.max("e").alias("e"))
+        lists = one.groupBy("node").agg(F.slice(F.sort_array(F.collect_list(F.struct("s", "id", "done", "e"))), 1, BEAM).alias("beam"))
         beam = beam.select("node", "vec").join(lists, "node", "left")  # a list may be empty
         beam = freeze(beam.withColumn("beam", F.coalesce("beam", F.array().cast(beam.schema["beam"].dataType))))
         if not beam.where(F.exists("beam", lambda x: ~x["done"])).limit(1).count():
-            break
+            break  # every list is expanded: nothing better was found
     edges.unpersist()
-    return beam.select("node", F.col("beam.id").alias("found"))
+    return beam.select("node", "beam")
+
+
+def within_bounds(found: DataFrame, top: int) -> DataFrame:
+    """(node, found, open): the entries of a list that may be among its ``top`` best, and whether there may be more."""
+    lows = F.reverse(F.array_sort(F.transform("beam", lambda x: -x["s"] - x["e"])))
+    floor = F.when(F.size("beam") >= top, F.get(lows, F.lit(top - 1))).otherwise(F.lit(float("-inf")))
+    widest = F.array_max(F.transform("beam", lambda x: x["e"]))
+    last = -F.element_at("beam", -1)["s"] + widest
+    ends_inside = (F.size("beam") >= BEAM) & (F.when(F.size("beam") > 0, last) >= F.col("floor"))
+    marked = found.withColumn("floor", floor.cast("double")).withColumn(
+        "found", F.transform(F.filter("beam", lambda x: -x["s"] + x["e"] >= F.col("floor")), lambda x: x["id"]))
+    return marked.select("node", "found", (F.coalesce(ends_inside, F.lit(False)) | ((F.size("found") > WIDE) & (F.size("beam") > top))).alias("open"))
 
 
 def _compare_blocks(batches, top: int):
@@ -424,35 +450,40 @@ def exact_others(table: DataFrame, starts: DataFrame, top: int = TOP) -> DataFra
 def ranked(table: DataFrame, pairs: DataFrame, top: int = TOP) -> DataFrame:
     """(node, best): rows of the candidate nodes ``other``, scored on the original vectors, the top + 1 best."""
     pairs = pairs.join(table.select("node", F.col("v").alias("q")), "node").join(
-        table.select(F.col("node").alias("other"), "v", "members"), "other").select("node", "q", "v", "members")
+        table.select(F.col("node").alias("other"), "v", "members"), "other").select("node", "q", "v", "members", "other")
 
     def exact(batches):
         import pyarrow as pa
         for batch in batches:
             q, v = (batch.column(c).flatten().to_numpy().reshape(batch.num_rows, -1) if batch.num_rows else np.zeros((0, 1)) for c in "qv")
-            yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("members"), pa.array((q * v).sum(axis=1))], names=["node", "members", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("members"), batch.column("other"), pa.array((q * v).sum(axis=1))],
+                                             names=["node", "members", "other", "score"])
 
-    scored = in_tasks(pairs, exact, "node long, members array<long>, score double").select("node", F.explode("members").alias("vec_id"), "score")
-    best = scored.withColumn("k", F.row_number().over(Window.partitionBy("node").orderBy(F.desc("score"), "vec_id"))).where(F.col("k") <= top + 1)
-    return best.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("k", "vec_id", "score"))).alias("best"))
+    scored = in_tasks(pairs, exact, "node long, members array<long>, other long, score double").select("node", F.explode("members").alias("vec_id"), "score", "other")
+    order = Window.partitionBy("node").orderBy(F.desc("score"), "vec_id", "other")
+    best = scored.withColumn("k", F.row_number().over(order)).where(F.col("k") <= top + 1)
+    return best.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("k", "vec_id", "score", "other"))).alias("best"))
 
 
 def nearest(vectors: DataFrame, query: Column, id_col: str = "vec_id", vec_col: str = "embedding", top: int = TOP) -> DataFrame:
     """(query_id, rank, vec_id, score) for the rows where ``query`` (over the column id) holds."""
     rows = freeze(usable(vectors, id_col, vec_col))
-    table = freeze(nodes(rows, top))
+    table = nodes(rows, top)
     graph = build(packed_nodes(table))
     asked = rows.where(query).join(table.select("node", "v"), "v").select("id", "node")
     starts = asked.select("node").distinct()
-    found = search(graph, starts)
+    found = freeze(within_bounds(search(graph, starts), top))
     # The node itself stands for other rows with the same vector.
-    pairs = found.select("node", F.explode(F.concat(F.array("node"), F.slice("found", 1, EXACT))).alias("other"))
+    pairs = found.where("NOT open").select("node", F.explode(F.concat(F.array("node"), "found")).alias("other"))
     lists = freeze(ranked(table, pairs, top))
     full = min(top + 1, table.agg(F.coalesce(F.sum(F.size("members")), F.lit(0))).first()[0])
-    short = lists.where(F.size("best") < full).select("node")
-    if short.limit(1).count():
-        lists = lists.where(F.size("best") >= full).unionByName(ranked(table, exact_others(table, short, top), top))
-    answers = asked.join(lists, "node").select("id", F.slice(F.filter("best", lambda x: x["vec_id"] != F.col("id")), 1, top).alias("best"))
+    rest = found.where("open").select("node").unionByName(lists.where(F.size("best") < full).select("node"))
+    if rest.limit(1).count():
+        lists = lists.where(F.size("best") >= full).unionByName(ranked(table, exact_others(table, rest, top), top))
+    # Of a query's list its own row goes: one entry of its node and id (a copy of the row stays).
+    found_rows = asked.join(lists, "node")
+    own = F.array_position(F.transform("best", lambda x: (x["vec_id"] == F.col("id")) & (x["other"] == F.col("node"))), True)
+    answers = found_rows.withColumn("_own", own).select("id", F.slice(F.filter("best", lambda x, i: i + 1 != F.col("_own")), 1, top).alias("best"))
     return answers.select(F.col("id").alias("query_id"), F.posexplode("best").alias("p", "x")).select(
         "query_id", (F.col("p") + 1).cast("int").alias("rank"), F.col("x.vec_id").alias("vec_id"), F.col("x.score").alias("score"))
 
