@@ -32,6 +32,7 @@ from lapse.llm.common import col, fresh, in_tasks, text_or_empty
 
 SHINGLE, MAX_BITS = 3, 3
 N_PIVOTS, TILE = 16, 4096
+SALTS = 32  # shares into which the pairs of one node are dealt
 # Blocks of bits (first bit, width).
 BLOCKS = ((0, 11), (11, 11), (22, 11), (33, 11), (44, 10), (54, 10))
 
@@ -192,6 +193,18 @@ def _find(label, i):
     return i
 
 
+def _with_least(pairs: DataFrame) -> DataFrame:
+    """(u, v, m): pairs (u, v) with the smallest v of each u.
+
+    A u may hold a third of all pairs: minima are taken per (u, salt) first, and the minimum of u goes back to the
+    salts that occur, so no task gets more than a share of a u.
+    """
+    salted = pairs.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)))
+    shares = salted.groupBy("u", "salt").agg(F.min("v").alias("m"))
+    least = shares.groupBy("u").agg(F.min("m").alias("m"), F.collect_list("salt").alias("salts"))  # at most SALTS a u
+    return salted.join(least.select("u", F.explode("salts").alias("salt"), "m"), ["u", "salt"]).select("u", "v", "m")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) for the nodes of undirected ``edges`` (a, b): the smallest node reachable.
 
@@ -206,11 +219,9 @@ def components(edges: DataFrame) -> DataFrame:
         if before and not before[0]:
             break
         both = current.union(current.select("v", "u"))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (large.join(least, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"),
-                                               F.col("m").alias("v"))).where("u <> v").distinct()
+        large = _with_least(both).where("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct()
+        small = (_with_least(large).select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"),
+                                           F.col("m").alias("v"))).where("u <> v").distinct()
         current = freeze(small)
         state = current.agg(F.count(F.lit(1)), F.sum(F.col("u").cast("decimal(20,0)")), F.sum(F.col("v").cast("decimal(20,0)")),
                             F.sum(F.hash("u", "v"))).first()
