@@ -108,3 +108,40 @@ def test_registered_queries_cover_every_operator():
     import __spark_entry__ as E
     names = E.queries()
     assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)) and "pipeline" in names
+
+
+def nearest_exactly(rows, query, top=20):
+    """Brute force over row positions: a row's own position alone is left out."""
+    vectors = np.array([v for _, v in rows])
+    out = []
+    for i, (q, v) in enumerate(rows):
+        if query(q):
+            s = vectors @ np.array(v)
+            best = sorted((k for k in range(len(rows)) if k != i), key=lambda k: (-s[k], rows[k][0]))[:top]
+            out.append((q, [(rows[k][0], s[k]) for k in best]))
+    return out
+
+
+def test_neighbours_among_many_near_copies(spark):
+    """Copies that differ by less than the graph's bytes show: each query gets its true neighbours."""
+    from lapse.llm.nn_descent import ann_search
+    rng = np.random.default_rng(3)
+    centre = rng.normal(size=24) / 5
+    rows = [(i, x.tolist()) for i, x in enumerate([*(rng.normal(size=(200, 24)) / 5), *(centre + 1e-5 * rng.normal(size=(400, 24)))])]
+    got = {}
+    for r in ann_search(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect():
+        got.setdefault(r.query_id, {})[r.vec_id] = r.score
+    shares = []
+    for q, best in nearest_exactly(rows, lambda i: i % 20 == 0):
+        shares.append(sum(score >= best[-1][1] - 1e-12 for score in got[q].values()) / len(best))
+    assert np.mean(shares) >= 0.9 and min(shares) >= 0.8
+
+
+def test_an_id_with_two_vectors_is_two_queries(spark):
+    from lapse.llm.nn_descent import ann_search
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.normal(size=12).tolist()) for i in range(120)] + [(0, rng.normal(size=12).tolist()), (20, None)]
+    rows[-1] = (20, rows[20][1])  # a repeated row
+    got = sorted(((r.query_id, r.rank, r.vec_id, round(r.score, 9)) for r in ann_search(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()))
+    want = sorted((q, k + 1, i, round(s, 9)) for q, best in nearest_exactly(rows, lambda i: i % 20 == 0) for k, (i, s) in enumerate(best))
+    assert got == want
