@@ -4,8 +4,9 @@
     BENCH_QUERIES=all python bench.py        # every registered query
 
 Each query is planned from scratch and executed end to end with a ``noop``
-write (every row produced, nothing collected).  A query's time is the best of
-``BENCH_REPEAT`` runs (default 2) after one warm-up query.
+write (every row produced, nothing collected).  Every query runs once unmeasured,
+then its time is the best of ``BENCH_REPEAT`` runs (default 2), so the order of the
+queries does not matter.
 """
 
 from __future__ import annotations
@@ -45,9 +46,9 @@ def main() -> None:
         qs[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         return time.perf_counter() - t0
 
-    run("window_counts")  # warm-up: JVM, codegen caches, file listing
     times = {}
     for name in names:
+        run(name)  # warm-up: JVM, codegen caches, file listing
         times[name] = round(min(run(name) for _ in range(repeat)), 3)
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({

@@ -36,6 +36,7 @@ def study_outputs(profile: DataFrame, ledger: DataFrame, econ: DataFrame, window
         "column_overview": P.column_overview(profile),
         "dtype_counts": P.dtype_counts(profile),
         "ledger_profile": P.ledger_profile(ledger),
+        "ledger_types": P.ledger_types(ledger),
         "missing_audit": P.missing_audit(profile),
         "structural_missing_check": P.structural_missing_check(profile),
         "segment_summary": P.segment_summary(profile, segment_order),
@@ -46,6 +47,7 @@ def study_outputs(profile: DataFrame, ledger: DataFrame, econ: DataFrame, window
         "dedup_stats": C.dedup_stats(ledger),
         # min / max / distinct days and distinct keys cannot change under dedup
         "date_coverage": C.date_coverage(ledger),
+        "empty_days": C.empty_days(ledger),
         "monthly_counts": C.monthly_counts(s.tx_clean),
         "window_counts": A.window_counts(s.tx_clean, window),
         "referential_integrity": J.referential_integrity(profile_clean, ledger),
@@ -56,6 +58,7 @@ def study_outputs(profile: DataFrame, ledger: DataFrame, econ: DataFrame, window
         "model_dataset": s.model,
         "split_sizes": D.split_sizes(s.split),
         "encoder_classes": s.encoder,
+        "encoder_unseen": s.unseen,
         "encoded_dataset": s.encoded,
         "segment_share": S.segment_share(profile, segment_order),
         "describe_by_segment": S.describe_by(profile, segment_order),

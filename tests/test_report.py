@@ -48,3 +48,24 @@ def test_cli_runs_the_study(spark):
           "--segments", *PROFILE_SEGMENT_ORDER])
     assert spark.read.parquet(os.path.join(out, "model_dataset")).count() == 87
     assert spark.read.parquet(os.path.join(out, "strongest_month")).count() == 1
+
+
+def test_cli_keeps_rejected_rows_and_the_encoder(spark):
+    from lapse.__main__ import main
+    from lapse.operators.dataset import load_encoder
+    t = Tables(spark, SF001)
+    root = tempfile.mkdtemp(prefix="lapse-cli-")
+    profile, ledger, out = (os.path.join(root, n) for n in ("profile", "ledger", "out"))
+    t.profile.write.option("header", "true").csv(profile)
+    t.ledger.withColumn("date", F.date_format("date", "yyyy-MM-dd")).coalesce(1).write.option("header", "true").csv(ledger)
+    with open(os.path.join(ledger, "more.csv"), "w") as f:
+        f.write("customer_id,date,amount,type\n1,2001-02-30,5.0,A\nx,2001-02-03,5.0,A\n2,2001-02-03\n")
+    main(["--profile", profile, "--ledger", ledger, "--out", out, "--cutoff", "2001-06-30", "--pop-start", "2001-05-01",
+          "--target", "2001-07-01", "2001-07-29", "--econ-start", "2000-01-01", "--segments", *PROFILE_SEGMENT_ORDER,
+          "--ledger-schema", "customer_id bigint, date string, amount double, type string", "--encoder-version", "3"])
+    rejected = {(r["reason"], r["raw"]) for r in spark.read.parquet(os.path.join(out, "rejected_ledger")).collect()}
+    assert rejected == {("date: date", "1,2001-02-30,5.0,A"), ("malformed", "x,2001-02-03,5.0,A"), ("malformed", "2,2001-02-03")}
+    assert spark.read.parquet(os.path.join(out, "rejected_profile")).count() == 0
+    assert spark.read.parquet(os.path.join(out, "model_dataset")).count() == 87
+    stored = load_encoder(spark, os.path.join(out, "encoders"))
+    assert sorted(stored.collect()) == sorted(spark.read.parquet(os.path.join(out, "encoder_classes")).collect())
