@@ -2,21 +2,24 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet in the shared
 checkpoint folder and read again as the next stage's docs.  All stages but the last return the columns of
-documents.  Null and empty texts end in the first stage (they have too few words); an empty table passes
-through every stage as an empty table.
+documents.
+
+Results for odd input: null and empty texts end in the first stage (they have too few words); texts of any
+length pass whole; of repeated rows, and of near copies, exactly one stays after the near-dedup stage, the one
+with the smallest doc_id (a null id only where no row of the group has one; ties by the smallest text hash);
+further columns pass all stages but the last as they are, whatever their names; an empty table passes through
+every stage as an empty table.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lapse.llm import packing as fitting
 from lapse.llm import pii_spans, quality_rules, simhash_dedup, subword_classifier
 from lapse.llm.common import table
-from lapse.session import ensure_checkpoint_dir
+from lapse.session import scratch_folder
 
 
 def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,7 +63,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply all stages to documents; every stage's result is written and read again."""
-    folder = f"{ensure_checkpoint_dir(spark)}/corpus-pipeline-{uuid.uuid4().hex}"
+    folder = scratch_folder(spark, "corpus-pipeline")
     docs = table(spark, sf_dir, "documents")
     for i, (name, stage) in enumerate(STAGES):
         path = f"{folder}/{i}-{name}"
