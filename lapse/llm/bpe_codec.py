@@ -5,8 +5,9 @@ its positions, merges rank by rank, and gives each text its ids.  No shuffle; a
 group of texts at a time.  The tokenizer file is read on the driver (its size is fixed) and sent
 along, so executors need no copy of it.
 
-Results for odd input: null and empty texts have no ids and decode to the empty text; repeated
-rows give repeated results; an empty table gives an empty result; extra columns are ignored.
+Results for odd input: null and empty texts have no ids and decode to the empty text; texts of
+any length are encoded whole (one longer than a group is a group of its own); repeated rows give
+repeated results; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations

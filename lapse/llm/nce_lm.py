@@ -15,7 +15,7 @@ meet their counts in a join.
 
 Results for odd input: a null or empty text is the end token alone; rows with a null id count as id ''
 (whose crc32 is 0: held out); an empty training set gives every token the unknown share; repeated rows
-are scored each, and counted each in training; an empty table gives an empty result; extra columns are
+are scored each, and counted each in training; texts of any length are scored whole; an empty table gives an empty result; extra columns are
 ignored.  The input must give the same rows in the same order when read again, as files do.
 """
 

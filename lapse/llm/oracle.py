@@ -37,6 +37,13 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM bits
 """
 
+# Rules in the order of their bits.
+RULE_NAMES = ["too_few_words", "repeated_words", "symbols", "repeated_lines", "word_length", "no_lower_case"]
+ABLATIONS = f"WITH ledger AS ({QUALITY_RULES}) " + " UNION ALL ".join(
+    f"""SELECT 'v3' AS policy, '{rule}' AS rule, count(*) FILTER (failures & {1 << i} <> 0) AS n_failed, count(*) FILTER (failures = {1 << i}) AS n_failed_alone,
+  count(*) FILTER (failures & {63 - (1 << i)} = 0) AS n_kept_without, coalesce(bit_or(failures), 0) AS seen_failures FROM ledger"""
+    for i, rule in enumerate(RULE_NAMES))
+
 # The texts after escaping and reading back are the texts themselves, so only lengths need the escapes.
 CHAT_FORMAT = r"""
 WITH turns AS (
@@ -137,5 +144,5 @@ FROM a{rounds} JOIN c{rounds} USING (cluster)
 """
 
 
-SQL = {"op4_chat_format": CHAT_FORMAT, "op5_quality_rules": QUALITY_RULES, "op11_warc": WARC, "op12_centroid_clustering": _clustering(),
+SQL = {"op4_chat_format": CHAT_FORMAT, "op5_quality_rules": QUALITY_RULES, "quality_ablations": ABLATIONS, "op11_warc": WARC, "op12_centroid_clustering": _clustering(),
        "op13_source_audit": SOURCE_AUDIT}

@@ -7,7 +7,7 @@ from the same ledger what each rule of a policy rejects, alone and with others,
 without touching the texts again.
 
 Results for odd input: a null text has no words and no lines (all measurements
-0, ``too_few_words`` fails); repeated rows give repeated results; an empty table
+0, ``too_few_words`` fails); texts of any length are measured whole; repeated rows give repeated results; an empty table
 gives an empty result; extra columns are ignored.
 """
 

@@ -34,6 +34,12 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
+def quality_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each rule of the current policy rejects, alone and with others, from the ledger of all documents."""
+    from lapse.llm.quality_rules import ablations, measure
+    return ablations(measure(table(spark, sf_dir, "documents")))
+
+
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lapse.llm.subword_classifier import quality_classifier
     return quality_classifier(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -75,7 +81,7 @@ def op13_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: fn for name, fn in globals().items() if name.startswith("op") and callable(fn)}
+    return {name: fn for name, fn in globals().items() if name.startswith(("op", "quality_")) and callable(fn)}
 
 
 def oracle_sql() -> dict[str, str]:

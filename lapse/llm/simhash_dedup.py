@@ -15,7 +15,7 @@
 6. Components come from rounds of minimum labels and pointer jumping over checkpointed tables.
 
 Results for odd input: null and empty texts have fingerprint zero and are linked like any other;
-rows with a null id keep their fingerprint but take no part in choosing a component id, which is
+texts of any length are hashed whole; rows with a null id keep their fingerprint but take no part in choosing a component id, which is
 null if no linked row has an id; repeated rows give repeated results; extra columns are ignored.
 """
 

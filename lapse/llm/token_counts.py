@@ -15,8 +15,8 @@ Two deterministic transducers make the count of a text:
 That the last token of every prefix decides the encoding rests on a property of BPE: a sequence of
 tokens is the encoding of its text exactly if every two neighbours are the encoding of theirs.
 
-Results for odd input: null and empty texts have 0 bytes and 0 tokens; repeated rows give repeated
-results; an empty table gives an empty result; extra columns are ignored.
+Results for odd input: null and empty texts have 0 bytes and 0 tokens; texts of any length are counted
+whole, by chunks (a single piece is read from its start to its end); repeated rows give repeated results; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations

@@ -25,7 +25,6 @@ result; other columns are ignored, whatever their names.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 from functools import partial
 
@@ -34,7 +33,7 @@ from pyspark.sql import functions as F
 
 from lapse.functions.materialize import sized_broadcast
 from lapse.llm.common import col, in_tasks
-from lapse.session import ensure_checkpoint_dir
+from lapse.session import scratch_folder
 
 CHUNK_BYTES = 64 << 10
 BATCH_BYTES = 8 << 20
@@ -175,7 +174,7 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", payload
                    least_bytes: int = 0, compression: str = "gzip", chunk_bytes: int = CHUNK_BYTES) -> None:
     """Write ``pages`` as WARC archives in the folder ``path``."""
     spark = pages.sparkSession
-    folder = f"{ensure_checkpoint_dir(spark)}/warc-chunks-{uuid.uuid4().hex}"
+    folder = scratch_folder(spark, "warc-chunks")
     chunk_table(pages, id_col, payload_col, target_col, chunk_bytes).write.option("compression", "zstd").parquet(folder)
     chunks = spark.read.parquet(folder)
     again = sized_broadcast(revisits(chunks, least_bytes))
@@ -296,7 +295,7 @@ def warc_round_trip(pages: DataFrame, path: str | None = None, id_col: str = "pa
                     target_col: str = "url", least_bytes: int = 0, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """Write the pages as archives (in the shared checkpoint folder unless ``path`` is given) and read them back."""
     spark = pages.sparkSession
-    path = path or f"{ensure_checkpoint_dir(spark)}/warc-{uuid.uuid4().hex}"
+    path = path or scratch_folder(spark, "warc")
     write_archives(pages, path, id_col, payload_col, target_col, least_bytes, chunk_bytes=chunk_bytes)
     id_type = pages.select(col(id_col)).schema[0].dataType
     read = read_archives(spark, path)
