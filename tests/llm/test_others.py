@@ -107,7 +107,7 @@ def test_pipeline(spark):
 def test_registered_queries_cover_every_operator():
     import __spark_entry__ as E
     names = E.queries()
-    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)) and "pipeline" in names
+    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)) and "pipeline" in names
 
 
 def nearest_exactly(rows, query, top=20):
