@@ -6,7 +6,7 @@ is at most 1/ACCURACY of the rows, and the bracket reaches further by the ranks
 that rounding and interpolation can add.  A second pass counts the rows between
 the brackets and the equal values inside them; only the values inside are
 sorted, about 8/ACCURACY of a large group's distinct values per percentile.  No
-task holds a group, and nothing is written.
+task holds a group.
 """
 
 from __future__ import annotations
@@ -16,6 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lapse.functions.materialize import sized_broadcast
+
 ACCURACY = 10_000
 # (least rows, reach): how far a bracket reaches on either side in groups below ACCURACY rows; a rank there is at
 # least two of their rows.  In smaller groups it reaches over all rows.
@@ -29,7 +31,8 @@ def exact_quantiles(df: DataFrame, group: str, value: str, probs: Sequence[float
     ``value`` is a double column.  ``also`` are further aggregates of ``df`` per
     group, computed in the sketch's pass; with them a group without a value
     still has a row (and null percentiles).  Null groups give no row.  Say
-    ``few_groups`` where a fixed list bounds the groups: brackets are broadcast then.
+    ``few_groups`` where a fixed list bounds the groups: brackets are broadcast
+    unmeasured then, and nothing runs before the action.
     """
     rows = df.filter(F.col(group).isNotNull())
     ordered = sorted(set(probs))
@@ -42,6 +45,8 @@ def exact_quantiles(df: DataFrame, group: str, value: str, probs: Sequence[float
     if not also:
         sketch = sketch.filter("_total > 0")
     sketch = sketch.withColumn("_edges", F.slice("_every", level * width + 1, F.lit(width))).drop("_every")
+    if not few_groups:
+        sketch = sized_broadcast(sketch)  # one row per group, written and measured: rows shuffle only past the limit
     lows, highs = range(0, width, 2), range(1, width, 2)
 
     # How many lower edges a value has reached, and how many upper edges it has passed: in a bracket where the first
