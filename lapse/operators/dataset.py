@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -55,11 +56,12 @@ def ordered_split(df: DataFrame, order_col: str = "recency_days", tie_col: str =
     point, the rest is the last part; ``tie_col`` (unique, any type) makes the
     order total.  Null order values sort last.
 
-    Only the first rows of the second and third part matter.  The two key
-    columns are range-partitioned into as many parts as the session shuffles
-    to and written once; the parts' sizes say which part holds a boundary row,
-    and that part alone is narrowed again until it has ``rows_per_block`` rows.
-    The boundary rows stay in Spark as one-row tables: the split compares every
+    Only the first rows of the second and third part matter.  Above
+    ``rows_per_block`` rows the two key columns are range-partitioned into as
+    many parts as the session shuffles to and written once; the parts' sizes
+    say which part holds a boundary row, and that part alone is narrowed again
+    until it is one block.  The boundary rows stay in Spark as a written table
+    of two rows: the split compares every
     row's keys with them as scalar subqueries, so no key value passes through
     Python and any ordered type is compared as itself.  Full rows are neither
     shuffled, sorted nor numbered, and an order value that most rows share is
@@ -67,13 +69,15 @@ def ordered_split(df: DataFrame, order_col: str = "recency_days", tie_col: str =
     """
     n = df.count()
     first, second = int(n * fractions[0]), int(n * fractions[1])
-    keys, sizes = _ranged(df.select(F.col(order_col).alias("_o"), F.col(tie_col).alias("_t")))
+    if not n:
+        return df.withColumn(split_col, F.lit(names[2])).select(*[c for c in df.columns if c != split_col], split_col)
+    edges = _rows_at(df.select(F.col(order_col).alias("_o"), F.col(tie_col).alias("_t")), n, [first, first + second], rows_per_block)
 
     def before(position: int) -> Column:
         """Whether a row sorts before the row at ``position``."""
         if position >= n:
             return F.lit(True)
-        edge = _row_at(keys, sizes, position, rows_per_block).select(F.struct("_o", "_t")).scalar()
+        edge = edges.where(F.col("_position") == position).select(F.struct("_o", "_t")).scalar()
         return _sorts_before(F.col(order_col), F.col(tie_col), edge["_o"], edge["_t"])
 
     split = F.when(before(first), names[0]).when(before(first + second), names[1]).otherwise(names[2])
@@ -90,18 +94,36 @@ def _ranged(keys: DataFrame) -> tuple[DataFrame, list[tuple[int, int]]]:
     return dealt, sorted((r["_part"], r["count"]) for r in dealt.groupBy("_part").count().collect())
 
 
-def _row_at(keys: DataFrame, sizes: list[tuple[int, int]], position: int, rows_per_block: int) -> DataFrame:
-    """The one row at ``position``; its part is ranged again while that makes it smaller."""
+def _rows_at(keys: DataFrame, n: int, positions: Sequence[int], rows_per_block: int) -> DataFrame:
+    """(_o, _t, _position) of the keys at the given positions below ``n``, written once."""
+    wanted = sorted({p for p in positions if p < n})
+    if n <= rows_per_block:
+        found = [_picked(keys, wanted, wanted)]
+    else:
+        dealt, sizes = _ranged(keys)
+        found = [_picked(*_narrowed(dealt, sizes, p, rows_per_block), [p]) for p in wanted]
+    return freeze(reduce(DataFrame.unionByName, found))
+
+
+def _narrowed(keys: DataFrame, sizes: list[tuple[int, int]], position: int, rows_per_block: int) -> tuple[DataFrame, list[int]]:
+    """The part that holds a position, ranged again while that makes it smaller, and the position in it."""
     for part, size in sizes:
         if position < size:
             break
         position -= size
-    rows = keys.where(F.col("_part") == part)
+    rows = keys.where(F.col("_part") == part).drop("_part")
     if size > rows_per_block:
-        finer, finer_sizes = _ranged(rows.drop("_part"))
+        finer, finer_sizes = _ranged(rows)
         if max(n for _, n in finer_sizes) < size:
-            return _row_at(finer, finer_sizes, position, rows_per_block)
-    return freeze(rows.orderBy(*_key_order()).offset(position).limit(1))
+            return _narrowed(finer, finer_sizes, position, rows_per_block)
+    return rows, [position]
+
+
+def _picked(rows: DataFrame, places: Sequence[int], positions: Sequence[int]) -> DataFrame:
+    """The rows at some places of one block, named by their positions; only the two keys of a block are sorted together."""
+    placed = rows.repartition(1).sortWithinPartitions(*_key_order()).withColumn("_place", F.monotonically_increasing_id())
+    name = F.coalesce(*[F.when(F.col("_place") == at, F.lit(p)) for at, p in zip(places, positions)], F.lit(-1))
+    return placed.select("_o", "_t", name.cast("long").alias("_position")).where(F.col("_position") >= 0)
 
 
 def _sorts_before(order: Column, tie: Column, edge_order: Column, edge_tie: Column) -> Column:
