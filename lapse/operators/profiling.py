@@ -69,16 +69,20 @@ def dtype_counts(df: DataFrame) -> DataFrame:
 
 def ledger_profile(ledger: DataFrame, key: str = KEY_COL, date: str = "date",
                    amount: str = "amount", type_col: str = "type") -> DataFrame:
-    """Date range (as dates), distinct customers and types, amount range.
+    """Date range (as dates), distinct customers, sorted distinct types joined by commas (null if none) and their number, amount range.
 
-    The types themselves are rows of ``ledger_types``: a type column may be
-    free text, so they are never gathered into one value.
+    The types are distinct (by a shuffle) before they are gathered, so the cell
+    is as long as they are, however many rows repeat them.  A type column of
+    free text is better read from ``ledger_types``, one row each.
     """
+    n_types = F.count_distinct(type_col)
+    types = F.array_join(F.array_sort(F.expr(f"array_agg(DISTINCT {q(type_col)})")), ",")
     return ledger.agg(
         F.to_date(F.min(date)).alias("min_date"),
         F.to_date(F.max(date)).alias("max_date"),
         F.count_distinct(key).alias("n_customers"),
-        F.count_distinct(type_col).alias("n_types"),
+        F.when(n_types > 0, types).alias("types"),
+        n_types.alias("n_types"),
         F.min(amount).alias("amount_min"),
         F.max(amount).alias("amount_max"),
     )

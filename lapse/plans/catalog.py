@@ -131,7 +131,7 @@ def q_dtype_counts(spark, sf):
 
 
 @register("ledger_profile", V("""SELECT CAST(MIN(date) AS DATE) AS min_date, CAST(MAX(date) AS DATE) AS max_date,
-  COUNT(DISTINCT customer_id) AS n_customers, COUNT(DISTINCT type) AS n_types,
+  COUNT(DISTINCT customer_id) AS n_customers, string_agg(DISTINCT type, ',' ORDER BY type) AS types, COUNT(DISTINCT type) AS n_types,
   MIN(amount) AS amount_min, MAX(amount) AS amount_max FROM ledger""", "ledger"))
 def q_ledger_profile(spark, sf):
     return P.ledger_profile(Tables(spark, sf).ledger)

@@ -36,6 +36,18 @@ def test_profile_of_a_ledger_gathers_no_set(spark):
     assert "collect_set" not in out._jdf.queryExecution().executedPlan().toString()
 
 
+def test_profile_of_a_ledger_lists_its_types(spark):
+    schema = "customer_id int, date timestamp_ntz, amount double, type string"
+    day = lambda d: dt.datetime(2024, 1, d, 9)
+    df = spark.createDataFrame([(1, day(2), 2.0, "b"), (2, day(1), 5.0, "a"), (1, day(2), 2.0, "b"), (None, None, None, "é"), (3, day(3), 1.0, None), (3, day(3), 1.0, "")], schema)
+    assert [r.asDict() for r in P.ledger_profile(df).collect()] == [
+        {"min_date": dt.date(2024, 1, 1), "max_date": dt.date(2024, 1, 3), "n_customers": 3, "types": ",a,b,é", "n_types": 4, "amount_min": 1.0, "amount_max": 5.0}]
+    assert [(r.types, r.n_types) for r in P.ledger_profile(df.filter("type IS NULL")).collect()] == [(None, 0)]
+    assert [(r.types, r.n_customers) for r in P.ledger_profile(df.limit(0)).collect()] == [(None, 0)]
+    other = P.ledger_profile(df.withColumnRenamed("type", "the type"), type_col="the type").first()
+    assert other.types == ",a,b,é"
+
+
 def test_overview_counts_filled_cells(spark):
     df = spark.createDataFrame([(1, None, "x"), (2, None, None)], "a int, `b c` double, s string")
     assert [tuple(r) for r in P.column_overview(df).collect()] == [(1, "a", "int", 2), (2, "b c", "double", 0), (3, "s", "string", 1)]
