@@ -50,6 +50,12 @@ def id_crc(name: str) -> Column:
     return F.crc32(F.coalesce(col(name).cast("string"), F.lit("")).cast("binary"))
 
 
+def _texts(column, rows: int = 256) -> Iterator:
+    """The column's values as Python objects, few at a time."""
+    for i in range(0, len(column), rows):
+        yield from column.slice(i, rows).to_pylist()
+
+
 def text_batches(batches: Iterable, text_field: str = "text", limit: int = BATCH_CHARS) -> Iterator[tuple[list, list]]:
     """Regroup Arrow batches so that each holds about ``limit`` characters: (record batches' other columns, texts).
 
@@ -60,7 +66,7 @@ def text_batches(batches: Iterable, text_field: str = "text", limit: int = BATCH
     for batch in batches:
         column = batch.column(text_field)
         start = 0
-        for i, text in enumerate(column.to_pylist()):
+        for i, text in enumerate(_texts(column)):
             text = text or ""
             if texts and size + len(text) > limit:
                 if i > start:

@@ -8,8 +8,9 @@ share n1 / (N + n1) of unknown words taken from the words seen once.  Both add u
 
 Work.  Three passes over the texts: word counts (grouped by Spark); training, where every task goes
 once through its own tokens from the same start and Spark averages the parameters, weighted by tokens;
-scoring, where matrix products over all distinct histories of a batch give the logarithm of their
-normalising sums.  Counts of the ``FREQUENT`` most frequent words (of at most ``MAX_BYTES`` bytes, so the
+scoring, where matrix products over all distinct histories of a task give the logarithm of their
+normalising sums, each once.  Texts become numbers ``PART_CHARS`` characters at a time; training gathers
+the classes (2 bytes each) of ``BATCH_CHARS`` characters, among which it draws.  Counts of the ``FREQUENT`` most frequent words (of at most ``MAX_BYTES`` bytes, so the
 table has a fixed bound) go to the tasks; all other words of a text leave it as (text, word, times) and
 meet their counts in a join.
 
@@ -29,9 +30,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lapse.functions.materialize import freeze
-from lapse.llm.common import coded_words, col, gathered, id_crc, in_tasks, per_text, text_batches, text_or_empty
+from lapse.llm.common import BATCH_CHARS, coded_words, col, gathered, id_crc, in_tasks, per_text, text_batches, text_or_empty
 
 SINGLES, BUCKETS, FREQUENT, MAX_BYTES = 255, 256, 200_000, 64
+PART_CHARS = 4_000_000
 CLASSES = 1 + SINGLES + BUCKETS  # class 0 is the end, which also stands before the first word
 DIM, NOISE, BATCH, RATE, SEED = 16, 32, 4096, 0.15, 11
 PRIOR = 0.1  # added to every count in the base score
@@ -50,7 +52,7 @@ def word_counts(training: DataFrame) -> DataFrame:
     """(word, bucket, c) over all training texts."""
     def run(batches):
         import pyarrow as pa
-        for _, texts in text_batches(batches):
+        for _, texts in text_batches(batches, limit=PART_CHARS):
             words, numbers, _ = coded_words(texts, lower=True)
             counts = np.bincount(numbers, minlength=len(words))
             used = np.flatnonzero(counts)
@@ -194,12 +196,12 @@ class Trainer:
         self.cumulated = np.cumsum(lex.class_share)
         self.squares = start.like(np.full(len(start.flat()), 1e-2))
 
-    def learn(self, r: Read) -> None:
-        order = self.rng.permutation(len(r.target))
+    def learn(self, target: np.ndarray, before: np.ndarray, earlier: np.ndarray) -> None:
+        order = self.rng.permutation(len(target))
         self.seen += len(order)
         for i in range(0, len(order), BATCH):
             rows = order[i:i + BATCH]
-            self._step(r.target[rows], r.before[rows], r.earlier[rows])
+            self._step(target[rows], before[rows], earlier[rows])
 
     def _step(self, target, before, earlier) -> None:
         p, n = self.p, len(target)
@@ -222,6 +224,27 @@ class Trainer:
             getattr(p, name)[...] += RATE * step / np.sqrt(square + 1e-8)
 
 
+def class_groups(batches, lex: Lexicon):
+    """(target, before, earlier) of the groups that ``text_batches`` makes, without their texts."""
+    def classes(texts):
+        r = read(texts, lex)
+        return [x.astype(np.int16) for x in (r.target, r.before, r.earlier)]
+
+    held, size = [], 0
+    for _, texts in text_batches(batches, limit=PART_CHARS):
+        first = 0
+        for i, text in enumerate(texts):
+            if (held or i > first) and size + len(text) > BATCH_CHARS:
+                if i > first:
+                    held.append(classes(texts[first:i]))
+                yield [np.concatenate(x) for x in zip(*held)]
+                held, size, first = [], 0, i
+            size += len(text)
+        held.append(classes(texts[first:]))
+    if held:
+        yield [np.concatenate(x) for x in zip(*held)]
+
+
 def train(training: DataFrame, lex: Lexicon) -> Params:
     """Every task's pass from the same start; parameters averaged by Spark, weighted by tokens."""
     start = Params.start(lex)
@@ -233,8 +256,8 @@ def train(training: DataFrame, lex: Lexicon) -> Params:
         import pyarrow as pa
         from pyspark import TaskContext
         trainer = Trainer(Params.start(sent.value), sent.value, TaskContext.get().partitionId())
-        for _, texts in text_batches(batches):
-            trainer.learn(read(texts, sent.value))
+        for group in class_groups(batches, sent.value):
+            trainer.learn(*group)
         if trainer.seen:
             flat = trainer.p.flat()
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat), dtype="i4")), pa.array(flat * trainer.seen), pa.array(np.full(len(flat), float(trainer.seen)))],
@@ -247,20 +270,28 @@ def train(training: DataFrame, lex: Lexicon) -> Params:
     return start.like(flat)
 
 
-def class_logs(r: Read, p: Params, block: int = 8192) -> np.ndarray:
-    """log10 P(class | history) of every token: products over the distinct histories, normalised."""
-    history, which = np.unique(r.earlier * CLASSES + r.before, return_inverse=True)
-    predicted = p.predicted(history % CLASSES, history // CLASSES).astype(np.float32)
+def class_logs(r: Read, p: Params, sums: np.ndarray | None = None, block: int = 2048) -> np.ndarray:
+    """log10 P(class | history) of every token: products over the distinct histories, normalised.
+
+    ``sums`` keeps the histories' normalising sums from batch to batch (NaN: not met yet).
+    """
+    sums = np.full(CLASSES * CLASSES, np.nan) if sums is None else sums
+    near, far = p.inputs @ p.near, p.inputs @ p.far
+    history = r.earlier * CLASSES + r.before
+    met = np.zeros(len(sums), dtype=bool)
+    met[history] = True
+    new = np.flatnonzero(met & np.isnan(sums))
     outputs, bias = p.outputs.T.astype(np.float32), p.bias.astype(np.float32)
-    log_sum = np.empty(len(history))
-    for i in range(0, len(history), block):
-        z = predicted[i:i + block] @ outputs + bias
+    for i in range(0, len(new), block):
+        h = new[i:i + block]
+        z = (near[h % CLASSES] + far[h // CLASSES]).astype(np.float32) @ outputs + bias
         top = z.max(axis=1, keepdims=True)
-        log_sum[i:i + block] = top[:, 0] + np.log(np.exp(z - top).sum(axis=1, dtype=np.float64))
-    out = np.empty(len(which))
-    for i in range(0, len(which), 1 << 18):
-        w, t = which[i:i + (1 << 18)], r.target[i:i + (1 << 18)]
-        out[i:i + (1 << 18)] = (predicted[w] * p.outputs[t]).sum(axis=1) + p.bias[t] - log_sum[w]
+        sums[h] = top[:, 0] + np.log(np.exp(z - top).sum(axis=1, dtype=np.float64))
+    out = np.empty(len(history))
+    for i in range(0, len(out), 1 << 15):
+        w = slice(i, i + (1 << 15))
+        predicted, t = (near[r.before[w]] + far[r.earlier[w]]).astype(np.float32), r.target[w]
+        out[w] = (predicted * p.outputs[t]).sum(axis=1) + p.bias[t] - sums[history[w]]
     return out / np.log(10)
 
 
@@ -275,9 +306,10 @@ def score(docs: DataFrame, counts: DataFrame, lex: Lexicon, params: Params, id_c
         lex, params = sent.value
         number = TaskContext.get().partitionId() << 40
         end = (lex.base_log(np.array([lex.n_texts]))[0], 1 if lex.n_texts else 0)
-        for group, texts in text_batches(batches):
+        sums = np.full(CLASSES * CLASSES, np.nan)
+        for group, texts in text_batches(batches, limit=PART_CHARS):
             r = read(texts, lex)
-            logs = class_logs(r, params)
+            logs = class_logs(r, params, sums)
             known = r.place >= 0
             place = np.where(known, r.place, 0)
             base = np.where(known, lex.base_log(np.append(lex.counts, 0)[place]), 0.0)
