@@ -1,6 +1,6 @@
 """BPE encoding and decoding of whole texts (method: see ``lapse.llm.bytebpe``).
 
-Every Python task gathers about ``BATCH_CHARS`` characters, maps every pair of symbols in them to
+Every Python task gathers about ``TASK_CHARS`` characters, maps every pair of symbols in them to
 its positions, merges rank by rank, and gives each text its ids.  No shuffle; a task holds one
 group of texts at a time.  The tokenizer file is read on the driver (its size is fixed) and sent
 along, so executors need no copy of it.
@@ -48,7 +48,9 @@ def _map_ids(docs: DataFrame, id_col: str, text_col: str, vocab_path: str | None
         for group, texts in text_batches(batches):
             ids, starts = encode(texts)
             columns = rows(vocab, ids, starts)
+            del ids, texts
             yield pa.RecordBatch.from_arrays([gathered(group, "id"), *columns.values()], names=["id", *columns])
+            del group, columns
 
     return in_tasks(source, run, f"id {id_type}, {schema}").withColumnRenamed("id", id_col)
 

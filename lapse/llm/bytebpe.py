@@ -22,6 +22,8 @@ import regex
 # Fixed value: the pattern that the byte-level pre-tokenizer cuts texts with.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _GONE = -1
+# Array elements worked on together where a temporary array would be several times as large as its result.
+BLOCK = 1 << 18
 
 
 def byte_symbols() -> list[str]:
@@ -84,6 +86,8 @@ class Vocabulary:
 
     def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The rank of each pair; -1 where no merge joins it (or a side is missing: negative)."""
+        if len(left) > BLOCK:
+            return np.concatenate([self.ranks(left[i:i + BLOCK], right[i:i + BLOCK]) for i in range(0, len(left), BLOCK)])
         key = left.astype(np.int64) * self.size + right
         key[(left < 0) | (right < 0)] = -2
         slot = self._slot(key)
@@ -194,6 +198,7 @@ class Encoder:
         units += [("", h) for h in heads]
         counts, rows = np.zeros(len(texts), dtype=np.int64), [row]
         counts[plain] = np.diff(starts)
+        del stretches, coded  # the units stand for them from here on
         for i in np.flatnonzero(~plain).tolist():
             own = self._odd(texts[i])
             rows.append(len(units) + np.arange(len(own)))
@@ -238,6 +243,7 @@ class Encoder:
                 found = [pieces[p] for p in cut(" " + unit)]
             order += found
             counts.append(len(found))
+        pieces.default_factory = None  # it refers to the dict: else all pieces stay until the garbage collector runs
         ids, at = merge_pieces(vocab, [p.encode() for p in pieces])
         order = np.array(order, dtype=np.int64)
         # Special tokens follow the pieces, one id each.
@@ -266,10 +272,15 @@ def _as_slices(first: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.nd
 
 def spread(values: np.ndarray, at: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Concatenate the slices values[at[i]:at[i + 1]] for i in order; also the first index of each."""
-    sizes = (at[1:] - at[:-1])[order]
-    starts = np.concatenate(([0], np.cumsum(sizes)))
-    shift = np.repeat(at[order] - starts[:-1], sizes)
-    return values[np.arange(starts[-1]) + shift], starts
+    starts = np.concatenate(([0], np.cumsum((at[1:] - at[:-1])[order])))
+    flat = np.empty(starts[-1], dtype=values.dtype)
+    for a in range(0, len(flat), BLOCK):
+        b = min(a + BLOCK, len(flat))
+        # The slices that lie in flat[a:b], the first and the last perhaps in part.
+        i, j = np.searchsorted(starts, a, "right") - 1, np.searchsorted(starts, b, "left")
+        shift = np.repeat(at[order[i:j]] - starts[i:j], np.diff(np.clip(starts[i:j + 1], a, b)))
+        flat[a:b] = values[np.arange(a, b) + shift]
+    return flat, starts
 
 
 _READ: dict[int, Vocabulary] = {}

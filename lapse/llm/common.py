@@ -10,8 +10,11 @@ from pyspark.sql import functions as F
 # The bytes that separate words everywhere in this package: space and \t \n \v \f \r.
 WORD_GAP = r"[\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-# Characters of text that a Python task gathers before it works on them together.
+# Characters of text among which the language model draws.
 BATCH_CHARS = 12_000_000
+# Characters of text that a Python task gathers before it works on them together.  It holds many bytes a character
+# meanwhile, and so does every other task of the executor, beside a JVM whose heap has grown to its limit.
+TASK_CHARS = 6_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,12 +59,15 @@ def _texts(column, rows: int = 256) -> Iterator:
         yield from column.slice(i, rows).to_pylist()
 
 
-def text_batches(batches: Iterable, text_field: str = "text", limit: int = BATCH_CHARS) -> Iterator[tuple[list, list]]:
+def text_batches(batches: Iterable, text_field: str = "text", limit: int = TASK_CHARS) -> Iterator[tuple[list, list]]:
     """Regroup Arrow batches so that each holds about ``limit`` characters: (record batches' other columns, texts).
 
     Yields (rows, texts) where rows is a list of (batch, first, last) slices.  A text is never cut;
-    one longer than ``limit`` is a group of its own.
+    one longer than ``limit`` is a group of its own.  Between groups Arrow gives free memory back, as
+    the worker lives on through the tasks and stages that follow.
     """
+    import pyarrow as pa
+
     rows, texts, size = [], [], 0
     for batch in batches:
         column = batch.column(text_field)
@@ -73,12 +79,15 @@ def text_batches(batches: Iterable, text_field: str = "text", limit: int = BATCH
                     rows.append((batch, start, i))
                 yield rows, texts
                 rows, texts, size, start = [], [], 0, i
+                pa.default_memory_pool().release_unused()
             texts.append(text)
             size += len(text)
         if batch.num_rows > start:
             rows.append((batch, start, batch.num_rows))
     if texts:
         yield rows, texts
+        rows, texts = [], []
+        pa.default_memory_pool().release_unused()
 
 
 def gathered(rows: list, field: str):

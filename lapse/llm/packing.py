@@ -58,12 +58,12 @@ def tokenized_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
         import pyarrow as pa
         size = np.diff(starts) + 1
-        own = np.full(len(ids) + len(size), END_ID, dtype="<u4")
-        own[np.arange(len(ids)) + np.repeat(np.arange(len(size)), size - 1)] = ids
-        raw = memoryview(own.tobytes())
-        ends = np.cumsum(size).tolist()
-        crcs = [[zlib.crc32(raw[4 * p:4 * min(p + capacity, b)]) for p in range(b - n, b, capacity)]
-                for b, n in zip(ends, size.tolist())]
+        raw, end = memoryview(np.ascontiguousarray(ids, dtype="<i4").view(np.uint8)), END_ID.to_bytes(4, "little")
+        crcs = []
+        for a, b in zip(starts[:-1].tolist(), starts[1:].tolist()):
+            own = [zlib.crc32(raw[4 * p:4 * min(p + capacity, b)]) for p in range(a, b + 1, capacity)]
+            own[-1] = zlib.crc32(end, own[-1])
+            crcs.append(own)
         return {"doc_tokens": pa.array(size, type=pa.int64()), "crcs": pa.array(crcs, type=pa.list_(pa.int64()))}
     return _map_ids(docs, id_col, text_col, vocab_path, "doc_tokens long, crcs array<long>", rows)
 
