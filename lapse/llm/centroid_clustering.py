@@ -10,7 +10,7 @@ assignment comes from an exact integer scan, so the result is that of assigning
 
 How it runs: vectors are packed into blocks of ``BLOCK_ROWS``, written once.  A block's state is its assignments and
 one heap per cluster, about 16 bytes a vector.  A round is one job over the pairs of block and state, which are read
-side by side without a shuffle; it writes the new state and, per task, the change of the clusters' sums and counts,
+side by side without a shuffle, however many blocks a partition has (``side_by_side``); it writes the new state and, per task, the change of the clusters' sums and counts,
 which Spark adds up to K x 65 numbers.  A lost executor rereads written blocks and state.
 
 Results for odd input: vectors that are null, of another length, or hold a null or non-finite component take no
@@ -163,6 +163,16 @@ def _round(pairs, centroids: list[list[int]], used: list[float], dims: int) -> I
         yield held, [Decimal(int(x)) for x in moved.ravel()]
 
 
+def side_by_side(left: DataFrame, right: DataFrame):
+    """Pairs of the rows of two tables with the same partitions and as many rows in each.
+
+    ``DataFrame.rdd`` hands rows over in batches that follow their bytes, and ``zip`` pairs batch with batch: blocks
+    and their much smaller states would part ways in a partition of more than one batch.  Mapped rows are dealt into
+    batches of equally many rows on both sides.
+    """
+    return left.rdd.map(tuple).zip(right.rdd.map(tuple))
+
+
 def _drift_up(old: list[int], new: list[int]) -> float:
     return math.sqrt(sum((a - b) ** 2 for a, b in zip(old, new))) * (1 + SLACK)
 
@@ -174,11 +184,10 @@ def cluster_blocks(blocks: DataFrame, centroids: list[list[int]], rounds: int =
     k = len(centroids)
     used = [0.0] * k
     totals = [[0] * (dims + 1) for _ in range(k)]
-    matrices = blocks.select("width", "v").rdd
-    state = None
+    matrices = blocks.select("width", "v")
+    state = blocks.select(F.lit(None).cast("binary").alias("state"))
     for i in range(rounds + 1):
-        states = blocks.select(F.lit(None).cast("binary").alias("state")).rdd if state is None else state.select("state").rdd
-        pairs = matrices.zip(states)
+        pairs = side_by_side(matrices, state.select("state"))
         at, drift = centroids, list(used)
         step = pairs.mapPartitions(lambda rows, at=at, drift=drift: _round(
             (((m[0], bytes(m[1])), None if s[0] is None else bytes(s[0])) for m, s in rows), at, drift, dims))
@@ -219,7 +228,7 @@ def centroid_clustering(vectors: DataFrame, id_col: str = "vec_id", vector_col:
                         for i, d in zip(picked.tolist(), far.tolist()):
                             yield ids[i], c, min(d, LARGEST)
 
-        found = freeze(spark.createDataFrame(blocks.rdd.zip(state.select("state").rdd).mapPartitions(assigned), schema, verifySchema=False))
+        found = freeze(spark.createDataFrame(side_by_side(blocks, state.select("state")).mapPartitions(assigned), schema, verifySchema=False))
         marks = [(c, hashlib.sha256(",".join(map(str, row)).encode()).hexdigest()) for c, row in enumerate(centroids)]
     else:
         found, marks = spark.createDataFrame([], schema), []

@@ -172,6 +172,29 @@ def test_large_components_and_few_vectors(spark):
     assert cc.centroid_clustering(vectors_frame(spark, rows).limit(0)).count() == 0
 
 
+def test_partitions_of_many_blocks(spark):
+    """Blocks and states stay side by side where Spark hands a partition over in batches of unequally many rows."""
+    import numpy as np
+    import pyarrow as pa
+    rng = np.random.default_rng(6)
+    n = 64 * cc.BLOCK_ROWS
+    vectors = (rng.normal(size=(8, 64))[rng.integers(0, 8, n)] + rng.normal(size=(n, 64)) / 2).round(3)
+    table = pa.table({"vec_id": np.arange(n), "embedding": pa.ListArray.from_arrays(np.arange(0, 64 * n + 1, 64, dtype="i4"), vectors.ravel())})
+    whole = np.floor(vectors * 1024).astype(np.int64)
+    first = sorted(range(n), key=lambda i: hashlib.sha256(f"3:{i}".encode()).hexdigest())[:8]
+    centroids = whole[first]
+    for i in range(11):
+        far = np.stack([((whole - c) ** 2).sum(axis=1) for c in centroids], axis=1)
+        own = far.argmin(axis=1)
+        if i < 10:
+            centroids = np.stack([whole[own == c].sum(axis=0) // (own == c).sum() if (own == c).any() else centroids[c] for c in range(8)])
+    got = cc.centroid_clustering(spark.createDataFrame(table).coalesce(1).checkpoint()).toPandas().sort_values("vec_id")
+    assert got["vec_id"].tolist() == list(range(n))
+    assert got["cluster"].tolist() == own.tolist()
+    assert got["distance"].tolist() == far[np.arange(n), own].tolist()
+    assert set(got["centroid_sha256"]) == {hashlib.sha256(",".join(map(str, centroids[c].tolist())).encode()).hexdigest() for c in set(own.tolist())}
+
+
 def test_heaps_pop_only_expired_vectors():
     import numpy as np
     rng = np.random.default_rng(1)
