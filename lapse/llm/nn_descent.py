@@ -42,6 +42,7 @@ TREES, LEAF, LEAF_BEST, CHANCE = 3, 192, 12, 24
 BEAM, EXPAND, WIDE = 320, 40, 3 * TOP
 BACK_FROM, BACK, ENTRIES = 8, 32, 8
 BLOCK, ASKED_BLOCK = 1024, 256
+GROUPS, SLICE = 256, 512  # groups, and rows of a search, that a task works on at once
 SEED = 5
 GRAPH = "node long, kind int, vec binary, ids array<long>, sims array<float>, fresh array<boolean>, vecs array<binary>"
 
@@ -74,9 +75,13 @@ def pack_vector(x: np.ndarray) -> bytes:
 
 
 def unpack(packed: list[bytes]) -> np.ndarray:
-    raw = np.frombuffer(b"".join(packed), dtype=np.uint8).reshape(len(packed), -1)
+    return floats(np.frombuffer(b"".join(packed), dtype=np.uint8).reshape(len(packed), -1))
+
+
+def floats(raw: np.ndarray) -> np.ndarray:
+    """The vectors of packed rows (a matrix of bytes)."""
     head = raw[:, :8].copy().view(np.float32)
-    return np.column_stack((raw[:, 8:].copy().view(np.int8) * head[:, :1], head[:, 1]))
+    return np.column_stack((raw[:, 8:].view(np.int8) * head[:, :1], head[:, 1]))
 
 
 def packed_nodes(table: DataFrame) -> DataFrame:
@@ -111,38 +116,96 @@ def runs(batches, keys: tuple[str, ...]):
         yield held
 
 
-def _write(rows: list[dict]):
+def whole_groups(batches):
+    """Arrow batches sorted by node, cut anew so that all rows of a node come in one."""
     import pyarrow as pa
-    schema = pa.schema([("node", pa.int64()), ("kind", pa.int32()), ("vec", pa.binary()), ("ids", pa.list_(pa.int64())),
-                        ("sims", pa.list_(pa.float32())), ("fresh", pa.list_(pa.bool_())), ("vecs", pa.list_(pa.binary()))])
-    return pa.RecordBatch.from_pylist(rows, schema=schema)
 
+    def together(parts):
+        return parts[0] if len(parts) == 1 else pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
 
-def _chunks(rows, size: int = 2000):
-    out = []
-    for row in rows:
-        out.append(row)
-        if len(out) == size:
-            yield _write(out)
-            out = []
-    if out:
-        yield _write(out)
+    held = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        node = batch.column("node").to_numpy()
+        last = int(np.searchsorted(node, node[-1]))
+        if last:
+            yield together([*held, batch.slice(0, last)])
+            held = []
+        elif held and held[0].column("node")[0].as_py() != node[0]:
+            yield together(held)
+            held = []
+        held.append(batch.slice(last))
+    if held:
+        yield together(held)
+
+
+class Lists:
+    """The list columns of a batch as flat arrays: of entry i, its row is ``row[i]``."""
+
+    def __init__(self, batch):
+        import pyarrow.compute as pc
+        self.counts = pc.list_value_length(batch.column("ids")).to_numpy()
+        self.row = np.repeat(np.arange(batch.num_rows), self.counts)
+        self.ends = np.cumsum(self.counts)
+        self.ids, self.sims = (batch.column(c).flatten().to_numpy() for c in ("ids", "sims"))
+        self.fresh = batch.column("fresh").flatten().to_numpy(zero_copy_only=False)
+        self.vecs = batch.column("vecs").flatten()
+
+    def floors(self, rows: np.ndarray) -> np.ndarray:
+        """What an offer to these rows has to beat: the last of a full list."""
+        out = np.full(len(rows), -np.inf, np.float32)
+        full = self.counts[rows] >= DEGREE
+        out[full] = self.sims[self.ends[rows[full]] - 1]
+        return out
+
+
+def byte_rows(column) -> np.ndarray:
+    """Binary values of one length as the rows of a matrix."""
+    import pyarrow as pa
+    if not len(column):
+        return np.zeros((0, 9), np.uint8)
+    column = column.cast(pa.binary())
+    ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1]
+    return np.frombuffer(column.buffers()[2], np.uint8)[ends[0]:ends[-1]].reshape(len(column), -1)
+
+
+def binaries(raw: np.ndarray):
+    import pyarrow as pa
+    ends = (np.arange(len(raw) + 1) * raw.shape[1]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(raw), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(raw))])
+
+
+def graph_rows(node, kind: int, vec, counts, ids, sims, fresh, vecs):
+    """A batch of GRAPH from flat lists, of which row i takes the next ``counts[i]`` entries."""
+    import pyarrow as pa
+    starts = pa.array(np.concatenate(([0], np.cumsum(counts))).astype(np.int32))
+    vec = pa.nulls(len(node), pa.binary()) if vec is None else vec.cast(pa.binary())
+    lists = [pa.ListArray.from_arrays(starts, x) for x in (pa.array(ids, pa.int64()), pa.array(np.asarray(sims, np.float32)), pa.array(fresh, pa.bool_()), vecs.cast(pa.binary()))]
+    return pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(np.full(len(node), kind, np.int32)), vec, *lists],
+                                      names=["node", "kind", "vec", "ids", "sims", "fresh", "vecs"])
+
+
+def places(run: np.ndarray) -> np.ndarray:
+    """Of sorted values, each one's place among its equals."""
+    first = np.flatnonzero(np.r_[True, run[1:] != run[:-1]][:len(run)])
+    return np.arange(len(run)) - np.repeat(first, np.diff(np.r_[first, len(run)]))
 
 
-def _offers(ids: list[int], packed: list[bytes], asking: int, may: np.ndarray, floor: np.ndarray, best: int):
-    """For each of the first ``asking`` members, a row with the best of the others that pass its floor."""
-    v = unpack(packed)
-    sims = v[:asking] @ v.T
-    sims[~may | (sims <= floor[:, None])] = -np.inf
-    if len(ids) > best:
-        keep = np.argpartition(-sims, best - 1, axis=1)[:, :best]
+def _offers(scores: np.ndarray, members: np.ndarray, ids: np.ndarray, raw: np.ndarray, best: int):
+    """For the first members of each group a row with the best of its finite ``scores`` (group, asking, member)."""
+    wide, asking = scores.shape[2], scores.shape[1]
+    if wide > best:
+        keep = np.argpartition(scores, wide - best, axis=2)[:, :, wide - best:]
     else:
-        keep = np.tile(np.arange(len(ids)), (asking, 1))
-    for i, row in enumerate(keep):
-        row = row[np.isfinite(sims[i, row])]
-        if len(row):
-            yield {"node": ids[i], "kind": 1, "vec": None, "ids": [ids[j] for j in row], "sims": sims[i, row].tolist(),
-                   "fresh": [True] * len(row), "vecs": [packed[j] for j in row]}
+        keep = np.broadcast_to(np.arange(wide), scores.shape)
+    sims = np.take_along_axis(scores, keep, axis=2)
+    good = np.isfinite(sims)
+    counts = good.sum(axis=2)
+    some = counts > 0
+    if some.any():
+        other = np.take_along_axis(np.broadcast_to(members[:, None, :], scores.shape), keep, axis=2)[good]
+        yield graph_rows(ids[members[:, :asking]][some], 1, None, counts[some], ids[other], sims[good], np.ones(len(other), bool), binaries(raw[other]))
 
 
 # -- the graph -----------------------------------------------------------------------------------
@@ -174,93 +237,120 @@ def first_offers(packed: DataFrame, n: int) -> DataFrame:
     dealt = dealt.repartition("tree", "leaf", "part").sortWithinPartitions("tree", "leaf", "part")
 
     def compare(batches):
-        def rows():
-            for run in runs(batches, ("tree", "leaf", "part")):
-                for i in range(0, len(run), 4 * LEAF):  # the hash keeps parts near LEAF rows
-                    part = run[i:i + 4 * LEAF]
-                    yield from _offers([r["node"] for r in part], [r["vec"] for r in part], len(part), ~np.eye(len(part), dtype=bool),
-                                       np.full(len(part), -np.inf), LEAF_BEST)
-        yield from _chunks(rows())
+        for run in runs(batches, ("tree", "leaf", "part")):
+            for i in range(0, len(run), 4 * LEAF):  # the hash keeps parts near LEAF rows
+                part = run[i:i + 4 * LEAF]
+                raw = np.frombuffer(b"".join(r["vec"] for r in part), np.uint8).reshape(len(part), -1)
+                scores = floats(raw) @ floats(raw).T
+                np.fill_diagonal(scores, -np.inf)
+                yield from _offers(scores[None], np.arange(len(part))[None], np.array([r["node"] for r in part]), raw, LEAF_BEST)
 
     return in_tasks(dealt, compare, GRAPH)
 
 
+def _heads(batch) -> tuple[np.ndarray, np.ndarray]:
+    """The own rows of a batch sorted by node, and for every row the number of its node's own row (-1: none there)."""
+    node = batch.column("node").to_numpy()
+    heads = np.flatnonzero(batch.column("kind").to_numpy() == 0)
+    at = np.minimum(np.searchsorted(node[heads], node), max(len(heads) - 1, 0))
+    return heads, np.where(node[heads][at] == node, at, -1) if len(heads) else np.full(len(node), -1)
+
+
 def merged(rows_and_offers: DataFrame) -> DataFrame:
     """Own rows (kind 0) with the best of their neighbours and of what is offered to them (kind 1)."""
     def run(batches):
-        def rows():
-            for group in runs(batches, ("node",)):
-                if group[0]["kind"]:
-                    continue  # an offer to a node that is not there
-                head, best = group[0], {}
-                for r in group:
-                    for x in zip(r["ids"], r["sims"], r["fresh"], r["vecs"]):
-                        if x[0] != head["node"] and x[0] not in best:
-                            best[x[0]] = x
-                    if len(best) > 8 * DEGREE:
-                        best = {x[0]: x for x in sorted(best.values(), key=lambda x: (-x[1], x[0]))[:DEGREE]}
-                kept = sorted(best.values(), key=lambda x: (-x[1], x[0]))[:DEGREE]
-                ids, sims, fresh, vecs = (list(x) for x in zip(*kept)) if kept else ([], [], [], [])
-                yield {"node": head["node"], "kind": 0, "vec": head["vec"], "ids": ids, "sims": sims, "fresh": fresh, "vecs": vecs}
-        yield from _chunks(rows())
+        for batch in whole_groups(batches):
+            node, lists = batch.column("node").to_numpy(), Lists(batch)
+            heads, at = _heads(batch)
+            if not len(heads):
+                continue
+            e = np.flatnonzero((at[lists.row] >= 0) & (lists.ids != node[lists.row]))
+            e = e[np.lexsort((e, lists.ids[e], at[lists.row[e]]))]  # of a neighbour named twice the first stays
+            g = at[lists.row[e]]
+            e = e[np.r_[True, (g[1:] != g[:-1]) | (lists.ids[e][1:] != lists.ids[e][:-1])][:len(e)]]
+            e = e[np.lexsort((lists.ids[e], -lists.sims[e], at[lists.row[e]]))]
+            e = e[places(at[lists.row[e]]) < DEGREE]
+            yield graph_rows(node[heads], 0, batch.column("vec").take(heads), np.bincount(at[lists.row[e]], minlength=len(heads)),
+                             lists.ids[e], lists.sims[e], lists.fresh[e], lists.vecs.take(e))
 
     return in_tasks(rows_and_offers.repartition("node").sortWithinPartitions("node", "kind"), run, GRAPH)
 
 
-def _sample(row: dict) -> tuple[list[int], list[int]]:
-    """Positions of a row's sampled new and old neighbours (by a hash of both ends, so runs repeat)."""
-    order = sorted(range(len(row["ids"])), key=lambda i: hash((row["node"], row["ids"][i])))
-    return [i for i in order if row["fresh"][i]][:SAMPLE], [i for i in order if not row["fresh"][i]][:SAMPLE]
-
-
-def _floor(row: dict) -> float:
-    return row["sims"][-1] if len(row["sims"]) >= DEGREE else -np.inf
+def _sampled(node: np.ndarray, group: np.ndarray, ids: np.ndarray, fresh: np.ndarray) -> np.ndarray:
+    """Which entries of lists are sampled: up to ``SAMPLE`` new and old ones of each (by a hash of both ends, so runs repeat)."""
+    mixed = (node.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ (ids.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
+    mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    order = np.lexsort((ids, mixed >> np.uint64(20), fresh, group))
+    out = np.zeros(len(ids), bool)
+    out[order] = places(2 * group[order] + fresh[order]) < SAMPLE
+    return out
 
 
 def handed(graph: DataFrame) -> DataFrame:
     """Reverse edges: a row for each sampled neighbour, which holds the node, its vector and its floor."""
     def run(batches):
-        def rows():
-            for batch in batches:
-                for r in batch.to_pylist():
-                    for positions, fresh in zip(_sample(r), (True, False)):
-                        for i in positions:
-                            yield {"node": r["ids"][i], "kind": 1, "vec": None, "ids": [r["node"]], "sims": [_floor(r)], "fresh": [fresh], "vecs": [r["vec"]]}
-        yield from _chunks(rows())
+        for batch in batches:
+            node, lists = batch.column("node").to_numpy(), Lists(batch)
+            e = np.flatnonzero(_sampled(node[lists.row], lists.row, lists.ids, lists.fresh))
+            row = lists.row[e]
+            if len(e):
+                yield graph_rows(lists.ids[e], 1, None, np.ones(len(e), int), node[row], lists.floors(row), lists.fresh[e], batch.column("vec").take(row))
 
     return in_tasks(graph, run, GRAPH)
 
 
+def _compared(group, ids, raw, new, floor, asks, known):
+    """Offers among the members of groups: rows sorted by group, in each first the node, then the others that ask."""
+    place, vectors = places(group), floats(raw)
+    for low in range(0, int(group[-1]) + 1, GROUPS):
+        a, b = np.searchsorted(group, [low, low + GROUPS])
+        grid = np.full((int(group[b - 1]) - low + 1, place[a:b].max() + 1), -1)
+        grid[group[a:b] - low, place[a:b]] = np.arange(a, b)
+        there, grid = grid >= 0, np.maximum(grid, 0)
+        asking = there & asks[grid]
+        most = int(asking.sum(axis=1).max())
+        first = grid[:, :most]
+        scores = vectors[first] @ vectors[grid].transpose(0, 2, 1)
+        may = new[first][:, :, None] | new[grid][:, None, :]
+        may[:, 0] = ~known[grid]  # the node knows its own neighbours
+        may[:, :, 0] = False  # and those who ask know the node
+        may &= asking[:, :most, None] & there[:, None, :]
+        may[:, np.arange(most), np.arange(most)] = False
+        scores[~may | (scores <= floor[first][:, :, None])] = -np.inf
+        yield from _offers(scores, grid, ids, raw, SAMPLE)
+
+
 def joined(graph: DataFrame, reverse: DataFrame) -> DataFrame:
     """Each node's own row (its sampled neighbours no longer new) and the offers among its members."""
     def run(batches):
-        def rows():
-            for group in runs(batches, ("node",)):
-                head = group[0]
-                if head["kind"]:
-                    continue
-                fresh, old = _sample(head)
-                yield head | {"fresh": [f and i not in fresh for i, f in enumerate(head["fresh"])]}
-                # The node itself and those that hand themselves over ask; their floors are known.
-                members, taken = {head["node"]: (head["vec"], False, _floor(head))}, [0, 0]
-                for r in group[1:]:
-                    new = r["fresh"][0]
-                    if taken[new] < 2 * SAMPLE and r["ids"][0] not in members:
-                        taken[new] += 1
-                        members[r["ids"][0]] = (r["vecs"][0], new, r["sims"][0])
-                asking = len(members)
-                for i in fresh + old:
-                    members.setdefault(head["ids"][i], (head["vecs"][i], i in fresh, None))
-                if asking > 1:
-                    ids, known = list(members), set(head["ids"])
-                    new = np.array([m[1] for m in members.values()])
-                    may = new[:asking, None] | new[None, :]
-                    may[0] = [i not in known for i in ids]  # the node knows its own neighbours
-                    may[:, 0] = False  # and those who ask know the node
-                    may &= ~np.eye(asking, len(ids), dtype=bool)
-                    floor = np.array([m[2] for m in members.values()][:asking], dtype=float)
-                    yield from _offers(ids, [m[0] for m in members.values()], asking, may, floor, SAMPLE)
-        yield from _chunks(rows())
+        for batch in whole_groups(batches):
+            node, lists = batch.column("node").to_numpy(), Lists(batch)
+            heads, at = _heads(batch)
+            if not len(heads):
+                continue
+            own = np.flatnonzero(np.isin(lists.row, heads))
+            group = at[lists.row[own]]
+            picked = _sampled(node[lists.row[own]], group, lists.ids[own], lists.fresh[own])
+            yield graph_rows(node[heads], 0, batch.column("vec").take(heads), lists.counts[heads], lists.ids[own], lists.sims[own],
+                             lists.fresh[own] & ~picked, lists.vecs.take(own))
+            # The node itself and those that hand themselves over ask; their floors are known.
+            back = np.flatnonzero((batch.column("kind").to_numpy() == 1) & (at >= 0))
+            back = back[np.lexsort((back, lists.fresh[lists.ends[back] - 1], at[back]))]  # rows of one entry
+            back = back[places(2 * at[back] + lists.fresh[lists.ends[back] - 1]) < 2 * SAMPLE]
+            entry, near = lists.ends[back] - 1, own[picked]
+            ids = np.concatenate((node[heads], lists.ids[entry], lists.ids[near]))
+            g = np.concatenate((np.arange(len(heads)), at[back], group[picked]))
+            kind = np.repeat([0, 1, 2], [len(heads), len(back), len(near)])
+            codes = np.unique(np.concatenate((ids, lists.ids[own])), return_inverse=True)[1]
+            codes, listed = codes[:len(ids)], codes[len(ids):]
+            known = np.isin(g * (codes.max() + 1 + listed.max(initial=0)) + codes, group * (codes.max() + 1 + listed.max(initial=0)) + listed)
+            raw = np.concatenate([x for x in (byte_rows(batch.column("vec").take(heads)), byte_rows(lists.vecs.take(entry)), byte_rows(lists.vecs.take(near))) if len(x)])
+            new = np.concatenate((np.zeros(len(heads), bool), lists.fresh[entry], lists.fresh[near]))
+            floor = np.concatenate((lists.floors(heads), lists.sims[entry], np.full(len(near), np.inf, np.float32)))
+            order = np.lexsort((kind, ids, g))
+            order = order[np.r_[True, (g[order][1:] != g[order][:-1]) | (ids[order][1:] != ids[order][:-1])]]
+            order = order[np.lexsort((order, g[order]))]
+            yield from _compared(g[order], ids[order], raw[order], new[order], floor[order], kind[order] < 2, known[order])
 
     # Which reverse edges a node takes is decided by a hash, not by who comes first.
     together = graph.unionByName(reverse).withColumn("turn", F.xxhash64("node", F.get("ids", F.lit(0))))
@@ -331,17 +421,20 @@ def bridges(graph: DataFrame) -> DataFrame:
         out = out.unionByName(there).unionByName(back)
 
 
-def _scores(asked: bytes, packed: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Inner products of a node's vector, as a query, with others, and six standard errors of each.
+def _scores(q: np.ndarray, own, v: np.ndarray, step) -> tuple[np.ndarray, np.ndarray]:
+    """Inner products of queries with as many others, and six standard errors of each.
 
     The query's added component is zero, so products are inner products.  A component is off by up to half a
     step, evenly, on either side: a standard error of a step over the root of 12.
     """
-    q, v = unpack([asked])[0, :-1], unpack(packed)[:, :-1]
-    step = np.frombuffer(b"".join(x[:4] for x in packed), np.float32).astype(float)
-    own = float(np.frombuffer(asked[:4], np.float32)[0])
-    errors = 6 / np.sqrt(12) * (np.sqrt(q @ q) * step + own * np.sqrt((v * v).sum(axis=1)))
-    return v @ q, errors
+    q, v = q[:, :-1], v[:, :-1]
+    errors = 6 / np.sqrt(12) * (np.sqrt((q * q).sum(axis=1)) * step + own * np.sqrt((v * v).sum(axis=1)))
+    return np.einsum("ij,ij->i", q, v), errors
+
+
+def steps(raw: np.ndarray) -> np.ndarray:
+    """The scales of packed rows."""
+    return raw[:, :4].copy().view(np.float32)[:, 0].astype(float)
 
 
 def search(graph: DataFrame, starts: DataFrame) -> DataFrame:
@@ -349,19 +442,23 @@ def search(graph: DataFrame, starts: DataFrame) -> DataFrame:
     edges = both_ways(graph).unionByName(bridges(graph)).repartition("at").persist()
     # sqrt(nodes) of them, by a hash, are known to every task.
     some = graph.select("node", "vec").where(F.pmod(F.xxhash64("node"), F.lit(int(graph.count() ** 0.5) + 1)) == 0).collect()
-    sent = graph.sparkSession.sparkContext.broadcast(([r.node for r in some], [bytes(r.vec) for r in some]))
+    sent = graph.sparkSession.sparkContext.broadcast(
+        ([r.node for r in some], np.frombuffer(b"".join(bytes(r.vec) for r in some), np.uint8).reshape(max(1, len(some)), -1)))
 
     def begin(batches):
         import pyarrow as pa
-        entry_ids, entry_vecs = sent.value
+        entry_ids, entry_raw = sent.value
+        entries = floats(entry_raw) if len(entry_ids) else None
         for batch in batches:
             out = []
             for r in batch.to_pylist():
-                known = {}
-                for ids, vecs, most in ((r["ids"], r["vecs"], len(r["ids"])), (entry_ids, entry_vecs, ENTRIES)):
-                    if ids:
-                        sims, errors = _scores(r["vec"], vecs)
-                        known |= {ids[i]: (float(sims[i]), float(errors[i])) for i in np.argsort(-sims, kind="stable")[:most]}
+                asked = np.frombuffer(r["vec"], np.uint8)[None]
+                q, own, known = floats(asked), steps(asked), {}
+                near = np.frombuffer(b"".join(r["vecs"]), np.uint8).reshape(len(r["ids"]), -1) if r["ids"] else None
+                for ids, v, raw, most in ((r["ids"], near is not None and floats(near), near, len(r["ids"])), (entry_ids, entries, entry_raw, ENTRIES)):
+                    if len(ids):
+                        sims, errors = _scores(np.broadcast_to(q, v.shape), own, v, steps(raw))
+                        known |= {int(ids[i]): (float(sims[i]), float(errors[i])) for i in np.argsort(-sims, kind="stable")[:most]}
                 known.pop(r["node"], None)
                 out.append(sorted(({"s": -x, "id": i, "done": False, "e": e} for i, (x, e) in known.items()), key=lambda x: (x["s"], x["id"])))
             lists = pa.array(out, type=pa.list_(pa.struct([("s", pa.float32()), ("id", pa.int64()), ("done", pa.bool_()), ("e", pa.float32())])))
@@ -372,17 +469,16 @@ def search(graph: DataFrame, starts: DataFrame) -> DataFrame:
 
     def score(batches):
         import pyarrow as pa
-        for batch in batches:
-            q, out_id, out_s, out_e = [], [], [], []
-            for r in batch.to_pylist():
-                sims, errors = _scores(r["vec"], r["vecs"])
-                better = np.flatnonzero(sims > r["least"])
-                q += [r["node"]] * len(better)
-                out_id += [r["ids"][i] for i in better]
-                out_s += sims[better].tolist()
-                out_e += errors[better].tolist()
-            yield pa.RecordBatch.from_arrays([pa.array(q, type=pa.int64()), pa.array(out_id, type=pa.int64()), pa.array(out_s, type=pa.float32()),
-                                              pa.array(out_e, type=pa.float32())], names=["node", "id", "sim", "e"])
+        import pyarrow.compute as pc
+        for batch in (b.slice(i, SLICE) for b in batches for i in range(0, b.num_rows, SLICE)):
+            row = np.repeat(np.arange(batch.num_rows), pc.list_value_length(batch.column("ids")).to_numpy())
+            raw, asked = byte_rows(batch.column("vecs").flatten()), byte_rows(batch.column("vec"))
+            if not len(raw):
+                continue
+            sims, errors = _scores(floats(asked)[row], steps(asked)[row], floats(raw), steps(raw))
+            e = np.flatnonzero(sims > batch.column("least").to_numpy()[row])
+            yield pa.RecordBatch.from_arrays([batch.column("node").take(row[e]), batch.column("ids").flatten().take(e), pa.array(sims[e].astype(np.float32)),
+                                              pa.array(errors[e].astype(np.float32))], names=["node", "id", "sim", "e"])
 
     while True:
         chosen = beam.withColumn("go", F.slice(F.filter("beam", lambda x: ~x["done"]), 1, EXPAND))
